@@ -1,0 +1,7 @@
+, per_patient as (
+  select patient_id, count(*) filter (flagged_readings > 0) as abnormal_minutes,
+         round(100.0::double * count(*) filter (flagged_readings > 0) / count(*), 1) as abnormal_share_pct,
+         sum(flagged_readings)::bigint as abnormal_readings
+  from minutes group by 1
+)
+select * from per_patient
