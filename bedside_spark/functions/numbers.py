@@ -1,10 +1,23 @@
-"""Rounding that follows the exact binary value, ties to even."""
+"""The two roundings of the engine: SQL results, and normalised measures."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+
+def rounded(col: Column | str, digits: int) -> Column:
+    """SQL ``round`` on doubles: scale, round half away from zero, scale back.
+
+    Spark's own ``round`` works on the decimal text instead, so 51.349999999999994 gives
+    51.3 where scaling gives 51.4.
+    """
+    col = F.col(col) if isinstance(col, str) else col
+    factor = F.lit(float(10**digits))
+    return F.signum(col) * (F.floor(F.abs(col) * factor + 0.5) / factor)
+
+
 # A 26-bit split of a double: both halves times a small integer stay exact.
 _SPLITTER = 134217729.0
 _EXACT_LIMIT = 1e11

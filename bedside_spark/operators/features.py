@@ -93,7 +93,6 @@ def _window_moments(vitals: DataFrame, size: str) -> DataFrame:
     return (
         vitals.groupBy("patient_id", F.window("event_time", size).alias("_span"))
         .agg(
-            F.avg("heart_rate").alias("avg_hr"),
             F.max("heart_rate").alias("max_hr"),
             F.min("heart_rate").alias("_min_hr"),
             F.percentile("heart_rate", 0.95).alias("hr_p95"),
@@ -109,7 +108,11 @@ def _window_moments(vitals: DataFrame, size: str) -> DataFrame:
             F.sum(hr * hr).alias("_squares"),
         )
         .withColumns(
-            {"window_start": F.col("_span.start"), "window_end": F.col("_span.end")}
+            {
+                "window_start": F.col("_span.start"),
+                "window_end": F.col("_span.end"),
+                "avg_hr": F.col("_y").cast("double") / F.nullif(F.col("_n"), F.lit(0)),
+            }
         )
         .drop("_span")
     )

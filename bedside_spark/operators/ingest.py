@@ -24,6 +24,16 @@ TEXT_FIELDS = ("patient_id", "device_id", "event_time")
 _NUMERIC = "^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL.*)$"
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns by a one-row generator.
+
+    Filters are pushed through projections but not through generators, so a later
+    ``where`` cannot repeat the parsing in its condition.
+    """
+    row = F.struct(*[col.alias(name) for name, col in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def decode_payload(records: DataFrame) -> DataFrame:
     """(recordId, data) plus the payload text and its parsed form, NULL when unreadable.
 
@@ -32,7 +42,9 @@ def decode_payload(records: DataFrame) -> DataFrame:
     letters = F.regexp_replace(F.coalesce("data", F.lit("")), "[^A-Za-z0-9+/=]", "")
     binary = F.when(F.length(letters) % 4 == 0, F.try_to_binary(letters, F.lit("base64")))
     text = F.make_valid_utf8(binary.cast("string"))
-    return records.withColumn("payload", text).withColumn("_json", F.try_parse_json("payload"))
+    return _once(
+        _once(records, payload=text), _json=F.try_parse_json("payload")
+    )
 
 
 _OPTIONAL_TEXT = ("ingestion_time", "trace_id")
@@ -48,15 +60,12 @@ def _with_fields(decoded: DataFrame) -> DataFrame:
     def part(field: str, kind: str) -> Column:
         return F.try_variant_get("_json", f"$.{field}", kind)
 
-    return decoded.select(
-        "*",
-        F.schema_of_variant("_json").alias("_type"),
-        *[
-            F.schema_of_variant(part(f, "variant")).alias(f"_type_{f}")
-            for f in (*texts, *MEASURES)
-        ],
-        *[part(f, "string").alias(f"_text_{f}") for f in texts],
-        *[part(m, "double").alias(f"_number_{m}") for m in MEASURES],
+    return _once(
+        decoded,
+        _type=F.schema_of_variant("_json"),
+        **{f"_type_{f}": F.schema_of_variant(part(f, "variant")) for f in (*texts, *MEASURES)},
+        **{f"_text_{f}": part(f, "string") for f in texts},
+        **{f"_number_{m}": part(m, "double") for m in MEASURES},
     )
 
 
@@ -67,8 +76,7 @@ def _kind(field: str) -> Column:
 def _defects() -> dict[str, Column]:
     found = {f"missing {f}": _kind(f).isNull() for f in REQUIRED}
     for measure in MEASURES:
-        value = F.col(f"_number_{measure}")
-        finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
+        finite = F.abs(F.col(f"_number_{measure}")) < float("inf")
         sound = _kind(measure).rlike(_NUMERIC) & F.coalesce(finite, F.lit(False))
         found[f"not a number: {measure}"] = _kind(measure).isNotNull() & ~sound
     return found

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
+
 _MONTH_DAY = "MMdd"
 
 
@@ -38,7 +40,7 @@ def heart_rate_by_age(vitals: DataFrame, patients: DataFrame, on: Column | date)
     return banded.groupBy(age_band(age_years("birth_date", on)).alias("age_band")).agg(
         F.count("*").alias("patients"),
         F.sum("_n").alias("readings"),
-        F.round(F.sum("_sum").cast("double") / F.sum("_n"), 4).alias("avg_hr"),
+        rounded(F.sum("_sum").cast("double") / F.sum("_n"), 4).alias("avg_hr"),
         F.max("_max").alias("max_hr"),
     )
 

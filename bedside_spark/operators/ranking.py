@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
 from bedside_spark.functions.timekit import truncated
 from bedside_spark.operators.ordered import distinct_ranks
 
@@ -102,7 +103,7 @@ def patient_abnormal(vitals: DataFrame) -> DataFrame:
     minutes = flagged_minutes(vitals)
     return minutes.groupBy("patient_id").agg(
         F.count("flagged_readings").alias("abnormal_minutes"),
-        F.round(
+        rounded(
             100.0 * F.count("flagged_readings").cast("double") / F.countDistinct("bucket_ts"), 1
         ).alias("abnormal_share_pct"),
         F.sum("flagged_readings").alias("abnormal_readings"),
@@ -117,7 +118,7 @@ def patient_abnormal_share(vitals: DataFrame) -> DataFrame:
     flagged = F.count_if(F.col("_flags") > 0)
     return minutes.groupBy("patient_id").agg(
         flagged.alias("abnormal_minutes"),
-        F.round(100.0 * flagged.cast("double") / F.count("*"), 1).alias("abnormal_share_pct"),
+        rounded(100.0 * flagged.cast("double") / F.count("*"), 1).alias("abnormal_share_pct"),
         F.sum("_flags").alias("abnormal_readings"),
     )
 

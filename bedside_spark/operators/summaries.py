@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
 from bedside_spark.functions.timekit import micros, moment, truncated
 
 
@@ -48,7 +49,7 @@ def windowing_summary(tumbled: DataFrame, hopped: DataFrame) -> DataFrame:
     both = _window_totals(tumbled, fixed).unionByName(_window_totals(hopped, sliding))
     base = tumbled.agg(F.count("*").cast("double")).scalar()
     factor = F.when(F.col("windowing") == fixed, F.lit(1.0)).otherwise(
-        F.round(F.col("windows") / base, 2)
+        rounded(F.col("windows") / base, 2)
     )
     return both.withColumn("overlap_factor", factor)
 
@@ -57,7 +58,7 @@ def overlap_factor(tumbled: DataFrame, hopped: DataFrame) -> DataFrame:
     """Hop windows per tumbling window, by an uncorrelated scalar subquery."""
     base = tumbled.agg(F.count("*").cast("double")).scalar()
     return hopped.agg(F.count("*").alias("hop_windows")).select(
-        "hop_windows", F.round(F.col("hop_windows") / base, 2).alias("overlap_factor")
+        "hop_windows", rounded(F.col("hop_windows") / base, 2).alias("overlap_factor")
     )
 
 
@@ -73,7 +74,7 @@ def window_edge_compare(
             df.groupBy("window_start", "window_end")
             .agg(
                 F.countDistinct("patient_id").alias("patients"),
-                F.round(F.avg("avg_heart_rate"), 1).alias("avg_hr"),
+                rounded(F.avg("avg_heart_rate"), 1).alias("avg_hr"),
             )
             .select(F.lit(name).alias("win"), "*")
         )
@@ -93,7 +94,7 @@ def table_counts(**tables: DataFrame) -> DataFrame:
 
 
 def average_peak(summary: DataFrame) -> DataFrame:
-    return summary.agg(F.round(F.avg("max_heart_rate"), 6).alias("avg_max_hr"))
+    return summary.agg(rounded(F.avg("max_heart_rate"), 6).alias("avg_max_hr"))
 
 
 def readings_per_patient(vitals: DataFrame) -> DataFrame:
@@ -120,7 +121,7 @@ def _chart(summary: DataFrame, **metrics: Column) -> DataFrame:
 
 def chart_heart_rate(summary: DataFrame) -> DataFrame:
     return _chart(
-        summary, avg_hr=F.round(F.avg("avg_heart_rate"), 6), max_hr=F.max("max_heart_rate")
+        summary, avg_hr=rounded(F.avg("avg_heart_rate"), 6), max_hr=F.max("max_heart_rate")
     )
 
 
@@ -176,6 +177,6 @@ def ingest_latency(vitals: DataFrame, target_seconds: float = 60.0) -> DataFrame
     p95 = F.percentile("_delay", 0.95, F.col("_rows")) / 1000
     return histogram.groupBy("day").agg(
         F.sum("_rows").alias("readings"),
-        F.round(p95, 3).alias("p95_seconds"),
+        rounded(p95, 3).alias("p95_seconds"),
         (p95 <= target_seconds).alias("within_target"),
     )

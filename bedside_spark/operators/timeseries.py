@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
 from bedside_spark.functions.timekit import bucketed, micros, seconds_between, truncated
 from bedside_spark.operators.ordered import (
     HOT_ROWS,
@@ -30,9 +31,9 @@ def time_bucketing(vitals: DataFrame) -> DataFrame:
         vitals.groupBy("patient_id", minute.alias("bucket_ts"))
         .agg(
             F.count("*").alias("readings"),
-            F.round(F.avg("heart_rate"), 1).alias("avg_hr"),
+            rounded(F.avg("heart_rate"), 1).alias("avg_hr"),
             F.min("spo2").alias("min_spo2"),
-            F.round(F.avg("systolic_bp"), 1).alias("avg_sbp"),
+            rounded(F.avg("systolic_bp"), 1).alias("avg_sbp"),
         )
         .select(
             "patient_id",
@@ -90,11 +91,11 @@ def lag_lead(
         "patient_id",
         "device_id",
         truncated(vitals, "event_time", "second").alias("at_ts"),
-        F.round("heart_rate", 0).alias("hr_now"),
-        F.round("_previous", 0).alias("hr_prev"),
-        F.round("_next", 0).alias("hr_next"),
-        F.round(change, 1).alias("delta"),
-        F.round(change * 100.0 / F.greatest(F.col("_previous"), F.lit(1e-9)), 2).alias(
+        rounded("heart_rate", 0).alias("hr_now"),
+        rounded("_previous", 0).alias("hr_prev"),
+        rounded("_next", 0).alias("hr_next"),
+        rounded(change, 1).alias("delta"),
+        rounded(change * 100.0 / F.greatest(F.col("_previous"), F.lit(1e-9)), 2).alias(
             "pct_change"
         ),
         *ORDER,
@@ -110,9 +111,9 @@ def moving_average(vitals: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     averaged = own_rows(
         with_neighbours(sliced, "patient_id", ORDER, before=2, after=2).withColumns(
             {
-                "hr_ma3_trailing": F.round(F.avg("heart_rate").over(trailing), 1),
-                "hr_ma5_centred": F.round(F.avg("heart_rate").over(centred), 1),
-                "spo2_trailing_min": F.round(F.min("spo2").over(trailing), 1),
+                "hr_ma3_trailing": rounded(F.avg("heart_rate").over(trailing), 1),
+                "hr_ma5_centred": rounded(F.avg("heart_rate").over(centred), 1),
+                "spo2_trailing_min": rounded(F.min("spo2").over(trailing), 1),
             }
         )
     )
@@ -120,7 +121,7 @@ def moving_average(vitals: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "patient_id",
         "device_id",
         truncated(vitals, "event_time", "second").alias("at_ts"),
-        F.round("heart_rate", 0).alias("hr"),
+        rounded("heart_rate", 0).alias("hr"),
         "hr_ma3_trailing",
         "hr_ma5_centred",
         "spo2_trailing_min",
@@ -146,7 +147,7 @@ def running_totals(vitals: DataFrame) -> DataFrame:
         "bucket_ts",
         "readings",
         cumulative.alias("cumulative"),
-        F.round(share, 1).alias("pct_of_session"),
+        rounded(share, 1).alias("pct_of_session"),
     )
 
 
@@ -227,12 +228,6 @@ def rolling_average(
     )
 
 
-def slope_from_sums(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Column:
-    """Least-squares slope; NULL with fewer than two distinct x values."""
-    spread = n * sxx - sx * sx
-    return F.when(spread != 0, (n * sxy - sx * sy) / spread)
-
-
 def rolling_slope(vitals: DataFrame, seconds: int = 900, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Least-squares heart-rate slope (bpm per minute) over each reading's trailing range.
 
@@ -264,13 +259,21 @@ _MICROS_PER_MINUTE = 60_000_000.0
 
 
 def recentred_slope(centre: Column) -> Column:
-    """Slope per minute from the ``_in_*`` moments, with x measured from ``centre``."""
-    n, sx, sy = F.col("_in_n"), F.col("_in_x"), F.col("_in_y")
+    """Slope per minute from the ``_in_*`` moments, with x measured from ``centre``.
+
+    Numerator and denominator are exact; NULL when all readings share one instant.
+    """
+
+    def exact(col: Column, scale: int = 0) -> Column:
+        return col.cast(f"decimal(38,{scale})")
+
+    n, sx, sy = exact(F.col("_in_n")), F.col("_in_x"), F.col("_in_y")
     c = centre.cast("decimal(19,0)")
-    count = n.cast("decimal(12,0)")
-    x1 = (sx - (count * c).cast("decimal(38,0)")).cast("double") / _MICROS_PER_MINUTE
-    xy = (F.col("_in_xy") - (sy * c).cast("decimal(38,3)")).cast("double") / _MICROS_PER_MINUTE
-    twice = (sx * c * 2).cast("decimal(38,0)")
-    square = (count * (c * c).cast("decimal(38,0)")).cast("decimal(38,0)")
-    xx = (F.col("_in_xx") - twice + square).cast("double") / _MICROS_PER_MINUTE**2
-    return slope_from_sums(n.cast("double"), x1, sy.cast("double"), xy, xx)
+    x = exact(sx - exact(n * c))
+    xy = exact(F.col("_in_xy") - exact(sy * c, 3), 3)
+    xx = exact(F.col("_in_xx") - exact(sx * c * 2) + exact(n * exact(c * c)))
+    spread = exact(n * xx) - exact(x * x)
+    rise = exact(n * xy, 3) - exact(x * sy, 3)
+    return F.when(
+        spread != 0, rise.cast("double") / spread.cast("double") * _MICROS_PER_MINUTE
+    )

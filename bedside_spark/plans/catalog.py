@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
 from bedside_spark.functions.rules import MEASURES, clipped, out_of_range
 from bedside_spark.operators import (
     alerts,
@@ -143,7 +144,7 @@ def encode_payload(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def recent_1m(spark: SparkSession, sf: str) -> DataFrame:
     recent = summaries.recent_windows(data.vitals_1m(spark, sf), data.as_of(spark, sf))
-    return recent.withColumn("avg_heart_rate", F.round("avg_heart_rate", 6))
+    return recent.withColumn("avg_heart_rate", rounded("avg_heart_rate", 6))
 
 
 @query
@@ -237,7 +238,7 @@ def unmatched_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded(summary: DataFrame) -> DataFrame:
-    return summary.withColumn("avg_heart_rate", F.round("avg_heart_rate", 6))
+    return summary.withColumn("avg_heart_rate", rounded("avg_heart_rate", 6))
 
 
 @query
@@ -352,7 +353,7 @@ def vitals_features(spark: SparkSession, sf: str) -> DataFrame:
     )
     measured = ("avg_hr", "hr_p95", "hr_std", "avg_spo2", "rolling_avg_hr_1h")
     return table.withColumns(
-        {**{c: F.round(c, 4) for c in measured}, "slope_hr_15m": F.round("slope_hr_15m", 6)}
+        {**{c: rounded(c, 4) for c in measured}, "slope_hr_15m": rounded("slope_hr_15m", 6)}
     )
 
 
@@ -455,25 +456,25 @@ def dense_rank_hr(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rolling_1h(spark: SparkSession, sf: str) -> DataFrame:
     rolled = timeseries.rolling_average(derived.readings(spark, sf))
-    return rolled.withColumn("rolling_avg_hr", F.round("rolling_avg_hr", 6))
+    return rolled.withColumn("rolling_avg_hr", rounded("rolling_avg_hr", 6))
 
 
 @query
 def rolling_24h(spark: SparkSession, sf: str) -> DataFrame:
     rolled = timeseries.rolling_average(derived.readings(spark, sf), DAY)
-    return rolled.withColumn("rolling_avg_hr", F.round("rolling_avg_hr", 6))
+    return rolled.withColumn("rolling_avg_hr", rounded("rolling_avg_hr", 6))
 
 
 @query
 def slope_15m(spark: SparkSession, sf: str) -> DataFrame:
     slopes = timeseries.rolling_slope(derived.readings(spark, sf))
-    return slopes.withColumn("slope", F.round("slope", 6))
+    return slopes.withColumn("slope", rounded("slope", 6))
 
 
 @query
 def slope_24h(spark: SparkSession, sf: str) -> DataFrame:
     slopes = timeseries.rolling_slope(derived.readings(spark, sf), DAY)
-    return slopes.withColumn("slope", F.round("slope", 6))
+    return slopes.withColumn("slope", rounded("slope", 6))
 
 
 # --- top-k ---------------------------------------------------------------------------

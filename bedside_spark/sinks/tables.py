@@ -7,6 +7,7 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.numbers import rounded
 from bedside_spark.operators import features, windows
 from bedside_spark.sinks import files
 
@@ -31,7 +32,7 @@ def table_roundtrip(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table, read it back, and aggregate what was read."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).agg(
-        F.count("*").alias("rows"), F.round(F.avg("heart_rate"), 6).alias("avg_hr")
+        F.count("*").alias("rows"), rounded(F.avg("heart_rate"), 6).alias("avg_hr")
     )
 
 

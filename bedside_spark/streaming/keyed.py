@@ -21,6 +21,11 @@ from bedside_spark.streaming.jobs import DELAY, watermarked
 SECOND = 1_000_000
 
 
+def _timer_ms(at: float) -> int:
+    """First whole millisecond after an instant in microseconds."""
+    return int(at // 1000) + 1
+
+
 class _InOrder(StatefulProcessor):
     """Holds readings back until the watermark passes them, then visits them in order."""
 
@@ -32,7 +37,7 @@ class _InOrder(StatefulProcessor):
         self.begin(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = 0
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
         for chunk in rows:
             arrived = list(
                 zip(
@@ -43,27 +48,24 @@ class _InOrder(StatefulProcessor):
             )
             if arrived:
                 self.waiting.appendList(arrived)
-                last = max(last, max(at for at, _, _ in arrived))
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        if last > passed:
-            self.handle.registerTimer(last // 1000 + 1)
         yield from self._release(key, passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._release(key, timerValues.getCurrentWatermarkInMs() * 1000)
-        yield from self.tick(key, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        yield from self.tick(key, expiredTimerInfo.getExpiryTimeInMs())
 
     def _release(self, key, passed: int) -> Iterator[pd.DataFrame]:
         held = list(self.waiting.get())
         due = sorted(item for item in held if item[0] <= passed)
-        if not due:
-            return
         later = [item for item in held if item[0] > passed]
         if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        yield from self.visit(key, [(at, rate) for at, _, rate in due])
+            self.handle.registerTimer(_timer_ms(min(at for at, _, _ in later)))
+        if due:
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+            yield from self.visit(key, [(at, rate) for at, _, rate in due], passed)
 
     def tick(self, key, expired: int) -> Iterator[pd.DataFrame]:
         return iter(())
@@ -81,7 +83,7 @@ class SustainedHigh(_InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "last bigint, start bigint, alerted boolean")
 
-    def visit(self, key, readings) -> Iterator[pd.DataFrame]:
+    def visit(self, key, readings, passed: int) -> Iterator[pd.DataFrame]:
         last, start, alerted = self.run.get() if self.run.exists() else (None, None, False)
         found = []
         for at, rate in readings:
@@ -107,7 +109,7 @@ class Silence(_InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "last bigint")
 
-    def visit(self, key, readings) -> Iterator[pd.DataFrame]:
+    def visit(self, key, readings, passed: int) -> Iterator[pd.DataFrame]:
         last = self.seen.get()[0] if self.seen.exists() else None
         gaps = []
         for at, _ in readings:
@@ -115,15 +117,18 @@ class Silence(_InOrder):
                 gaps.append((key[0], last, at))
             last = at
         self.seen.update((last,))
-        self.handle.registerTimer(int((last + self.threshold) // 1000) + 1)
+        due = _timer_ms(last + self.threshold)
+        if due * 1000 <= passed:
+            gaps.append((key[0], last, None))
+        else:
+            self.handle.registerTimer(due)
         if gaps:
             yield self._frame(gaps)
 
     def tick(self, key, expired: int) -> Iterator[pd.DataFrame]:
         if self.seen.exists():
             last = self.seen.get()[0]
-            due = int((last + self.threshold) // 1000) + 1
-            if expired == due * 1000:
+            if expired == _timer_ms(last + self.threshold):
                 yield self._frame([(key[0], last, None)])
 
     @staticmethod

@@ -9,7 +9,4 @@
 )
 select patient_id, gap_start, gap_end from gaps, closed_at where gap_seconds > 86400 and gap_end <= passed
 union all
-select patient_id, gap_start, null from (
-  select patient_id, gap_start from gaps, closed_at where gap_seconds > 86400 and gap_end <= passed
-  union
-  select patient_id, gap_start from opened, closed_at where gap_start + interval 1 day < passed)
+select patient_id, gap_start, null from opened, closed_at where gap_start + interval 1 day < passed
