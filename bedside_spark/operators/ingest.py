@@ -34,51 +34,62 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def _decoded(text: Column, usable: Column | bool = True) -> Column:
+    whole = F.length(text) % 4 == 0
+    return F.when(whole & usable, F.try_to_binary(text, F.lit("base64")))
+
+
 def decode_payload(records: DataFrame) -> DataFrame:
     """(recordId, data) plus the payload text and its parsed form, NULL when unreadable.
 
     Characters outside the base64 alphabet are skipped and invalid UTF-8 is replaced.
     """
-    letters = F.regexp_replace(F.coalesce("data", F.lit("")), "[^A-Za-z0-9+/=]", "")
-    binary = F.when(F.length(letters) % 4 == 0, F.try_to_binary(letters, F.lit("base64")))
+    given = F.coalesce("data", F.lit(""))
+    spaced = given.contains(" ") | given.contains("\n") | given.contains("\r")
+    letters = F.regexp_replace(given, "[^A-Za-z0-9+/=]", "")
+    binary = F.coalesce(_decoded(given, ~(spaced | given.contains("\t"))), _decoded(letters))
     text = F.make_valid_utf8(binary.cast("string"))
-    return _once(
-        _once(records, payload=text), _json=F.try_parse_json("payload")
-    )
+    return records.withColumn("payload", text).withColumn("_json", F.try_parse_json("payload"))
 
 
 _OPTIONAL_TEXT = ("ingestion_time", "trace_id")
 
 
-def _with_fields(decoded: DataFrame) -> DataFrame:
-    """Type, text and number of every field as columns, so that each is extracted once.
+def _part(field: str, kind: str) -> Column:
+    return F.try_variant_get("_json", f"$.{field}", kind)
+
+
+def _kind(field: str) -> Column:
+    """JSON type of a field: NULL when it is absent, VOID for an explicit null."""
+    return F.schema_of_variant(_part(field, "variant"))
 
-    The type is NULL for an absent field and VOID for an explicit null.
-    """
-    texts = (*TEXT_FIELDS, *_OPTIONAL_TEXT)
 
-    def part(field: str, kind: str) -> Column:
-        return F.try_variant_get("_json", f"$.{field}", kind)
+def _with_fields(decoded: DataFrame) -> DataFrame:
+    """Texts, numbers and the types of numbers as columns, so that each is extracted once.
 
+    The type of a text field matters for unusual values only and is looked up there.
+    """
     return _once(
         decoded,
         _type=F.schema_of_variant("_json"),
-        **{f"_type_{f}": F.schema_of_variant(part(f, "variant")) for f in (*texts, *MEASURES)},
-        **{f"_text_{f}": part(f, "string") for f in texts},
-        **{f"_number_{m}": part(m, "double") for m in MEASURES},
+        **{f"_text_{f}": _part(f, "string") for f in (*TEXT_FIELDS, *_OPTIONAL_TEXT)},
+        **{f"_type_{m}": _kind(m) for m in MEASURES},
+        **{f"_number_{m}": _part(m, "double") for m in MEASURES},
     )
 
 
-def _kind(field: str) -> Column:
-    return F.col(f"_type_{field}")
+def _absent(field: str) -> Column:
+    if field in MEASURES:
+        return F.col(f"_type_{field}").isNull()
+    return F.col(f"_text_{field}").isNull() & _kind(field).isNull()
 
 
 def _defects() -> dict[str, Column]:
-    found = {f"missing {f}": _kind(f).isNull() for f in REQUIRED}
+    found = {f"missing {f}": _absent(f) for f in REQUIRED}
     for measure in MEASURES:
         finite = F.abs(F.col(f"_number_{measure}")) < float("inf")
-        sound = _kind(measure).rlike(_NUMERIC) & F.coalesce(finite, F.lit(False))
-        found[f"not a number: {measure}"] = _kind(measure).isNotNull() & ~sound
+        sound = F.col(f"_type_{measure}").rlike(_NUMERIC) & F.coalesce(finite, F.lit(False))
+        found[f"not a number: {measure}"] = ~_absent(measure) & ~sound
     return found
 
 
@@ -96,17 +107,17 @@ def validate_reading(decoded: DataFrame) -> DataFrame:
 
 
 def _text(field: str) -> Column:
-    value = F.col(f"_text_{field}")
+    value, kind = F.col(f"_text_{field}"), _kind(field)
     return (
-        F.when(_kind(field) == "VOID", "None")
-        .when(_kind(field) == "BOOLEAN", F.initcap(value))
+        F.when(value.isNull(), F.when(kind == "VOID", "None").otherwise(F.to_json(_part(field, "variant"))))
+        .when(value.isin("true", "false") & (kind == "BOOLEAN"), F.initcap(value))
         .otherwise(value)
     )
 
 
 def _measure(field: str) -> Column:
     value = round_exact(F.col(f"_number_{field}"))
-    return F.when(_kind(field).isNull(), 0.0).otherwise(value) if field in DEFAULTED else value
+    return F.when(_absent(field), 0.0).otherwise(value) if field in DEFAULTED else value
 
 
 def _typed(validated: DataFrame, arrived: datetime | Column | None) -> DataFrame:
@@ -115,10 +126,10 @@ def _typed(validated: DataFrame, arrived: datetime | Column | None) -> DataFrame
     columns = {
         **{field: _text(field) for field in TEXT_FIELDS},
         "ingestion_time": F.when(
-            _kind("ingestion_time").isNull(), F.date_format(stamp, ISO_MICROS)
+            _absent("ingestion_time"), F.date_format(stamp, ISO_MICROS)
         ).otherwise(F.col("_text_ingestion_time")),
         **{measure: _measure(measure) for measure in MEASURES},
-        "trace_id": F.when(_kind("trace_id").isNull(), "").otherwise(_text("trace_id")),
+        "trace_id": F.when(_absent("trace_id"), "").otherwise(_text("trace_id")),
     }
     return with_flags(
         validated.select("*", *[col.alias(name) for name, col in columns.items()])
@@ -137,8 +148,13 @@ def normalize_reading(
     return _typed(validated, arrived).where("problem is null").select("recordId", *NORMALIZED)
 
 
+def encode_text(text: Column) -> Column:
+    """Base64 on one line; Spark may break it into lines of 76 characters."""
+    return F.translate(F.base64(F.encode(text, "UTF-8")), "\r\n", "")
+
+
 def encode_payload(columns: tuple[str, ...]) -> Column:
-    return F.base64(F.encode(F.to_json(F.struct(*columns)), "UTF-8"))
+    return encode_text(F.to_json(F.struct(*columns)))
 
 
 def route_records(

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from bedside_spark.functions.rules import with_flags
 from bedside_spark.functions.timekit import ISO_MICROS
+from bedside_spark.operators.ingest import encode_text
 from bedside_spark.session import prepare
 
 
@@ -114,7 +115,7 @@ def raw_payloads(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
         .when(kind == 8, swapped("spo2", '"98"'))
         .otherwise(whole)
     )
-    encoded = F.base64(F.encode(text, "UTF-8"))
+    encoded = encode_text(text)
     data = F.when(kind == 6, F.concat(F.lit("*"), F.substring(encoded, 2, 1 << 20))).otherwise(
         encoded
     )
