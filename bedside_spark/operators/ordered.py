@@ -8,8 +8,8 @@ window runs per (key, slice), and what a slice needs from its neighbours is adde
 * running aggregates get the total of the earlier slices (:func:`running`).
 
 Other keys have a NULL slice, i.e. one group and no extra rows, so without hot keys the
-plan does the work of the plain window. At most ``rows / hot_rows`` keys can be hot, which
-bounds everything broadcast here.
+plan does the work of the plain window. At most ``rows / hot_rows`` keys can be hot, with
+together at most twice as many slices, which bounds everything broadcast here.
 """
 
 from __future__ import annotations
@@ -24,34 +24,48 @@ from bedside_spark.functions.timekit import micros
 HOT_ROWS = 8_000_000
 SLICE = "_slice"
 OWN = "_own"
+_PARTS = 64
 
 
 def with_slices(df: DataFrame, key: str, time: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add the slice number: NULL for ordinary keys, 0, 1, 2, … in time order for hot ones.
 
-    The grid spans mean ± 3 standard deviations of the key's times (within its minimum and
-    maximum), so a few stray timestamps do not stretch it; outliers join the end slices.
+    A hot key's times are cut at its 64-quantiles, so bursts and stray timestamps do not
+    unbalance the slices; larger keys cut each part further into equal spans. A key gets
+    about ``rows / hot_rows`` slices. Quantiles are computed for hot keys only.
     """
     at = micros(time)
-    low = F.greatest(F.min(at), F.floor(F.avg(at) - 3 * F.stddev_pop(at)))
-    high = F.least(F.max(at), F.ceil(F.avg(at) + 3 * F.stddev_pop(at)))
-    slices = F.ceil(F.count("*") / F.lit(float(hot_rows)))
-    hot = (
+    counts = (
         df.groupBy(F.col(key).alias("_hot_key"))
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+    )
+    shares = F.array(*[F.lit(n / _PARTS) for n in range(_PARTS + 1)])
+    hot = (
+        df.select(F.col(key).alias("_key"), at.alias("_at"))
+        .join(F.broadcast(counts), F.col("_key") == F.col("_hot_key"))
+        .groupBy("_hot_key")
         .agg(
-            F.count("*").alias("_rows"),
-            low.alias("_low"),
-            slices.alias("_slices"),
-            ((high - low + 1) / slices).alias("_width"),
+            F.percentile_approx("_at", shares, 10_000).alias("_cuts"),
+            F.ceil(F.first("_rows") / F.lit(float(hot_rows))).alias("_slices"),
         )
-        .where(F.col("_rows") > hot_rows)
     )
-    number = F.floor((at - F.col("_low")) / F.col("_width"))
-    inside = F.greatest(F.lit(0), F.least(F.col("_slices") - 1, number))
+    below = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_at")))
+    part = F.greatest(F.lit(0), F.least(F.lit(_PARTS - 1), below - 1))
+    low, high = F.get("_cuts", F.col("_part")), F.get("_cuts", F.col("_part") + 1)
+    spans = F.ceil(F.col("_slices") / F.lit(float(_PARTS)))
+    inside = F.floor((F.col("_at") - low).cast("double") * spans / F.greatest(high - low, F.lit(1)))
+    inside = F.greatest(F.lit(0), F.least(spans - 1, inside))
+    grouped = F.floor(F.col("_part") * F.col("_slices") / F.lit(float(_PARTS)))
+    number = F.when(F.col("_slices") <= _PARTS, grouped).otherwise(
+        F.col("_part") * spans + inside
+    )
     return (
         df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn(SLICE, F.when(F.col("_hot_key").isNotNull(), inside))
-        .drop("_hot_key", "_rows", "_low", "_slices", "_width")
+        .withColumn("_at", at)
+        .withColumn("_part", F.when(F.col("_hot_key").isNotNull(), part))
+        .withColumn(SLICE, F.when(F.col("_hot_key").isNotNull(), number))
+        .drop("_hot_key", "_cuts", "_slices", "_at", "_part")
     )
 
 

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from bedside_spark.functions.timekit import seconds_between
 from bedside_spark.operators import alerts
 from tests.conftest import at, rows
 
@@ -124,16 +125,15 @@ def readings(spark, *values):
         ([(0, 120), (29, 130)], []),
         ([(0, 120), (30, 130), (40, 140)], [(130.0, 0)]),
         ([(0, 125), (10, 119), (40, 130), (70, 131)], [(131.0, 40)]),
-        ([(0, 125), (61, 126), (90, 127), (95, 128)], []),
+        ([(0, 125), (61, 126), (90, 127), (95, 128)], [(128.0, 61)]),
         ([(0, 125), (61, 126), (91, 127)], [(127.0, 61)]),
         ([(0, 125), (31, 126), (40, 100), (50, 125), (90, 126)], [(126.0, 0), (126.0, 50)]),
     ],
 )
 def test_sustained(spark, values, found):
-    got = alerts.sustained_alerts(readings(spark, *values)).collect()
-    assert sorted((r.value, (r.run_start.replace(tzinfo=None) - at(0).replace(tzinfo=None)).total_seconds()) for r in got) == [
-        (v, float(s)) for v, s in found
-    ]
+    since = seconds_between(F.lit(at(0)), "run_start")
+    got = alerts.sustained_alerts(readings(spark, *values)).select("value", since)
+    assert rows(got) == [(v, float(s)) for v, s in found]
 
 
 def test_lookup_statuses(spark):

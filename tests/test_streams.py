@@ -63,9 +63,10 @@ def test_windows_equal_batch(spark, arrivals, tmp_path, kind):
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
-    base = [("P1", "b", at(s), None, 80.0, 1.0, 1.0, 95.0, 1.0, 1.0, f"{s}") for s in (5, 200)]
-    late = [("P1", "b", at(6), None, 190.0, 1.0, 1.0, 95.0, 1.0, 1.0, "late")]
-    for n, data in enumerate((base[:1], base[1:], late)):
+    """Late input is judged by the watermark of the batch before, hence the reading at 201 s."""
+    values = ((5, 80.0), (200, 80.0), (201, 80.0), (6, 190.0))
+    for n, (second, rate) in enumerate(values):
+        data = [("P1", "b", at(second), None, rate, 1.0, 1.0, 95.0, 1.0, 1.0, f"{n}")]
         spark.createDataFrame(data, READING).coalesce(1).write.parquet(str(tmp_path / f"in/n={n}"))
     got = collected(spark, jobs.stream_tumble(stream_of(spark, str(tmp_path / "in"))), tmp_path)
     assert rows(got, "max_heart_rate", "reading_count") == [(80.0, 1)]
