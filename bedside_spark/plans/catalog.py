@@ -772,6 +772,12 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, stream, "event_time", "dedup")
 
 
+@query
+def stream_threshold_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    stream = jobs.stream_threshold_alerts(_live(spark, sf)).drop("trace_id")
+    return _stored(spark, stream, "event_ts", "alerts")
+
+
 @query
 def latest_state(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "latest")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from bedside_spark.functions.timekit import micros
 from bedside_spark.operators import alerts, ingest
 from bedside_spark.sinks import files
 
@@ -124,6 +125,39 @@ def keep_latest(
     return triggered(writer, every).start()
 
 
+def report_late(
+    vitals: DataFrame,
+    path: str,
+    marks: str,
+    checkpoint: str,
+    window_seconds: int = 60,
+    delay_seconds: int = 10,
+    every: str | None = COMMIT_EVERY,
+) -> StreamingQuery:
+    """Report readings whose window had closed by the end of the batches before.
+
+    Each batch leaves one row with its newest event time in ``marks``; both outputs are
+    keyed by batch id. The greatest earlier mark, less the delay, is the watermark.
+    """
+    width = window_seconds * 1_000_000
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if files.exists(spark, marks):
+            earlier = spark.read.schema("newest bigint, batch_id bigint").parquet(marks)
+            newest = earlier.where(F.col("batch_id") < batch_id).agg(F.max("newest")).scalar()
+            closes = (F.floor(micros("event_time") / width) + 1) * width
+            batch.where(closes <= newest - delay_seconds * 1_000_000).write.mode(
+                "overwrite"
+            ).parquet(f"{path}/batch_id={batch_id}")
+        batch.agg(F.max(micros("event_time")).alias("newest")).write.mode("overwrite").parquet(
+            f"{marks}/batch_id={batch_id}"
+        )
+
+    writer = vitals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
+
+
 def _sender(send: Callable[[dict], None]):
     def deliver(chunks):
         for chunk in chunks:

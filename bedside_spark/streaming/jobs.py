@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bedside_spark.functions.rules import with_flags
 from bedside_spark.operators import windows
+from bedside_spark.operators.alerts import threshold_alert_rows
 from bedside_spark.sinks.streams import COMMIT_EVERY, append_days
 
 DELAY = "10 seconds"
@@ -43,6 +44,15 @@ def stream_dedup(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
+def stream_threshold_alerts(stream: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Threshold alerts as they arrive, without repeats of an alert within the watermark."""
+    flagged = threshold_alert_rows(watermarked(stream, delay), "event_time")
+    # A stream may have one event-time column: the alert's own times become plain values.
+    plain = F.timestamp_micros(F.unix_micros("event_time"))
+    flagged = flagged.withColumns({"event_ts": plain, "created_at": plain})
+    return flagged.dropDuplicatesWithinWatermark(["patient_id", "alert_id"]).drop("event_time")
+
+
 def stream_enrich(stream: DataFrame, patients: DataFrame, salts: int = 1) -> DataFrame:
     """Readings with the patient's attributes; unknown patients keep NULLs.
 

@@ -182,3 +182,36 @@ def test_delivery_isolates_failures_and_sends_once(spark, tmp_path):
         seen.append({(r.alert_id, r.delivered, r.error) for r in got.collect()})
     assert seen[0] == {("A-1", True, None), ("A-bad", False, "ValueError: refused")}
     assert seen[1] == {("A-new", True, None), ("A-bad", False, "ValueError: refused")}
+
+
+def test_alert_repeats_are_dropped(spark, arrivals, tmp_path):
+    path, source = arrivals
+    for n in range(2):
+        source.coalesce(1).write.parquet(f"{tmp_path}/in/n={n}")
+    twice = spark.readStream.schema(READING).parquet(f"{tmp_path}/in/n=*")
+    got = collected(spark, jobs.stream_threshold_alerts(twice), tmp_path)
+    expected = alerts.threshold_alerts(source)
+    assert rows(got, *expected.columns) == rows(expected)
+
+
+def test_late_report(spark, arrivals, tmp_path):
+    _, source = arrivals
+    path, out, marks = (str(tmp_path / n) for n in ("in", "late", "marks"))
+    for n in range(4):
+        mixed = source.where(F.pmod(F.xxhash64("trace_id"), F.lit(4)) == n)
+        mixed.coalesce(1).write.parquet(f"{path}/n={n}")
+    for _ in range(2):
+        streams.report_late(
+            stream_of(spark, path), out, marks, str(tmp_path / "c"), every=None
+        ).awaitTermination()
+    expected, newest = set(), None
+    for n in range(4):
+        batch = spark.read.schema(READING).parquet(f"{path}/n={n}").collect()
+        for row in batch:
+            closes = row.event_time.replace(second=0, microsecond=0) + timedelta(minutes=1)
+            if newest is not None and closes <= newest - timedelta(seconds=10):
+                expected.add(row.trace_id)
+        newest = max([r.event_time for r in batch] + ([newest] if newest else []))
+    got = spark.read.schema(READING).parquet(f"{out}/*").select("trace_id").collect()
+    assert sorted(r[0] for r in got) == sorted(expected)
+    assert expected
