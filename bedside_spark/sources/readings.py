@@ -62,6 +62,19 @@ def read_vitals_stream(
     return stream.withColumn("ingestion_time", arrival)
 
 
+def read_between(
+    spark: SparkSession, path: str, time: str, first: datetime, last: datetime
+) -> DataFrame:
+    """Rows of a day-partitioned table within ``[first, last)``.
+
+    The day filter follows from the time range; it is stated because plain Parquet prunes
+    folders by their partition column only.
+    """
+    table = spark.read.parquet(path)
+    days = F.col("day").between(F.lit(first.date()), F.lit(last.date()))
+    return table.where(days & (F.col(time) >= F.lit(first)) & (F.col(time) < F.lit(last)))
+
+
 def load_cohort(spark: SparkSession, path: str) -> DataFrame:
     """Patient ids of a CSV: column ``patient_id``, else the first column; blanks dropped."""
     table = spark.read.csv(path, header=True)

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -111,3 +111,33 @@ def test_hop_counts_every_reading_twice(spark):
 
 def test_work_folder_follows_the_session(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_time_range_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    source = derived.readings(spark, SMALL)
+    tables.write_days(source, "event_time", path)
+    first, last = datetime(2024, 1, 10, 6), datetime(2024, 1, 12)
+    got = readings.read_between(spark, path, "event_time", first, last)
+    within = (F.col("event_time") >= F.lit(first)) & (F.col("event_time") < F.lit(last))
+    assert rows(got, *source.columns) == rows(source.where(within))
+    assert len(got.inputFiles()) > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(event_time" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = (
+        derived.readings(spark, SMALL)
+        .where("heart_rate >= 120")
+        .select("patient_id")
+        ._jdf.queryExecution().executedPlan().toString()
+    )
+    assert "ReadSchema: struct<user_id:bigint,value:double>" in plan
+
+
+def test_newest_reading_needs_no_sort(spark):
+    from bedside_spark.plans.catalog import QUERIES
+
+    plan = QUERIES["latest_vitals"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange") == 1
