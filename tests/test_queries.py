@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 import verify
+from bedside_spark.plans import catalog
+from bedside_spark.plans.oracle import oracle_texts
 from tests.conftest import SMALL
 
-QUERIES, TEXTS = contract.queries(), contract.oracle_sql()
+QUERIES, TEXTS = catalog.QUERIES, oracle_texts()
 
 
 @pytest.fixture(scope="module")
