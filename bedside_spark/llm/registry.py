@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from bedside_spark.llm.licences import op1_license_scan
+from bedside_spark.llm.pieces import op3_sentencepiece
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_sentencepiece": op3_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {}
