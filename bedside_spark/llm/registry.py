@@ -5,10 +5,12 @@ from __future__ import annotations
 from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
+from bedside_spark.llm.substrings import op8_substring_dedup
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_sentencepiece": op3_sentencepiece,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
