@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
+from bedside_spark.llm import quality
+from bedside_spark.llm.quality import op4_quality_rules
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
 from bedside_spark.llm.substrings import op8_substring_dedup
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_quality_rules": op4_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": quality.oracle_sql(),
+}
