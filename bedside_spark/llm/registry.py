@@ -8,9 +8,11 @@ from bedside_spark.llm import quality
 from bedside_spark.llm.quality import op4_quality_rules
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
 from bedside_spark.llm.substrings import op8_substring_dedup
+from bedside_spark.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
