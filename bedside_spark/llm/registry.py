@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bedside_spark.llm.convnet import op9_quality_classifier
 from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
 from bedside_spark.llm import quality
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
