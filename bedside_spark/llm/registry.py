@@ -7,6 +7,7 @@ from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
 from bedside_spark.llm import quality
 from bedside_spark.llm.quality import op4_quality_rules
+from bedside_spark.llm.shards import op6_sharding
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
 from bedside_spark.llm.substrings import op8_substring_dedup
 from bedside_spark.llm.toxicity import op2_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
+    "op6_sharding": op6_sharding,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
