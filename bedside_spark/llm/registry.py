@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bedside_spark.llm.convnet import op9_quality_classifier
+from bedside_spark.llm.leaks import op5_benchmark_decontamination
 from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
 from bedside_spark.llm import quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_sharding": op6_sharding,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
