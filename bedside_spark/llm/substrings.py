@@ -1,18 +1,21 @@
 """Substring dedup: windows of words that occur twice, behind a count-min prefilter.
 
-Three passes over the texts, each a narrow scan:
-
-1. every partition sketches the 64-bit hashes of its windows; the partition sketches are merged
-   block by block into saturating counters, of which only "two or more" is kept (one bit);
-2. windows whose counters in all rows say "two or more" are looked at exactly, by a 128-bit
-   digest of their words. Windows met twice in one chunk of a task are settled there and only
-   announced once, so a passage in a third of all texts arrives as one row per chunk; the rest
-   meet in one shuffle on the digest and are compared in sorted order, one row at a time;
+Narrow scans of the texts and two shuffles:
+
+1. every partition sketches the 64-bit hashes of its windows; partition sketches are merged
+   block by block into saturating counters, of which only "two or more" is kept (one bit). The
+   second row of the sketch counts only windows that the first says are repeated, which takes
+   one more scan and makes it small;
+2. windows whose counters in both rows say "two or more" are grouped exactly, by 128 bits: the
+   smallest hash of their half-windows and a digest of their words. Neighbouring windows mostly
+   share that smallest hash and travel as one row. Windows met twice in one chunk of a task are
+   settled there and only announced once, so a passage in a third of all texts arrives as one
+   row per chunk; after the shuffle the rest is sorted and compared one row at a time;
 3. words covered by repeated windows are removed. Rows are matched by a digest of the whole
    text, so ids may repeat or be null; texts met twice in one batch are settled there.
 
 Counters never underestimate, so no repeated window is lost. The sketch has ``CELLS_PER_WINDOW``
-counters per window up to ``MAX_CELLS``, which bounds what is broadcast at 128 MB; beyond that
+counters per window up to ``MAX_CELLS``, which bounds what is broadcast at 96 MB; beyond that
 it lets more windows through and the second pass does more, with the same result.
 
 Defined results: a null or empty text has no words and keeps an empty text; a text of fewer
@@ -29,15 +32,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from bedside_spark.llm.arrays import NOT_BLANK, document_bytes, mixed, slices, words_of
+from bedside_spark.llm.arrays import NOT_BLANK, Words, document_bytes, mixed, slices, words_of
 from bedside_spark.llm.frames import table, text_bytes
 
 WINDOW = 35
-ROWS = 2
+PART = 17
 CELLS_PER_WINDOW = 4
 MAX_CELLS = 1 << 29
 _BLOCK_BITS = 20
@@ -66,25 +70,23 @@ def _unpacked(body: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel())
 
 
-def _pieces(hashes: np.ndarray, cells: int) -> Iterator[tuple[int, bytes, bytes]]:
+def _pieces(hashes: np.ndarray, row: int, cells: int) -> Iterator[tuple[int, bytes, bytes]]:
     """(block, cells counted once, cells counted more) of one chunk's sketch."""
-    for row in range(ROWS):
-        found, counts = np.unique(_cells(hashes, row, cells), return_counts=True)
-        found = found.astype(np.int64)
-        block = found >> _BLOCK_BITS
-        edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True][: len(block) + 1])
-        for a, b in zip(edges[:-1], edges[1:]):
-            inside, once = found[a:b] & ((1 << _BLOCK_BITS) - 1), counts[a:b] == 1
-            number = row * max(1, cells >> _BLOCK_BITS) + int(block[a])
-            yield number, _packed(inside[once]), _packed(inside[~once])
-
-
-def _sketch(size: int, cells: int):
+    found, counts = np.unique(_cells(hashes, row, cells), return_counts=True)
+    found = found.astype(np.int64)
+    block = found >> _BLOCK_BITS
+    edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True][: len(block) + 1])
+    for a, b in zip(edges[:-1], edges[1:]):
+        inside, once = found[a:b] & ((1 << _BLOCK_BITS) - 1), counts[a:b] == 1
+        yield int(block[a]), _packed(inside[once]), _packed(inside[~once])
+
+
+def _sketch(size: int, row: int, cells: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        earlier, held, n = _Filter(shared), [], 0
 
         def flush() -> pa.RecordBatch:
-            blocks, once, more = zip(*_pieces(np.concatenate(held), cells))
+            blocks, once, more = zip(*_pieces(np.concatenate(held), row, cells))
             return pa.RecordBatch.from_arrays(
                 [pa.array(blocks, pa.int32()), pa.array(once, pa.binary()), pa.array(more, pa.binary())],
                 names=["block", "once", "more"],
@@ -94,6 +96,7 @@ def _sketch(size: int, cells: int):
             data, offsets = document_bytes(batch.column(0))
             for begin, end in slices(offsets):
                 hashes = words_of(data, offsets[begin : end + 1], NOT_BLANK).windows(size)[1]
+                hashes = hashes[earlier.passes(hashes)]
                 if len(hashes):
                     held.append(hashes)
                     n += len(hashes)
@@ -137,33 +140,47 @@ def cells_for(windows: int) -> int:
     return min(MAX_CELLS, 1 << (wanted - 1).bit_length())
 
 
-def repeated_cells(bodies: DataFrame, size: int, cells: int) -> dict[int, bytes]:
-    """Merged sketch: block number to compressed bits of the counters that reach two."""
-    pieces = bodies.select("body").mapInArrow(_sketch(size, cells), "block int, once binary, more binary")
-    merged = (
-        pieces.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block int, bits binary")
-    )
-    return {row.block: bytes(row.bits) for row in merged.collect()}
+def sketch(bodies: DataFrame, size: int, cells: int | None = None) -> list:
+    """Broadcast rows of the merged sketch, each (cells, block number to compressed bits)."""
+    context = bodies.sparkSession.sparkContext
+    if cells is None:
+        # A word and its blank take six bytes in most languages.
+        n = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
+        cells = cells_for(n // 6)
+    rows: list = []
+    for row, width in enumerate((cells, max(cells // 2, 1 << 10))):
+        pieces = bodies.select("body").mapInArrow(
+            _sketch(size, row, width, list(rows)), "block int, once binary, more binary"
+        )
+        merged = (
+            pieces.repartition("block")
+            .sortWithinPartitions("block")
+            .mapInArrow(_merge, "block int, bits binary")
+            .collect()
+        )
+        rows.append(context.broadcast((width, {r.block: bytes(r.bits) for r in merged})))
+    return rows
 
 
 class _Filter:
-    """Bit arrays of the merged sketch, one per row."""
-
-    def __init__(self, blocks: dict[int, bytes], cells: int):
-        self.cells = cells
-        per_row = max(1, cells >> _BLOCK_BITS)
-        width = (1 << _BLOCK_BITS) // 8
-        self.rows = [np.zeros(per_row * width, np.uint8) for _ in range(ROWS)]
-        for number, body in blocks.items():
-            row, block = divmod(number, per_row)
-            bits = np.frombuffer(zlib.decompress(body), np.uint8)
-            self.rows[row][block * width : (block + 1) * width] = bits
+    """Bit arrays of the merged rows of the sketch."""
+
+    def __init__(self, shared: list):
+        self.rows = []
+        for row in shared:
+            cells, blocks = row.value
+            width = (1 << _BLOCK_BITS) // 8
+            bits = np.zeros(max(1, cells >> _BLOCK_BITS) * width, np.uint8)
+            for block, body in blocks.items():
+                part = np.frombuffer(zlib.decompress(body), np.uint8)
+                bits[block * width : (block + 1) * width] = part
+            self.rows.append((cells, bits))
 
     def passes(self, hashes: np.ndarray) -> np.ndarray:
         """Indices of the hashes all of whose counters reach two."""
         index = np.arange(len(hashes))
-        for row, bits in enumerate(self.rows):
-            cell = _cells(hashes[index], row, self.cells)
+        for row, (cells, bits) in enumerate(self.rows):
+            cell = _cells(hashes[index], row, cells)
             byte = bits[(cell >> np.uint64(3)).astype(np.int64)]
             index = index[(byte >> (7 - (cell & np.uint64(7))).astype(np.uint8)) & 1 == 1]
         return index
@@ -171,59 +188,71 @@ class _Filter:
 
 # ---- exact comparison ---------------------------------------------------------------------
 
-_PLACES = pa.schema([
-    ("key_hi", pa.int64()), ("key_lo", pa.int64()), ("text_hi", pa.int64()),
-    ("text_lo", pa.int64()), ("at", pa.int32()), ("many", pa.binary()),
+_RUNS = pa.schema([
+    ("key", pa.int64()), ("text_hi", pa.int64()), ("text_lo", pa.int64()),
+    ("places", pa.binary()), ("digests", pa.binary()),
 ])
-_PLACES_SQL = "key_hi long, key_lo long, text_hi long, text_lo long, at int, many binary"
+_RUNS_SQL = "key long, text_hi long, text_lo long, places binary, digests binary"
+_WINDOWS_SQL = "key long, digest long, text_hi long, text_lo long, at int, many binary"
+_PLACES_SQL = "text_hi long, text_lo long, many binary"
 
 
-def _halves(digests: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _halves(digests: list[int]) -> np.ndarray:
     raw = b"".join(d.to_bytes(16, "big") for d in digests)
-    both = np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+    return np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
+
+
+def _runs(differs: np.ndarray) -> np.ndarray:
+    """First index of each run, given where an element differs from the one before."""
+    return np.flatnonzero(np.r_[True, differs])
 
 
-def _settled(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """Rows for the shuffle, from the candidates of one chunk.
+def _split(values: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """Bytes of the runs of ``values`` that begin at ``starts``."""
+    width, raw = values.itemsize, values.tobytes()
+    ends = np.r_[starts[1:], len(values)] * width
+    return [raw[a:b] for a, b in zip((starts * width).tolist(), ends.tolist())]
 
-    A window met once travels with its place. One met more often is repeated whatever comes,
-    so it is only announced (``at`` null), and its places travel per text in ``many``.
+
+def _settled(keys, digests, texts, places) -> Iterator[tuple]:
+    """Columns of ``_RUNS`` from the candidates of one chunk, in the order of the texts.
+
+    Windows met once travel with their places, those with one key and text in one row. One met
+    more often is repeated whatever comes, so it is only announced (no places), and its places
+    travel per text without digests.
     """
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
-    ranked = keys[order]
-    new = np.r_[True, (ranked[1:] != ranked[:-1]).any(axis=1)]
-    count = np.diff(np.r_[np.flatnonzero(new), len(order)])
+    order = np.lexsort((digests, keys))
+    k, d = keys[order], digests[order]
+    first = _runs((k[1:] != k[:-1]) | (d[1:] != d[:-1]))
+    count = np.diff(np.r_[first, len(order)])
     repeated = np.repeat(count > 1, count)
-    single = order[~repeated]
-    known = order[np.flatnonzero(new)[count > 1]]
-    columns = [[keys[single], texts[single], places[single], [None] * len(single)]]
-    columns.append([keys[known], np.zeros((len(known), 2), np.int64), [None] * len(known), [None] * len(known)])
-    if repeated.any():
+    single = np.sort(order[~repeated])
+    if len(single):
+        k, t = keys[single], texts[single]
+        cut = _runs((k[1:] != k[:-1]) | (t[1:] != t[:-1]).any(axis=1))
+        rows = (_split(places[single], cut), _split(digests[single], cut))
+        yield k[cut], t[cut, 0], t[cut, 1], *rows
+    known = order[first[count > 1]]
+    if len(known):
+        k = keys[known]
+        cut = _runs(k[1:] != k[:-1])
+        none = np.zeros(len(cut), np.int64)
+        yield k[cut], none, none, [None] * len(cut), _split(digests[known], cut)
         chosen = np.sort(order[repeated])
-        own, where = texts[chosen], places[chosen]
-        cut = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]).any(axis=1)])
-        many = [w.astype("<i4").tobytes() for w in np.split(where, cut[1:])]
-        columns.append([own[cut], own[cut], [None] * len(cut), many])
-    rows = [list(part) for part in zip(*columns)]
-    arrays = [np.concatenate(rows[i])[:, j] for i in (0, 1) for j in (0, 1)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()) for a in arrays]
-        + [pa.array([x for part in rows[2] for x in part], pa.int32())]
-        + [pa.array([x for part in rows[3] for x in part], pa.binary())],
-        schema=_PLACES,
-    )
+        t = texts[chosen]
+        cut = _runs((t[1:] != t[:-1]).any(axis=1))
+        yield t[cut, 0], t[cut, 0], t[cut, 1], _split(places[chosen], cut), [None] * len(cut)
 
 
-def _candidates(size: int, shared):
+def _candidates(size: int, shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = _Filter(*shared.value)
-        held: list[tuple] = []
-        n = 0
+        chosen, held, n = _Filter(shared), [], 0
 
-        def flush() -> pa.RecordBatch:
-            keys, texts, places = (np.concatenate(part) for part in zip(*held))
-            return _settled(keys, texts, places)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for columns in _settled(*(np.concatenate(part) for part in zip(*held))):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, _RUNS)], schema=_RUNS
+                )
 
         for batch in batches:
             data, offsets = document_bytes(batch.column(0))
@@ -232,23 +261,30 @@ def _candidates(size: int, shared):
                 first, hashes = words.windows(size)
                 first = first[chosen.passes(hashes)]
                 if len(first):
-                    held.append(_digested(words, first, size))
+                    held.append(_described(words, first, size))
                     n += len(first)
                 if n >= _CANDIDATES:
-                    yield flush()
+                    yield from flush()
                     held, n = [], 0
         if n:
-            yield flush()
+            yield from flush()
 
     return run
 
 
-def _digested(words, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window digests, text digests, first words) of candidate windows."""
+def _described(words: Words, first: np.ndarray, size: int) -> tuple:
+    """(keys, digests, text digests, places) of the candidate windows starting at ``first``."""
+    part = min(PART, size)
+    begin, hashes = words.windows(part)
+    by_word = np.zeros(len(words.starts), np.uint64)
+    by_word[begin] = hashes
+    span = np.lib.stride_tricks.sliding_window_view(by_word, size - part + 1)
+    keys = span[first].min(axis=1).view(np.int64)
     document = np.searchsorted(words.first, first, "right") - 1
     whole = words.data.tobytes()
-    keys: list[int] = []
+    digests: list[int] = []
     texts: list[int] = []
+    digest = xxhash.xxh3_64_intdigest
     for d in np.unique(document).tolist():
         body = whole[words.offsets[d] : words.offsets[d + 1]]
         a, b = words.first[d], words.first[d + 1]
@@ -256,78 +292,109 @@ def _digested(words, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
         ends = np.cumsum(words.ends[a:b] - words.starts[a:b] + 1) - 1
         begins = np.r_[0, ends[:-1] + 1]
         own = first[np.searchsorted(first, a) : np.searchsorted(first, b)] - a
-        digest = xxhash.xxh3_128_intdigest
         spans = zip(begins[own].tolist(), ends[own + size - 1].tolist())
-        keys += [digest(line[x:y]) for x, y in spans]
-        texts += [digest(body)] * len(own)
-    places = first - words.first[document]
-    return np.stack(_halves(keys), 1), np.stack(_halves(texts), 1), places.astype(np.int32)
+        digests += [digest(line[x:y]) for x, y in spans]
+        texts += [xxhash.xxh3_128_intdigest(body)] * len(own)
+    places = (first - words.first[document]).astype("<i4")
+    return keys, np.array(digests, np.uint64).view(np.int64), _halves(texts), places
+
+
+def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per window; settled places of a text stay one row."""
+    for batch in batches:
+        key, hi, lo = (batch.column(i).to_numpy() for i in range(3))
+        places, digests = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+        counts = np.array([1 if d is None else len(d) // 8 for d in digests], np.int64)
+        digest, at, many = [], [], []
+        for p, d in zip(places, digests):
+            n = 1 if d is None else len(d) // 8
+            digest.append(np.zeros(1, "<i8") if d is None else np.frombuffer(d, "<i8"))
+            told = p is None or d is None
+            at.append(np.full(n, -1, "<i4") if told else np.frombuffer(p, "<i4"))
+            many += [p] if d is None else [None] * n
+        at = np.concatenate(at) if at else np.zeros(0, "<i4")
+        digest = np.concatenate(digest) if digest else np.zeros(0, "<i8")
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(key, counts), pa.int64()),
+                pa.array(digest, pa.int64()),
+                pa.array(np.repeat(hi, counts), pa.int64()),
+                pa.array(np.repeat(lo, counts), pa.int64()),
+                pa.array(at, pa.int32()),
+                pa.array(many, pa.binary()),
+            ],
+            names=["key", "digest", "text_hi", "text_lo", "at", "many"],
+        )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by digest, the places of all digests that occur twice or are announced.
+    """From windows sorted by key and digest, the places of all that occur twice or are announced.
 
-    Only the first row of a digest is held until it is known whether another follows.
+    Only the first row of a window is held until it is known whether another follows; places
+    are gathered by text before they go out.
     """
-    before = None  # (digest, its place if not yet given out)
+    before = None  # (key, digest) and its place, None if that is given out or was announced
+    held: list[np.ndarray] = []
+    n = 0
+
+    def flush() -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        cut = _runs((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
+        return _places(rows[cut, 0], rows[cut, 1], _split(rows[:, 2].astype("<i4"), cut))
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        at, many = batch.column(4), batch.column(5)
-        told = at.is_null().to_numpy(zero_copy_only=False)
-        place = at.fill_null(-1).to_numpy(zero_copy_only=False)
-        carries = many.is_valid().to_numpy(zero_copy_only=False)
-        hi, lo, text_hi, text_lo = rows
-        new = np.r_[True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])]
-        if before and len(hi) and (hi[0], lo[0]) == before[0]:
-            new[0] = False
-        group = np.cumsum(new)
-        plain = ~carries
-        count = np.bincount(group[plain], minlength=group[-1] + 1 if len(group) else 1)
-        count += np.bincount(group[plain & told], minlength=len(count))
-        out = []
-        if before and len(hi) and not new[0]:
-            if before[1] is not None and count[0] > 0:
-                out.append(before[1])
+        key, digest, text_hi, text_lo, at = (batch.column(i).to_numpy() for i in range(5))
+        carries = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
+        if carries.any():
+            ready = batch.filter(pa.array(carries))
+            yield _places(*(ready.column(i) for i in (2, 3, 5)))
+        new = np.r_[True, (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])]
+        going_on = before is not None and (key[0], digest[0]) == before[0]
+        new[0] = not going_on
+        group, told = np.cumsum(new), at < 0
+        count = np.bincount(group[~carries], minlength=group[-1] + 1)
+        count += np.bincount(group[~carries & told], minlength=len(count))
+        if going_on:
+            if before[1] is not None and count[0]:
+                held.append(np.array([before[1]], np.int64))
+                n += 1
             count[0] += 1 if before[1] is not None else 2
-        give = plain & ~told & (count[group] > 1)
-        columns = [text_hi[give], text_lo[give], place[give]]
-        if out:
-            columns = [np.r_[np.array([o[i] for o in out]), c] for i, c in enumerate(columns)]
-        bodies = [None] * len(columns[0]) + [many[int(i)].as_py() for i in np.flatnonzero(carries)]
-        positions = [int(p) for p in columns[2]] + [None] * int(carries.sum())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.r_[columns[0], text_hi[carries]], pa.int64()),
-                pa.array(np.r_[columns[1], text_lo[carries]], pa.int64()),
-                pa.array(positions, pa.int32()),
-                pa.array(bodies, pa.binary()),
-            ],
-            names=["text_hi", "text_lo", "at", "many"],
-        )
+        give = ~carries & ~told & (count[group] > 1)
+        held.append(np.stack([text_hi[give], text_lo[give], at[give].astype(np.int64)], 1))
+        n += int(give.sum())
         seen = count[group[-1]]
-        pending = (text_hi[-1], text_lo[-1], place[-1]) if seen == 1 else None
-        before = ((hi[-1], lo[-1]), pending) if seen else None
+        pending = (text_hi[-1], text_lo[-1], at[-1]) if seen == 1 else None
+        before = ((key[-1], digest[-1]), pending) if seen else None
+        if n >= _CHUNK:
+            yield flush()
+            held, n = [], 0
+    if n:
+        yield flush()
+
+
+def _places(text_hi, text_lo, many) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(text_hi, pa.int64()), pa.array(text_lo, pa.int64()), pa.array(many, pa.binary())],
+        names=["text_hi", "text_lo", "many"],
+    )
 
 
 def repeated_places(docs: DataFrame, size: int = WINDOW, cells: int | None = None) -> DataFrame:
-    """(text_hi, text_lo, at, many): starts of windows whose words also start elsewhere.
+    """(text_hi, text_lo, many): starts of windows whose words also start elsewhere.
 
-    One start in ``at``, or several as little-endian 32-bit integers in ``many``; the text is
-    named by its 128-bit digest.
+    ``many`` holds them as little-endian 32-bit integers; the text is named by its 128-bit
+    digest and may have several rows.
     """
-    spark, bodies = docs.sparkSession, text_bytes(docs)
-    if cells is None:
-        # A word and its blank take two bytes at least, six in most languages.
-        n = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
-        cells = cells_for(n // 6)
-    shared = spark.sparkContext.broadcast((repeated_cells(bodies, size, cells), cells))
+    bodies = text_bytes(docs)
     return (
-        bodies.mapInArrow(_candidates(size, shared), _PLACES_SQL)
-        .repartition("key_hi", "key_lo")
-        .sortWithinPartitions("key_hi", "key_lo")
-        .mapInArrow(_compare, "text_hi long, text_lo long, at int, many binary")
+        bodies.mapInArrow(_candidates(size, sketch(bodies, size, cells=cells)), _RUNS_SQL)
+        .repartition("key")
+        .mapInArrow(_expanded, _WINDOWS_SQL)
+        .sortWithinPartitions("key", "digest")
+        .mapInArrow(_compare, _PLACES_SQL)
     )
 
 
@@ -377,7 +444,8 @@ def _prepared(size: int, digests: bool):
                         n = len(body.split())
                         done[d] = _outcome(body, np.arange(max(0, n - size + 1)), size, digests)
                     results.append(done[d])
-            hi, lo = _halves(digest) if digest else (np.zeros(0, np.int64),) * 2
+            hi, lo = _halves(digest).T
+            pack = zstandard.ZstdCompressor(level=3).compress
             settled = np.array([r[0] is not None for r in results], bool)
             # Settled rows need no partner: they spread by the row instead of the text.
             spread = np.arange(len(digest)) * 0x9E3779B97F4A7C1
@@ -386,7 +454,7 @@ def _prepared(size: int, digests: bool):
                     pa.array(np.where(settled, spread, hi), pa.int64()),
                     pa.array(np.where(settled, -spread, lo), pa.int64()),
                     batch.column(0),
-                    pa.array([None if s else b for s, b in zip(settled, bodies)], pa.binary()),
+                    pa.array([None if s else pack(b) for s, b in zip(settled, bodies)], pa.binary()),
                     *[
                         pa.array([r[i] for r in results], t)
                         for i, t in enumerate((pa.int64(), pa.int64(), pa.string()))
@@ -402,9 +470,9 @@ def _apply(size: int, digests: bool, key: pa.DataType):
     """Rows sorted by text, places before documents; holds the places of one text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts = None, []
+        current, parts, unpack = None, [], zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            hi, lo, kind, at, many, ids, bodies, words, removed, kept = (
+            hi, lo, kind, many, ids, bodies, words, removed, kept = (
                 c.to_pylist() for c in batch.columns
             )
             out: list[tuple] = []
@@ -412,16 +480,13 @@ def _apply(size: int, digests: bool, key: pa.DataType):
                 if kind[i] == 0:
                     if current != (hi[i], lo[i]):
                         current, parts = (hi[i], lo[i]), []
-                    if many[i] is None:
-                        parts.append(at[i])
-                    else:
-                        parts.extend(np.frombuffer(many[i], "<i4").tolist())
+                    parts.append(np.frombuffer(many[i], "<i4"))
                 elif words[i] is not None:
                     out.append((ids[i], words[i], removed[i], kept[i]))
                 else:
-                    own = parts if current == (hi[i], lo[i]) else ()
-                    places = np.unique(np.array(own, np.int64))
-                    out.append((ids[i], *_outcome(bodies[i], places, size, digests)))
+                    own = parts if current == (hi[i], lo[i]) else []
+                    places = np.unique(np.concatenate(own)) if own else ()
+                    out.append((ids[i], *_outcome(unpack(bodies[i]), places, size, digests)))
             columns = list(zip(*out)) if out else [()] * 4
             types = (key, pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -441,14 +506,14 @@ def remove_repeated(
     """
     key = docs.schema["doc_id"].dataType
     places = repeated_places(docs, size, cells).select(
-        "text_hi", "text_lo", F.lit(0).alias("kind"), "at", "many",
+        "text_hi", "text_lo", F.lit(0).alias("kind"), "many",
         F.lit(None).cast(key).alias("doc_id"), F.lit(None).cast("binary").alias("body"),
         *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in _RESULT],
     )
     schema = f"text_hi long, text_lo long, doc_id {key.simpleString()}, body binary, {', '.join(_RESULT)}"
     rows = text_bytes(docs, "doc_id").mapInArrow(_prepared(size, digests), schema)
     rows = rows.select(
-        "text_hi", "text_lo", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("at"),
+        "text_hi", "text_lo", F.lit(1).alias("kind"),
         F.lit(None).cast("binary").alias("many"), "doc_id", "body", "n_words", "n_removed", "kept",
     )
     return (
