@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 from bedside_spark.session import prepare, work_folder
 
 
+#: Rows of an Arrow batch: texts may be long, and a batch is held on both sides of the pipe.
+BATCH_ROWS = 2_000
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the engine's settings and batches small enough for whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return prepare(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_bytes(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:

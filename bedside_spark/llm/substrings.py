@@ -46,8 +46,8 @@ CELLS_PER_WINDOW = 4
 MAX_CELLS = 1 << 29
 _BLOCK_BITS = 20
 #: Windows sketched or compared at once by a task.
-_CHUNK = 2_000_000
-_CANDIDATES = 500_000
+_CHUNK = 1_000_000
+_CANDIDATES = 250_000
 
 
 # ---- the sketch ---------------------------------------------------------------------------
@@ -190,11 +190,10 @@ class _Filter:
 
 _RUNS = pa.schema([
     ("key", pa.int64()), ("text_hi", pa.int64()), ("text_lo", pa.int64()),
-    ("places", pa.binary()), ("digests", pa.binary()),
+    ("places", pa.list_(pa.int32())), ("digests", pa.list_(pa.int64())),
 ])
-_RUNS_SQL = "key long, text_hi long, text_lo long, places binary, digests binary"
-_WINDOWS_SQL = "key long, digest long, text_hi long, text_lo long, at int, many binary"
-_PLACES_SQL = "text_hi long, text_lo long, many binary"
+_RUNS_SQL = "key long, text_hi long, text_lo long, places array<int>, digests array<long>"
+_PLACES_SQL = "text_hi long, text_lo long, many array<int>"
 
 
 def _halves(digests: list[int]) -> np.ndarray:
@@ -207,11 +206,9 @@ def _runs(differs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, differs])
 
 
-def _split(values: np.ndarray, starts: np.ndarray) -> list[bytes]:
-    """Bytes of the runs of ``values`` that begin at ``starts``."""
-    width, raw = values.itemsize, values.tobytes()
-    ends = np.r_[starts[1:], len(values)] * width
-    return [raw[a:b] for a, b in zip((starts * width).tolist(), ends.tolist())]
+def _lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    """The runs of ``values`` that begin at ``starts`` as one list each."""
+    return pa.ListArray.from_arrays(np.r_[starts, len(values)].astype(np.int32), values)
 
 
 def _settled(keys, digests, texts, places) -> Iterator[tuple]:
@@ -230,18 +227,17 @@ def _settled(keys, digests, texts, places) -> Iterator[tuple]:
     if len(single):
         k, t = keys[single], texts[single]
         cut = _runs((k[1:] != k[:-1]) | (t[1:] != t[:-1]).any(axis=1))
-        rows = (_split(places[single], cut), _split(digests[single], cut))
-        yield k[cut], t[cut, 0], t[cut, 1], *rows
+        yield k[cut], t[cut, 0], t[cut, 1], _lists(places[single], cut), _lists(digests[single], cut)
     known = order[first[count > 1]]
     if len(known):
         k = keys[known]
         cut = _runs(k[1:] != k[:-1])
         none = np.zeros(len(cut), np.int64)
-        yield k[cut], none, none, [None] * len(cut), _split(digests[known], cut)
+        yield k[cut], none, none, [None] * len(cut), _lists(digests[known], cut)
         chosen = np.sort(order[repeated])
         t = texts[chosen]
         cut = _runs((t[1:] != t[:-1]).any(axis=1))
-        yield t[cut, 0], t[cut, 0], t[cut, 1], _split(places[chosen], cut), [None] * len(cut)
+        yield t[cut, 0], t[cut, 0], t[cut, 1], _lists(places[chosen], cut), [None] * len(cut)
 
 
 def _candidates(size: int, shared: list):
@@ -295,36 +291,27 @@ def _described(words: Words, first: np.ndarray, size: int) -> tuple:
         spans = zip(begins[own].tolist(), ends[own + size - 1].tolist())
         digests += [digest(line[x:y]) for x, y in spans]
         texts += [xxhash.xxh3_128_intdigest(body)] * len(own)
-    places = (first - words.first[document]).astype("<i4")
+    places = (first - words.first[document]).astype(np.int32)
     return keys, np.array(digests, np.uint64).view(np.int64), _halves(texts), places
 
 
-def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window; settled places of a text stay one row."""
-    for batch in batches:
-        key, hi, lo = (batch.column(i).to_numpy() for i in range(3))
-        places, digests = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        counts = np.array([1 if d is None else len(d) // 8 for d in digests], np.int64)
-        digest, at, many = [], [], []
-        for p, d in zip(places, digests):
-            n = 1 if d is None else len(d) // 8
-            digest.append(np.zeros(1, "<i8") if d is None else np.frombuffer(d, "<i8"))
-            told = p is None or d is None
-            at.append(np.full(n, -1, "<i4") if told else np.frombuffer(p, "<i4"))
-            many += [p] if d is None else [None] * n
-        at = np.concatenate(at) if at else np.zeros(0, "<i4")
-        digest = np.concatenate(digest) if digest else np.zeros(0, "<i8")
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(key, counts), pa.int64()),
-                pa.array(digest, pa.int64()),
-                pa.array(np.repeat(hi, counts), pa.int64()),
-                pa.array(np.repeat(lo, counts), pa.int64()),
-                pa.array(at, pa.int32()),
-                pa.array(many, pa.binary()),
-            ],
-            names=["key", "digest", "text_hi", "text_lo", "at", "many"],
-        )
+def _expanded(runs: DataFrame) -> DataFrame:
+    """One row per window, ``at`` -1 if only announced; settled places of a text stay one row."""
+    window = F.transform(
+        "digests",
+        lambda digest, i: F.struct(
+            digest.alias("digest"),
+            F.coalesce(F.get("places", i), F.lit(-1)).alias("at"),
+            F.lit(None).cast("array<int>").alias("many"),
+        ),
+    )
+    settled = F.struct(
+        F.lit(0).cast("long").alias("digest"), F.lit(-1).alias("at"), F.col("places").alias("many")
+    )
+    rows = F.when(F.col("digests").isNull(), F.array(settled)).otherwise(window)
+    return runs.select("key", "text_hi", "text_lo", F.explode(rows).alias("row")).select(
+        "key", "row.digest", "text_hi", "text_lo", "row.at", "row.many"
+    )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +328,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(held)
         rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
         cut = _runs((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
-        return _places(rows[cut, 0], rows[cut, 1], _split(rows[:, 2].astype("<i4"), cut))
+        return _places(rows[cut, 0], rows[cut, 1], _lists(rows[:, 2].astype(np.int32), cut))
 
     for batch in batches:
         if not batch.num_rows:
@@ -377,7 +364,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _places(text_hi, text_lo, many) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(text_hi, pa.int64()), pa.array(text_lo, pa.int64()), pa.array(many, pa.binary())],
+        [pa.array(text_hi, pa.int64()), pa.array(text_lo, pa.int64()), many],
         names=["text_hi", "text_lo", "many"],
     )
 
@@ -385,14 +372,12 @@ def _places(text_hi, text_lo, many) -> pa.RecordBatch:
 def repeated_places(docs: DataFrame, size: int = WINDOW, cells: int | None = None) -> DataFrame:
     """(text_hi, text_lo, many): starts of windows whose words also start elsewhere.
 
-    ``many`` holds them as little-endian 32-bit integers; the text is named by its 128-bit
-    digest and may have several rows.
+    The text is named by its 128-bit digest and may have several rows.
     """
     bodies = text_bytes(docs)
+    found = bodies.mapInArrow(_candidates(size, sketch(bodies, size, cells=cells)), _RUNS_SQL)
     return (
-        bodies.mapInArrow(_candidates(size, sketch(bodies, size, cells=cells)), _RUNS_SQL)
-        .repartition("key")
-        .mapInArrow(_expanded, _WINDOWS_SQL)
+        _expanded(found.repartition("key"))
         .sortWithinPartitions("key", "digest")
         .mapInArrow(_compare, _PLACES_SQL)
     )
@@ -419,7 +404,9 @@ _RESULT = ("n_words long", "n_removed long", "kept string")
 
 def _outcome(body: bytes, places: np.ndarray, size: int, digests: bool) -> tuple:
     n, removed, kept = _kept(body, places, size)
-    return n, removed, hashlib.sha256(kept).hexdigest() if digests else kept.decode()
+    if digests:
+        return n, removed, hashlib.sha256(kept).hexdigest()
+    return n, removed, (kept if removed else body).decode()
 
 
 def _prepared(size: int, digests: bool):
@@ -480,7 +467,7 @@ def _apply(size: int, digests: bool, key: pa.DataType):
                 if kind[i] == 0:
                     if current != (hi[i], lo[i]):
                         current, parts = (hi[i], lo[i]), []
-                    parts.append(np.frombuffer(many[i], "<i4"))
+                    parts.append(np.array(many[i], np.int32))
                 elif words[i] is not None:
                     out.append((ids[i], words[i], removed[i], kept[i]))
                 else:
@@ -502,7 +489,8 @@ def remove_repeated(
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words no repeated window covers.
 
-    ``kept`` joins them by single spaces; with ``digests`` it is the SHA-256 of that text.
+    ``kept`` is the text itself if nothing is removed, else the kept words joined by single
+    spaces; with ``digests`` it is the SHA-256 of the joined words in either case.
     """
     key = docs.schema["doc_id"].dataType
     places = repeated_places(docs, size, cells).select(
@@ -514,7 +502,7 @@ def remove_repeated(
     rows = text_bytes(docs, "doc_id").mapInArrow(_prepared(size, digests), schema)
     rows = rows.select(
         "text_hi", "text_lo", F.lit(1).alias("kind"),
-        F.lit(None).cast("binary").alias("many"), "doc_id", "body", "n_words", "n_removed", "kept",
+        F.lit(None).cast("array<int>").alias("many"), "doc_id", "body", "n_words", "n_removed", "kept",
     )
     return (
         places.unionByName(rows)
@@ -527,6 +515,14 @@ def remove_repeated(
     )
 
 
+def cut_repeated(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The documents with repeated passages cut out of ``text``; other columns as they are."""
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("doc_id"), "text")
+    found = remove_repeated(rows, size)
+    return found.select("doc_id.*", F.col("kept").alias("text")).select(*docs.columns)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated(table(spark, sf_dir, "documents"), digests=True)
     return found.withColumnRenamed("kept", "kept_sha256")
