@@ -194,6 +194,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that leak no benchmark item, with their columns as they are."""
+    found = checkpointed(leaks(docs, benchmark).select("doc_id", "doc_text").distinct())
+    found = found.withColumnsRenamed({"doc_id": "id", "doc_text": "hash"})
+    if found.count() <= BROADCAST_WINDOWS:
+        found = F.broadcast(found)
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (digest == F.col("hash"))
+    return docs.join(found, same, "left_anti")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("doc_text")

@@ -332,54 +332,62 @@ def read_model(path: str | None = None) -> bytes:
         return file.read()
 
 
-def _texts(column: pa.Array) -> Iterator[list[str]]:
+def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end, texts) of slices of a column."""
     sizes = np.r_[0, np.cumsum([len(v.as_buffer()) if v.is_valid else 0 for v in column])]
     for begin, end in slices(sizes):
         yield begin, end, [t or "" for t in column.slice(begin, end - begin).to_pylist()]
 
 
+_OUTPUTS = {
+    "n_tokens": ("long", pa.int64()),
+    "ids": ("array<int>", pa.list_(pa.int32())),
+    "decoded": ("string", pa.string()),
+    "ids_sha256": ("string", pa.string()),
+    "decoded_sha256": ("string", pa.string()),
+}
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def encode(
-    docs: DataFrame, model: bytes | None = None, *, digests: bool = False, text: str = "text"
+    docs: DataFrame,
+    model: bytes | None = None,
+    outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"),
 ) -> DataFrame:
-    """Per document its ``ids`` and the ``decoded`` text; with ``digests`` their SHA-256 instead.
+    """doc_id and the ``outputs`` of every document's whole text.
 
-    With ``digests`` the columns are n_tokens, ids_sha256 (of the decimal ids joined by commas)
-    and decoded_sha256.
+    n_tokens, ids, the decoded text, and the SHA-256 of the decimal ids joined by commas and of
+    the decoded text in UTF-8.
     """
     model = model or read_model()
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
-        sha = lambda b: hashlib.sha256(b).hexdigest()
+
+        def digests(texts: list[bytes]) -> list[str]:
+            return [hashlib.sha256(t).hexdigest() for t in texts]
+
         for batch in batches:
             keys = batch.column(0)
             for begin, end, texts in _texts(batch.column(1)):
                 ids, counts, joined = pieces.encode(texts)
                 decoded = pieces.decode(ids, counts)
-                if digests:
-                    values = [
-                        pa.array(counts, pa.int64()),
-                        pa.array([sha(j.encode()) for j in joined], pa.string()),
-                        pa.array([sha(d) for d in decoded], pa.string()),
-                    ]
-                else:
-                    ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
-                    values = [
-                        pa.array(counts, pa.int64()),
-                        pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32())),
-                        pa.array([d.decode() for d in decoded], pa.string()),
-                    ]
+                ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
+                made = {
+                    "n_tokens": lambda: counts,
+                    "ids": lambda: pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32())),
+                    "decoded": lambda: [d.decode() for d in decoded],
+                    "ids_sha256": lambda: digests([j.encode() for j in joined]),
+                    "decoded_sha256": lambda: digests(decoded),
+                }
+                values = [pa.array(made[name](), _OUTPUTS[name][1]) for name in outputs]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(begin, end - begin), *values], names=["doc_id", *names]
+                    [keys.slice(begin, end - begin), *values], names=["doc_id", *outputs]
                 )
 
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else [
-        "n_tokens", "ids", "decoded"
-    ]
-    kinds = ("string", "string") if digests else ("array<int>", "string")
-    schema = f"doc_id {key}, n_tokens long, {names[1]} {kinds[0]}, {names[2]} {kinds[1]}"
-    return docs.select("doc_id", text).mapInArrow(run, schema)
+    schema = ", ".join([f"doc_id {key}", *(f"{name} {_OUTPUTS[name][0]}" for name in outputs)])
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
@@ -402,4 +410,4 @@ def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), digests=True)
+    return encode(table(spark, sf_dir, "documents"), outputs=DIGESTS)

@@ -114,15 +114,15 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
     class_distance, word_distance (null below the minimum lengths), kept.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(*keep, text.alias("body"))
+    base = docs.select(F.struct(*keep).alias("row"), text.alias("body"))
     split = base.select(
-        *keep,
+        "row",
         "body",
         F.array_remove(F.split("body", BLANK), "").alias("words"),
     )
     vocabulary = sorted({w for words in COMMON.values() for w in words})
     listed = split.select(
-        *keep,
+        "row",
         "body",
         "words",
         F.expr(
@@ -137,7 +137,7 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
     length = F.length("body")
     counts = [length - F.length(F.regexp_replace("body", c, "")) for c in CLASSES.values()]
     counted = listed.select(
-        *keep,
+        "row",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (length - F.length(F.regexp_replace("body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -185,7 +185,7 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
         for i, language in enumerate(COMMON)
     ]
     judged = counted.select(
-        *keep,
+        "row.*",
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
         failed.alias("base_failed"),
         F.when(F.col("n_chars") >= MIN_CHARS, F.least(*by_class)).alias("class_distance"),
@@ -198,6 +198,17 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
     return judged.withColumn("kept", ~F.col("base_failed") & fits).drop("n_chars")
 
 
+def drop_rejected(docs: DataFrame) -> DataFrame:
+    """The documents the rules keep, with their columns as they are.
+
+    The verdict passes through a one-row generator: a filter on it would otherwise be pushed down
+    and repeat all its calculations.
+    """
+    judged = quality_rules(docs.select(F.struct("*").alias("document"), "text"), "document")
+    verdict = judged.select("document", F.explode(F.array("kept")).alias("verdict"))
+    return verdict.where("verdict").select("document.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"), "doc_id")
     return judged.withColumns(

@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedside_spark.llm.components import stars
-from bedside_spark.llm.frames import checkpointed, table, text_bytes
+from bedside_spark.llm.frames import checkpointed, table
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 BUCKET = 64
+#: Rows (16 bytes each) that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Shingles whose bits are counted at once.
 _CHUNK = 1 << 16
@@ -59,16 +61,21 @@ def fingerprint(body: bytes | None) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = [fingerprint(v.as_py()) for v in batch.column(1)]
+        values = [fingerprint(v.as_py()) for v in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"]
+            [*batch.columns[:2], pa.array(values, pa.int64())], names=["doc_id", "text_hash", "fp"]
         )
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every document's whole text."""
+    """(doc_id, text_hash, fp) of every document's whole text."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    return text_bytes(docs, "doc_id").mapInArrow(_fingerprints, f"doc_id {key}, fp long")
+    rows = docs.select("doc_id", _text_hash().alias("text_hash"), F.col("text").cast("binary"))
+    return rows.mapInArrow(_fingerprints, f"doc_id {key}, text_hash long, fp long")
 
 
 def _ball(value, width: int) -> list:
@@ -131,7 +138,10 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of every document."""
+    """(doc_id, text_hash, fp, root, component_id) of every document.
+
+    ``root`` is the smallest fingerprint of the component, which names it even without ids.
+    """
     marked = checkpointed(fingerprints(docs))
     fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     tree = stars(links(fps.select("fp")))
@@ -141,8 +151,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     least = checkpointed(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """One document of each component, with its columns as they are.
+
+    The one with the smallest id stays (without ids, or for equal ids, the smallest text hash);
+    of equal rows one stays. The list of the others is broadcast up to ``BROADCAST_ROWS`` rows.
+    """
+    rows = checkpointed(near_duplicates(docs).groupBy("root", "doc_id", "text_hash").count())
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = checkpointed(rows.groupBy("root").agg(F.min(rank).alias("head")))
+    told = checkpointed(
+        rows.join(first, "root").select(
+            F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "count",
+            (rank == F.col("head")).alias("stays"),
+        )
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (_text_hash() == F.col("hash"))
+
+    def listed(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select("id", "hash")
+        return F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+
+    single = docs.join(listed(told.where("not stays or count > 1")), same, "left_anti")
+    copies = told.where("stays and count > 1")
+    if copies.isEmpty():
+        return single
+    again = docs.join(listed(copies), same, "left_semi")
+    return single.unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
