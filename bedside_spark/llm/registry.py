@@ -11,6 +11,7 @@ from bedside_spark.llm.quality import op4_quality_rules
 from bedside_spark.llm.shards import op6_sharding
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
 from bedside_spark.llm.substrings import op8_substring_dedup
+from bedside_spark.llm.tokencounts import op7_token_counts
 from bedside_spark.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_sharding": op6_sharding,
+    "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
