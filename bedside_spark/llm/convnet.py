@@ -28,7 +28,7 @@ from bedside_spark.llm.frames import remainder_of_id, table, text_bytes
 from bedside_spark.llm.samples import labelled_ids
 
 TRAIN_ROWS = 3_000
-EPOCHS = 8
+STEPS = 750
 MINIBATCH = 32
 RATE = 0.01
 CHUNK, OVERLAP = 512, 16
@@ -119,8 +119,10 @@ class Network:
         top, mean, low = np.split(back @ p["hidden"].T, 3, axis=1)
         greatest, least = whole[:, :FILTERS], whole[:, 2 * FILTERS :]
         flow = mean[owner] / sizes[owner][:, None]
-        flow += np.where(pooled == greatest[owner], top[owner], 0)
-        flow += np.where(pooled == least[owner], low[owner], 0)
+        for extreme, gradient in ((greatest, top), (least, low)):
+            won = pooled == extreme[owner]
+            ties = np.add.reduceat(won.astype(np.int64), first)
+            flow += np.where(won, (gradient / ties)[owner], 0)
         flow = (flow * (1 - pooled**2)).astype(np.float32)
         g["offset"] = flow.sum(axis=0)
         g["filters"] = np.zeros_like(p["filters"])
@@ -136,23 +138,22 @@ class Network:
         return g
 
     def train(self, bodies: list[bytes], labels: list[int], seed: int = 11) -> Network:
-        """Adam over minibatches of documents of similar length, in a fixed order."""
+        """``STEPS`` steps of Adam over minibatches, in an order fixed by the seed."""
         rng, target = np.random.default_rng(seed), np.array(labels, np.float32)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, total = 0, EPOCHS * -(-len(bodies) // MINIBATCH)
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(bodies))
-            for at in range(0, len(order), MINIBATCH):
-                some = order[at : at + MINIBATCH]
-                g = self.gradients([chunks_of(bodies[i]) for i in some], target[some])
-                step += 1
-                rate = RATE * (1 - step / (total + 1))
-                for k, v in g.items():
-                    mean[k] += 0.1 * (v - mean[k])
-                    square[k] += 0.01 * (v * v - square[k])
-                    up = mean[k] / (1 - 0.9**step)
-                    self.p[k] -= rate * up / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-7)
+        order = np.zeros(0, np.int64)
+        for step in range(1, STEPS + 1):
+            if not len(order):
+                order = rng.permutation(len(bodies))
+            some, order = order[:MINIBATCH], order[MINIBATCH:]
+            g = self.gradients([chunks_of(bodies[i]) for i in some], target[some])
+            rate = RATE * (1 - step / (STEPS + 1))
+            for k, v in g.items():
+                mean[k] += 0.1 * (v - mean[k])
+                square[k] += 0.01 * (v * v - square[k])
+                up = mean[k] / (1 - 0.9**step)
+                self.p[k] -= rate * up / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-7)
         return self
 
 

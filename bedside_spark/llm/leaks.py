@@ -7,8 +7,8 @@ numbers and names is found as well. Of each alignment found, tokens are compared
 slots are checked: what one value of the item's slots became must be one value in the document.
 
 A document leaks an item if consistent alignments cover ``MIN_TOKENS`` of its tokens, or
-``MIN_SHARE`` of a shorter item. Windows that are mostly placeholders are not used. The benchmark's
-windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
+``MIN_SHARE`` of those its windows cover, if they are fewer. Windows that are mostly placeholders
+are not used, and of equal windows of an item the first. The benchmark's windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
 with matches are fetched by a join of the same kind.
 
 Defined results: null and empty texts and items of fewer than ``MIN_ITEM`` tokens match nothing;
@@ -82,8 +82,11 @@ def _is_slot(token: Column) -> Column:
     return token.isin(*SLOTS)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc, doc_text, item, item_text, shift, starts): windows shared at one alignment."""
+def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc, doc_text, item, item_text, shift, starts): windows shared at one alignment.
+
+    And (item, item_text, windows): the places of each item's windows.
+    """
     items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") >= MIN_ITEM)
     items = items.dropDuplicates(["item", "item_text"])
     width = F.least(F.size("tokens"), F.lit(WINDOW))
@@ -91,14 +94,22 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     listed, sought = [], []
     for w in widths:
         fits = items.where(width == w).select(
-            "item", "item_text", "tokens", F.posexplode(_windows("hashes", w)).alias("at", "hash")
+            "item",
+            "item_text",
+            _windows("hashes", w).alias("hashed"),
+            F.transform("tokens", lambda t: F.when(_is_slot(t), 0).otherwise(1)).alias("literal"),
         )
-        literal = F.size(F.filter(F.slice("tokens", F.col("at") + 1, w), lambda t: ~_is_slot(t)))
-        listed.append(fits.where(literal >= w * MIN_LITERAL_SHARE).drop("tokens"))
+        placed = F.expr(f"""filter(transform(hashed, (h, i) -> struct(h as hash, i as at,
+            aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals)),
+            x -> x.literals >= {w * MIN_LITERAL_SHARE})""")
+        # A window that an item repeats stands for its first place, so that matches stay linear.
+        useful = fits.select("item", "item_text", F.inline(placed))
+        listed.append(useful.groupBy("item", "item_text", "hash").agg(F.min("at").alias("at")))
         sought.append(w)
     found = _tokens(docs, "doc_id", "doc")
     if not listed:
-        return _aligned(found, items.select("item", "item_text", F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash")).limit(0), WINDOW)
+        none = F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash")
+        listed, sought = [items.select("item", "item_text", *none).limit(0)], [WINDOW]
     wanted = listed[0]
     for more in listed[1:]:
         wanted = wanted.unionByName(more)
@@ -108,7 +119,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for w in sought:
         part = _aligned(found, F.broadcast(wanted) if small else wanted, w)
         result = part if result is None else result.unionByName(part)
-    return result
+    return result, wanted.groupBy("item", "item_text").agg(F.collect_list("at").alias("windows"))
 
 
 def _aligned(found: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -126,7 +137,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``doc_text`` is the text's 64-bit digest, ``n_slots`` the different slot values compared, and
     ``changed`` says whether any slot has another value than in the item.
     """
-    shared = checkpointed(matches(docs, benchmark))
+    found, windows = matches(docs, benchmark)
+    shared = checkpointed(found)
     body = F.coalesce(F.col("text"), F.lit(""))
     keys = shared.select("doc", "doc_text").distinct()
     if keys.count() <= BROADCAST_WINDOWS:
@@ -149,59 +161,71 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         return left.join(right, on).drop(f"{name}_", f"{name}_text_")
 
-    rows = joined(joined(shared, texts, "doc"), items, "item")
-    aligned = rows.withColumn("width", F.least(F.size("theirs"), F.lit(WINDOW))).withColumn(
-        "starts",
-        F.expr("""filter(starts, p ->
-            slice(ours, p + shift + 1, width) = slice(theirs, p + 1, width))"""),
+    # One row per document and item, so that long texts are not repeated per alignment.
+    alignments = shared.groupBy("doc", "doc_text", "item", "item_text").agg(
+        F.collect_list(F.struct("shift", "starts")).alias("alignments")
     )
-    covered = aligned.withColumn(
-        "covered",
-        F.expr("array_distinct(flatten(transform(starts, p -> sequence(p, p + width - 1))))"),
+    rows = joined(joined(joined(alignments, texts, "doc"), items, "item"), windows, "item")
+    covered = rows.withColumn("width", F.least(F.size("theirs"), F.lit(WINDOW))).withColumn(
+        "alignments",
+        F.expr("""transform(alignments, a -> struct(a.shift as shift, array_distinct(flatten(
+            transform(
+                filter(a.starts, p ->
+                    slice(ours, p + a.shift + 1, width) = slice(theirs, p + 1, width)),
+                p -> sequence(p, p + width - 1)))) as covered))"""),
     )
     slots = ", ".join(f"'{s}'" for s in SLOTS)
     paired = covered.withColumn(
-        "pairs",
-        F.expr(f"""array_distinct(transform(
-            filter(covered, p -> theirs[p] in ({slots})),
-            p -> struct(theirs[p] as kind, their_values[p] as was,
-                        our_values[p + shift] as now)))"""),
+        "alignments",
+        F.expr(f"""transform(alignments, a -> struct(a.covered as covered,
+            array_distinct(transform(
+                filter(a.covered, p -> theirs[p] in ({slots})),
+                p -> struct(theirs[p] as kind, their_values[p] as was,
+                            our_values[p + a.shift] as now))) as pairs))"""),
     )
     kept = paired.withColumn(
-        "conflicts",
-        F.expr("size(pairs) - size(array_distinct(transform(pairs, x -> struct(x.kind, x.was))))"),
-    ).where(F.col("conflicts") <= F.size("pairs") * MAX_CONFLICTS)
-    per_token = kept.select(
-        F.col("doc").alias("doc_id"), "doc_text", F.col("item").alias("item_id"), "item_text",
-        F.size("theirs").alias("n_tokens"), F.size("pairs").alias("n_slots"),
-        F.expr("exists(pairs, x -> x.was <> x.now)").alias("changed"),
-        F.explode("covered").alias("token"),
-    )
+        "alignments",
+        F.expr(f"""filter(alignments, a -> size(a.covered) > 0 and size(a.pairs)
+            - size(array_distinct(transform(a.pairs, x -> struct(x.kind, x.was))))
+            <= size(a.pairs) * {MAX_CONFLICTS})"""),
+    )
     needed = F.least(
         F.lit(MIN_TOKENS),
-        F.greatest(F.ceil(F.col("n_tokens") * MIN_SHARE), F.least("n_tokens", F.lit(WINDOW))),
-    )
-    return (
-        per_token.groupBy("doc_id", "doc_text", "item_id", "item_text", "n_tokens")
-        .agg(
-            F.size(F.collect_set("token")).cast("long").alias("n_covered"),
-            F.max("n_slots").cast("long").alias("n_slots"),
-            F.min("changed").alias("changed"),
-        )
-        .where(F.col("n_covered") >= needed)
-        .withColumn("n_tokens", F.col("n_tokens").cast("long"))
-        .drop("item_text")
+        F.greatest(F.ceil(F.col("n_usable") * MIN_SHARE), F.col("width")),
     )
+    counted = kept.select(
+        "doc",
+        "doc_text",
+        "item",
+        "width",
+        F.size("theirs").cast("long").alias("n_tokens"),
+        F.inline(F.array(F.struct(
+            F.expr(
+                "cast(size(array_distinct(flatten(alignments.covered))) as bigint)"
+            ).alias("n_covered"),
+            F.expr("cast(array_max(transform(alignments.pairs, x -> size(x))) as bigint)").alias("n_slots"),
+            F.expr(
+                "forall(alignments.pairs, pairs -> exists(pairs, x -> x.was <> x.now))"
+            ).alias("changed"),
+            F.expr(
+                "size(array_distinct(flatten(transform(windows, p -> sequence(p, p + width - 1)))))"
+            ).alias("n_usable"),
+        ))),
+    )
+    return counted.where(F.col("n_covered") >= needed).select(
+        F.col("doc").alias("doc_id"), "doc_text", F.col("item").alias("item_id"),
+        "n_tokens", "n_covered", "n_slots", "changed",
+    )
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no benchmark item, with their columns as they are."""
     found = checkpointed(leaks(docs, benchmark).select("doc_id", "doc_text").distinct())
-    found = found.withColumnsRenamed({"doc_id": "id", "doc_text": "hash"})
+    found = found.withColumnsRenamed({"doc_id": "_leaking_id", "doc_text": "_leaking_text"})
     if found.count() <= BROADCAST_WINDOWS:
         found = F.broadcast(found)
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (digest == F.col("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_leaking_id")) & (digest == F.col("_leaking_text"))
     return docs.join(found, same, "left_anti")
 
 

@@ -166,14 +166,14 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     first = checkpointed(rows.groupBy("root").agg(F.min(rank).alias("head")))
     told = checkpointed(
         rows.join(first, "root").select(
-            F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "count",
+            F.col("doc_id").alias("_told_id"), F.col("text_hash").alias("_told_text"), "count",
             (rank == F.col("head")).alias("stays"),
         )
     )
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (_text_hash() == F.col("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_told_id")) & (_text_hash() == F.col("_told_text"))
 
     def listed(wanted: DataFrame) -> DataFrame:
-        wanted = wanted.select("id", "hash")
+        wanted = wanted.select("_told_id", "_told_text")
         return F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
 
     single = docs.join(listed(told.where("not stays or count > 1")), same, "left_anti")
