@@ -178,7 +178,9 @@ def decode_change_image(changes: DataFrame) -> DataFrame:
         F.when(number.rlike("[.Ee]"), "float").when(number.isNotNull(), "int").alias("value_kind"),
         _tagged("threshold", "N", "string").try_cast("double").alias("threshold"),
         _tagged("event_ts", "S", "string").alias("event_ts"),
-        F.coalesce(_tagged("sent", "BOOL", "string"), _tagged("sent", "S", "string")).alias("sent"),
+        F.coalesce(
+            *[_tagged("sent", tag, "string") for tag in ("BOOL", "S", "N")]
+        ).alias("sent"),
     )
 
 

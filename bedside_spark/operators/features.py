@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from bedside_spark.functions.timekit import micros
 from bedside_spark.operators.patients import age_years
-from bedside_spark.operators.timeseries import ORIGIN_MICROS, recentred_slope
+from bedside_spark.operators.timeseries import (
+    AVERAGE_DECIMALS,
+    ORIGIN_MICROS,
+    SLOPE_DECIMALS,
+    recentred_slope,
+)
 
 # Split shares and the seed that orders the patients.
 TRAIN_SHARE, VAL_SHARE = 0.7, 0.15
@@ -89,7 +94,7 @@ def _window_moments(vitals: DataFrame, size: str) -> DataFrame:
     """One row per patient and window with everything later steps need, in one shuffle."""
     hr, known = F.col("heart_rate"), F.col("heart_rate").isNotNull()
     x = F.when(known, micros("event_time") - F.lit(ORIGIN_MICROS)).cast("decimal(19,0)")
-    y = hr.cast("decimal(9,3)")
+    y, exact = hr.try_cast(SLOPE_DECIMALS), hr.try_cast(AVERAGE_DECIMALS)
     return (
         vitals.groupBy("patient_id", F.window("event_time", size).alias("_span"))
         .agg(
@@ -103,15 +108,15 @@ def _window_moments(vitals: DataFrame, size: str) -> DataFrame:
             F.count("heart_rate").alias("_n"),
             F.sum(x).alias("_x"),
             F.sum(y).alias("_y"),
-            F.sum((x * y).cast("decimal(28,3)")).alias("_xy"),
+            F.sum((x * y).cast("decimal(31,6)")).alias("_xy"),
             F.sum((x * x).cast("decimal(38,0)")).alias("_xx"),
-            F.sum(hr * hr).alias("_squares"),
+            F.sum(exact).alias("_total"),
         )
         .withColumns(
             {
                 "window_start": F.col("_span.start"),
                 "window_end": F.col("_span.end"),
-                "avg_hr": F.col("_y").cast("double") / F.nullif(F.col("_n"), F.lit(0)),
+                "avg_hr": F.col("_total").cast("double") / F.nullif(F.col("_n"), F.lit(0)),
             }
         )
         .drop("_span")
@@ -141,17 +146,18 @@ def vitals_features(
 
     slope, hour = trailing(slope_seconds), trailing(average_seconds)
     whole = Window.partitionBy("patient_id")
-    n, y = F.sum("_n").over(whole), F.sum("_y").over(whole).cast("double")
-    mean = y / n
-    variance = (F.sum("_squares").over(whole) - y * mean) / F.when(n > 1, n - 1)
-    spread = F.sqrt(F.greatest(variance, F.lit(0.0)))
-    seen = moments.withColumns(
+    n = F.sum("_n").over(whole)
+    mean = F.sum("_total").over(whole).cast("double") / F.nullif(n, F.lit(0))
+    # Squared deviations inside the windows, and of their averages from the patient's.
+    inside = F.coalesce(F.col("hr_std"), F.lit(0.0)) ** 2 * (F.col("_n") - 1)
+    between = F.col("_n") * (F.col("avg_hr") - F.col("_mean")) ** 2
+    variance = F.sum(F.when(F.col("_n") > 0, inside + between)).over(whole) / F.when(n > 1, n - 1)
+    seen = moments.withColumn("_mean", mean).withColumns(
         {
             **{f"_in_{m}": F.sum(f"_{m}").over(slope) for m in ("n", "x", "y", "xy", "xx")},
-            "rolling_avg_hr_1h": F.sum("_y").over(hour).cast("double")
+            "rolling_avg_hr_1h": F.sum("_total").over(hour).cast("double")
             / F.nullif(F.sum("_n").over(hour), F.lit(0)),
-            "_mean": mean,
-            "_spread": spread,
+            "_spread": F.sqrt(variance),
         }
     ).withColumn("slope_hr_15m", recentred_slope(micros("window_end") - F.lit(ORIGIN_MICROS)))
     outlier = _outlier(F.col("max_hr"), F.col("_mean"), F.col("_spread")) | _outlier(

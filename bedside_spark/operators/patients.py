@@ -33,7 +33,7 @@ def heart_rate_by_age(vitals: DataFrame, patients: DataFrame, on: Column | date)
     """Heart rate per age band. Readings are reduced to one row per patient before the join."""
     per_patient = vitals.groupBy("patient_id").agg(
         F.count("heart_rate").alias("_n"),
-        F.sum(F.col("heart_rate").cast("decimal(12,6)")).alias("_sum"),
+        F.sum(F.col("heart_rate").try_cast("decimal(22,12)")).alias("_sum"),
         F.max("heart_rate").alias("_max"),
     )
     banded = per_patient.join(patients.select("patient_id", "birth_date"), "patient_id")

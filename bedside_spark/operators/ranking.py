@@ -127,7 +127,8 @@ def ranked_patients(per_patient: DataFrame) -> DataFrame:
     """Global DENSE_RANK by share and RANK by volume.
 
     Only distinct values are ordered globally: at most 1 001 shares with one decimal, and
-    at most sqrt(2 x flags) volumes, because distinct volumes add up to the flag count.
+    at most sqrt(2 x flags) volumes, because distinct volumes add up to the flag count. The
+    shares are few enough to broadcast, which also spreads patients that share one.
     """
     shares = distinct_ranks(per_patient, "abnormal_share_pct").select(
         F.col("abnormal_share_pct").alias("_share"), F.col("_dense_rank").alias("rank_by_share")
@@ -136,7 +137,7 @@ def ranked_patients(per_patient: DataFrame) -> DataFrame:
         F.col("abnormal_readings").alias("_volume"), F.col("_rank").alias("rank_by_volume")
     )
     return (
-        per_patient.join(shares, F.col("abnormal_share_pct") == F.col("_share"))
+        per_patient.join(F.broadcast(shares), F.col("abnormal_share_pct") == F.col("_share"))
         .join(volumes, F.col("abnormal_readings") == F.col("_volume"))
         .select(
             "patient_id",
@@ -150,11 +151,12 @@ def ranked_patients(per_patient: DataFrame) -> DataFrame:
 
 
 def named_ranking(ranked: DataFrame, patients: DataFrame) -> DataFrame:
-    """Ranking rows of known patients with their full name."""
+    """Ranking rows of known patients with their full name, in the order of the share."""
     names = patients.select(
         F.col("patient_id"),
         F.concat("first_name", F.lit(" "), "last_name").alias("patient_name"),
     )
-    return ranked.join(names, "patient_id").select(
+    named = ranked.join(names, "patient_id").select(
         "patient_id", "patient_name", *[c for c in ranked.columns if c != "patient_id"]
     )
+    return named.orderBy("rank_by_share")

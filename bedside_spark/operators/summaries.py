@@ -45,7 +45,8 @@ def _window_totals(summary: DataFrame, windowing: str) -> DataFrame:
 
 def windowing_summary(tumbled: DataFrame, hopped: DataFrame) -> DataFrame:
     """Totals of both windowings with the hop : tumble window ratio."""
-    fixed, sliding = "tumbling", "hop"
+    # Labels of the two windowings.
+    fixed, sliding = "tumbling 1m", "hop 30s/1m"
     both = _window_totals(tumbled, fixed).unionByName(_window_totals(hopped, sliding))
     base = tumbled.agg(F.count("*").cast("double")).scalar()
     factor = F.when(F.col("windowing") == fixed, F.lit(1.0)).otherwise(

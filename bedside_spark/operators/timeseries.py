@@ -214,10 +214,14 @@ def _payload(vitals: DataFrame, kept: list[str]) -> list[str]:
 def rolling_average(
     vitals: DataFrame, seconds: int = 3600, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Average heart rate over each reading's trailing hour, exact to six decimals of input."""
+    """Average heart rate over each reading's trailing hour.
+
+    Summed as decimals of ``AVERAGE_DECIMALS`` places, which a double below 1000 does not exceed
+    in precision; a value that no such decimal can hold counts as unknown.
+    """
     columns = vitals.select("patient_id", *ORDER, "heart_rate")
-    exact = F.col("heart_rate").cast("decimal(12,6)")
-    known = F.when(F.col("heart_rate").isNotNull(), 1).otherwise(0).cast("bigint")
+    exact = F.col("heart_rate").try_cast(AVERAGE_DECIMALS)
+    known = F.when(exact.isNotNull(), 1).otherwise(0).cast("bigint")
     totals = _trailing(columns, seconds, {"hr": exact, "n": known}, hot_rows)
     return totals.select(
         "patient_id",
@@ -231,17 +235,21 @@ def rolling_average(
 def rolling_slope(vitals: DataFrame, seconds: int = 900, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Least-squares heart-rate slope (bpm per minute) over each reading's trailing range.
 
-    Moments are summed as exact decimals of microseconds since 2020 and moved to the
-    reading's own time before the division, which keeps the double arithmetic small.
+    Moments are summed as decimals of microseconds since 2020 and of millionths of a beat, and
+    moved to the reading's own time before the division, which keeps the double arithmetic
+    small. Digits of a heart rate after the sixth are rounded; a value too large for the
+    decimal counts as unknown.
     """
-    columns = vitals.select("patient_id", *ORDER, "heart_rate").where("heart_rate is not null")
+    columns = vitals.select("patient_id", *ORDER, "heart_rate").where(
+        F.col("heart_rate").try_cast(SLOPE_DECIMALS).isNotNull()
+    )
     x = (micros("event_time") - F.lit(ORIGIN_MICROS)).cast("decimal(19,0)")
-    y = F.col("heart_rate").cast("decimal(9,3)")
+    y = F.col("heart_rate").cast(SLOPE_DECIMALS)
     sums = {
         "n": F.lit(1).cast("bigint"),
         "x": x,
         "y": y,
-        "xy": (x * y).cast("decimal(28,3)"),
+        "xy": (x * y).cast("decimal(31,6)"),
         "xx": (x * x).cast("decimal(38,0)"),
     }
     totals = _trailing(columns, seconds, sums, hot_rows)
@@ -255,6 +263,8 @@ def rolling_slope(vitals: DataFrame, seconds: int = 900, hot_rows: int = HOT_ROW
 
 
 ORIGIN_MICROS = 1_577_836_800_000_000
+AVERAGE_DECIMALS = "decimal(22,12)"
+SLOPE_DECIMALS = "decimal(12,6)"
 _MICROS_PER_MINUTE = 60_000_000.0
 
 
@@ -270,10 +280,10 @@ def recentred_slope(centre: Column) -> Column:
     n, sx, sy = exact(F.col("_in_n")), F.col("_in_x"), F.col("_in_y")
     c = centre.cast("decimal(19,0)")
     x = exact(sx - exact(n * c))
-    xy = exact(F.col("_in_xy") - exact(sy * c, 3), 3)
+    xy = exact(F.col("_in_xy") - exact(sy * c, 6), 6)
     xx = exact(F.col("_in_xx") - exact(sx * c * 2) + exact(n * exact(c * c)))
     spread = exact(n * xx) - exact(x * x)
-    rise = exact(n * xy, 3) - exact(x * sy, 3)
+    rise = exact(n * xy, 6) - exact(x * sy, 6)
     return F.when(
         spread != 0, rise.cast("double") / spread.cast("double") * _MICROS_PER_MINUTE
     )

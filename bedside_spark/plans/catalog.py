@@ -193,7 +193,7 @@ def not_expired(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flagged_with_patients(spark: SparkSession, sf: str) -> DataFrame:
     ranked = ranking.ranked_patients(ranking.patient_abnormal(data.vitals(spark, sf)))
-    return ranking.named_ranking(ranked, derived.listed_patients(spark, sf))
+    return ranking.named_ranking(ranked, derived.patients(spark, sf))
 
 
 @query
@@ -668,8 +668,8 @@ def replay_window(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def compact_table(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "compact")
-    scattered = derived.readings(spark, sf).withColumn("day", F.to_date("event_time"))
-    scattered.repartition(8).write.partitionBy("day").parquet(folder)
+    stream = jobs.stream_events(_live(spark, sf))
+    streams.append_days(stream, "event_time", folder, f"{folder}.c", None).awaitTermination()
     tables.compact_table(spark, folder)
     exact = F.col("heart_rate").cast("decimal(12,3)")
     per_day = spark.read.parquet(folder).groupBy("day").agg(
@@ -697,7 +697,7 @@ def _live(spark: SparkSession, sf: str) -> DataFrame:
 def _stored(spark: SparkSession, stream: DataFrame, time: str, name: str) -> DataFrame:
     folder = work_folder(spark, name)
     streams.append_days(stream, time, f"{folder}/t", f"{folder}/c", None).awaitTermination()
-    return untimed(spark.read.schema(stream.schema).parquet(f"{folder}/t").drop("day"))
+    return untimed(tables.read_days(spark, f"{folder}/t", stream.schema))
 
 
 @query
@@ -761,7 +761,7 @@ def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    people = derived.listed_patients(spark, sf).select("patient_id", "gender", "state")
+    people = derived.patients(spark, sf).select("patient_id", "gender", "state")
     live = _live(spark, sf).select("patient_id", "event_time", "trace_id", "heart_rate")
     return _stored(spark, jobs.stream_enrich(live, people), "event_time", "enrich")
 

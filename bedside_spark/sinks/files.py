@@ -35,6 +35,19 @@ def replace(spark: SparkSession, fresh: str, target: str) -> None:
         system.delete(aside, True)
 
 
+def create(spark: SparkSession, path: str) -> None:
+    where, system = _path(spark, path)
+    system.mkdirs(where)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    where, system = _path(spark, source)
+    final, _ = _path(spark, target)
+    system.mkdirs(final.getParent())
+    if not system.rename(where, final):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``, such as a table's partitions."""
     where, system = _path(spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bedside_spark.functions.timekit import micros
 from bedside_spark.operators import alerts, ingest
-from bedside_spark.sinks import files
+from bedside_spark.sinks import files, tables
 
 COMMIT_EVERY = "10 seconds"
 ARCHIVE_EVERY = "60 seconds"
@@ -24,16 +24,18 @@ def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 def append_days(
     stream: DataFrame, time: str, path: str, checkpoint: str, every: str | None = COMMIT_EVERY
 ) -> StreamingQuery:
-    """Append rows to a table with one folder per day."""
-    writer = (
-        stream.withColumn("day", F.to_date(time))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("day")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return triggered(writer, every).start()
+    """Append rows to a table with one folder per day and, in it, one per batch.
+
+    A batch that is tried again replaces its own folders. There is no other record of what
+    belongs to the table, so replay, compaction and retention may change it meanwhile.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.write_days(batch, time, path, "overwrite", batch_id)
+
+    files.create(stream.sparkSession, path)
+    writer = stream.writeStream.outputMode("append").foreachBatch(write)
+    return triggered(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def archive(
@@ -90,7 +92,7 @@ def route_stream(
 
 
 def latest_table(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of the latest-state table."""
+    """The newest version of the latest-state table that was written to its end."""
     return spark.read.parquet(f"{root}/version={_versions(spark, root)[-1]}")
 
 
@@ -98,7 +100,8 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     if not files.exists(spark, root):
         return []
     names = [n for n in files.folders(spark, root) if n.startswith("version=")]
-    return sorted(int(n.split("=")[1]) for n in names)
+    whole = [n for n in names if files.exists(spark, f"{root}/{n}/_SUCCESS")]
+    return sorted(int(n.split("=")[1]) for n in whole)
 
 
 def keep_latest(

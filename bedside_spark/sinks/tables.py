@@ -6,28 +6,42 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bedside_spark.functions.numbers import rounded
 from bedside_spark.operators import features, windows
 from bedside_spark.sinks import files
 
 
-def write_days(df: DataFrame, time: str, path: str, mode: str = "append") -> None:
-    """Write a table with one folder per day; ``overwrite`` replaces only the days written.
+#: Batch number of rows that no stream wrote.
+REWRITTEN = -1
 
-    The rebalance hint gives each day files of the advisory size and splits a large day
-    over several tasks.
+
+def write_days(
+    df: DataFrame, time: str, path: str, mode: str = "append", batch_id: int = REWRITTEN
+) -> None:
+    """Write a table with one folder per day and one per batch in it.
+
+    ``overwrite`` replaces only this batch's folders of the days written. The rebalance hint
+    gives each day files of the advisory size and splits a large day over several tasks.
     """
     (
         df.withColumn("day", F.to_date(time))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .hint("rebalance", "day")
         .write.option("partitionOverwriteMode", "dynamic")
         .mode(mode)
-        .partitionBy("day")
+        .partitionBy("day", "batch_id")
         .parquet(path)
     )
 
 
+def read_days(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table of :func:`write_days` without its folder columns."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).drop("day", "batch_id")
+
+
 def table_roundtrip(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table, read it back, and aggregate what was read."""
     df.write.mode("overwrite").parquet(path)
@@ -41,11 +55,28 @@ def replay_windows(
 ) -> None:
     """Recompute the one-minute summaries of a day range and replace those days.
 
-    Minute windows never cross midnight, so the days of the windows are the days read.
+    Minute windows never cross midnight, so the days of the windows are the days read. Days of
+    the range that have no readings any more lose their summaries. The new days are written
+    beside the table and moved in one by one.
     """
     days = F.col("day").between(F.lit(first), F.lit(last))
     readings = spark.read.parquet(vitals_path).where(days)
-    write_days(windows.tumble(readings), "window_start", summary_path, mode="overwrite")
+    fresh = f"{summary_path.rstrip('/')}.replaying"
+    files.delete(spark, fresh)
+    write_days(windows.tumble(readings), "window_start", fresh)
+    made = set(_days(spark, fresh))
+    old = [n for n in _days(spark, summary_path) if first <= date.fromisoformat(n[4:]) <= last]
+    for name in sorted(made | set(old)):
+        files.delete(spark, f"{summary_path}/{name}")
+        if name in made:
+            files.move(spark, f"{fresh}/{name}", f"{summary_path}/{name}")
+    files.delete(spark, fresh)
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    if not files.exists(spark, path):
+        return []
+    return [n for n in files.folders(spark, path) if n.startswith("day=")]
 
 
 def export_features(df: DataFrame, path: str, run_date: str) -> None:
@@ -108,30 +139,37 @@ def run_export(
     return day
 
 
-def compact_table(spark: SparkSession, path: str, partition: str | None = "day") -> None:
-    """Rewrite a table into files of the advisory size; its rows stay the same.
+def compact_table(spark: SparkSession, path: str, before: date | None = None) -> list[str]:
+    """Rewrite each day of a table into files of the advisory size; its rows stay the same.
 
-    The table is written to a sibling folder and swapped in, never over its own input.
+    Days from ``before`` on are left alone: a stream may still try one of their batches again.
+    Only the batch folders that were read go, so batches that arrive meanwhile stay. Returns
+    the days rewritten.
     """
-    fresh = f"{path.rstrip('/')}.compacting"
-    table = spark.read.parquet(path)
-    if partition:
-        table.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(
-            fresh
-        )
-    else:
-        table.hint("rebalance").write.mode("overwrite").parquet(fresh)
-    files.replace(spark, fresh, path)
+    done = []
+    for name in sorted(_days(spark, path)):
+        if before is not None and date.fromisoformat(name[4:]) >= before:
+            continue
+        day, fresh = f"{path}/{name}", f"{path.rstrip('/')}.compacting/{name}"
+        parts = [n for n in files.folders(spark, day) if n.startswith("batch_id=")]
+        if not parts:
+            continue
+        rows = spark.read.parquet(*[f"{day}/{n}" for n in parts])
+        rows.hint("rebalance").write.mode("overwrite").parquet(fresh)
+        # A number no stream and no earlier run has used in this day.
+        number = min(int(n.split("=")[1]) for n in parts)
+        files.move(spark, fresh, f"{day}/batch_id={min(number, REWRITTEN) - 1}")
+        for part in parts:
+            files.delete(spark, f"{day}/{part}")
+        done.append(name)
+    files.delete(spark, f"{path.rstrip('/')}.compacting")
+    return done
 
 
 def drop_old_days(spark: SparkSession, path: str, as_of: date, keep_days: int) -> list[str]:
     """Remove the day folders that are older than ``keep_days``; returns their names."""
     first = as_of - timedelta(days=keep_days)
-    old = [
-        name
-        for name in files.folders(spark, path)
-        if name.startswith("day=") and date.fromisoformat(name[4:]) < first
-    ]
+    old = [n for n in _days(spark, path) if date.fromisoformat(n[4:]) < first]
     for name in old:
         files.delete(spark, f"{path}/{name}")
     return old

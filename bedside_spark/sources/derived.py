@@ -22,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def padded_id(prefix: str, number: str):
-    return F.concat(F.lit(prefix), F.lpad(F.col(number).cast("string"), 6, "0"))
+    """Six digits at least; longer numbers stay whole."""
+    text = F.col(number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(6), F.length(text)), F.lit("0")))
 
 
 def readings_from(events: DataFrame, *extra: str) -> DataFrame:
@@ -116,7 +118,7 @@ def raw_payloads(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
         .otherwise(whole)
     )
     encoded = encode_text(text)
-    data = F.when(kind == 6, F.concat(F.lit("*"), F.substring(encoded, 2, 1 << 20))).otherwise(
+    data = F.when(kind == 6, F.concat(F.lit("*"), F.substr(encoded, F.lit(2)))).otherwise(
         encoded
     )
     return source.select(

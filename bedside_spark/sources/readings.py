@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import UTC, date, datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedside_spark.schemas import PATIENTS, READING
+from bedside_spark.schemas import READING
+from bedside_spark.sinks import files
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
@@ -27,6 +28,15 @@ def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
+def first_start(spark: SparkSession, mark: str) -> datetime:
+    """The instant noted at ``mark``, which is now if nothing was noted yet."""
+    if not files.exists(spark, f"{mark}/_SUCCESS"):
+        now = spark.createDataFrame([(datetime.now(UTC).isoformat(),)], "opened string")
+        now.coalesce(1).write.mode("overwrite").json(mark)
+    noted = spark.read.schema("opened string").json(mark).first()
+    return datetime.fromisoformat(noted.opened)
+
+
 def read_vitals_stream(
     spark: SparkSession,
     location: str,
@@ -34,19 +44,24 @@ def read_vitals_stream(
     connector: str = "json",
     start: str | datetime = "earliest",
     options: dict[str, str] | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Live readings with the declared schema.
 
     ``connector`` "json" reads ISO-8601 JSON lines from a folder. Any other connector
     ("kafka", …) is loaded by name with ``options``; its ``value`` column holds the JSON.
     ``start`` is "earliest", "latest" or an instant. A folder has no offsets: "latest" keeps
-    the files written from now on, and an instant filters by event time.
+    the files written from the first start on, and an instant filters by event time. The first
+    start is noted at ``mark``, a path beside the query's checkpoint, so that a restart does
+    not skip what arrived while the job was down.
     """
     extra = dict(options or {})
     if connector == "json":
         stream = spark.readStream.schema(READING).options(**extra).json(location)
         if start == "latest":
-            opened = datetime.now(UTC)
+            if mark is None:
+                raise ValueError('start="latest" needs a mark that outlives the query')
+            opened = first_start(spark, mark)
             stream = stream.where(F.col("_metadata.file_modification_time") >= F.lit(opened))
     else:
         if isinstance(start, datetime):
@@ -79,25 +94,9 @@ def load_cohort(spark: SparkSession, path: str) -> DataFrame:
     """Patient ids of a CSV: column ``patient_id``, else the first column; blanks dropped."""
     table = spark.read.csv(path, header=True)
     column = "patient_id" if "patient_id" in table.columns else table.columns[0]
-    named = F.col(f"`{column}`")
-    return table.where(named.isNotNull() & (named != "")).select(F.trim(named).alias("patient_id"))
-
-
-# The demonstration cohort.
-DEMO_COHORT = (
-    ("P0001", "Maria", "Santos", "F", date(1982, 4, 12), "White", "Not Hispanic",
-     "Boston", "MA", "Suffolk"),
-    ("P0002", "James", "Whitfield", "M", date(1975, 11, 3), "Black or African American",
-     "Not Hispanic", "Springfield", "MA", "Hampden"),
-    ("P0003", "Aisha", "Patel", "F", date(1993, 7, 22), "Asian", "Hispanic",
-     "Worcester", "MA", "Worcester"),
-    ("P0004", "Daniel", "Okafor", "M", date(1968, 1, 30), "Black or African American",
-     "Not Hispanic", "Lowell", "MA", "Middlesex"),
-)
-
-
-def demo_cohort(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEMO_COHORT, PATIENTS)
+    # White space at either end, tabs included, is no part of an id.
+    named = F.regexp_replace(F.col(f"`{column}`"), r"^\s+|\s+$", "")
+    return table.select(named.alias("patient_id")).where("patient_id <> ''")
 
 
 def bootstrap_patients(spark: SparkSession, patients: DataFrame, path: str) -> DataFrame:

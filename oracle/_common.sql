@@ -1,7 +1,7 @@
 with readings as (
   select event_id,
-         'P' || lpad(user_id::varchar, 6, '0')    as patient_id,
-         'bed-' || lpad(user_id::varchar, 6, '0') as device_id,
+         'P' || lpad(user_id::varchar, greatest(6, length(user_id::varchar))::int, '0')    as patient_id,
+         'bed-' || lpad(user_id::varchar, greatest(6, length(user_id::varchar))::int, '0') as device_id,
          ts                                       as event_time,
          ts + to_seconds((event_id * 7919) % 600) as ingestion_time,
          least(220::double, 60 + value)           as heart_rate,
@@ -24,7 +24,7 @@ vitals as (
   from readings
 ),
 patients as (
-  select 'P' || lpad(c_custkey::varchar, 6, '0') as patient_id,
+  select 'P' || lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') as patient_id,
          split_part(c_name, '#', 1) as first_name,
          split_part(c_name, '#', 2) as last_name,
          case c_custkey % 3 when 0 then 'M' when 1 then 'F' else 'NB' end as gender,
@@ -125,9 +125,9 @@ minutes as (
   from vitals group by 1, 2
 ),
 requests as (
-  select c_custkey, 'P' || lpad(c_custkey::varchar, 6, '0') as patient_id from customer
+  select c_custkey, 'P' || lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') as patient_id from customer
   union all
-  select c_custkey, 'P' || lpad(c_custkey::varchar, 6, '0') || ' !' from customer
+  select c_custkey, 'P' || lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') || ' !' from customer
   where c_custkey % 7 = 0
 ),
 closed_at as (

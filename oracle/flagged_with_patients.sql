@@ -13,4 +13,4 @@ select patient_id, first_name || ' ' || last_name as patient_name, abnormal_minu
        rank_by_share, rank_by_volume
 from (select *, dense_rank() over (order by abnormal_share_pct desc) as rank_by_share,
              rank() over (order by abnormal_readings desc) as rank_by_volume
-      from per_patient) join listed using (patient_id)
+      from per_patient) join patients using (patient_id)

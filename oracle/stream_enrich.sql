@@ -1,2 +1,2 @@
 select r.patient_id, event_time, trace_id, heart_rate, gender, state
-from readings r left join listed using (patient_id)
+from readings r left join patients using (patient_id)

@@ -4,7 +4,7 @@
 w as (
   select patient_id, time_bucket(interval 1 hour, event_time) as window_start,
          time_bucket(interval 1 hour, event_time) + interval 1 hour as window_end,
-         sum(heart_rate::decimal(12, 6))::double / count(*) as avg_hr, max(heart_rate) as max_hr, min(heart_rate) as min_hr,
+         sum(heart_rate::decimal(22, 12))::double / count(*) as avg_hr, max(heart_rate) as max_hr, min(heart_rate) as min_hr,
          quantile_cont(heart_rate, 0.95) as hr_p95, stddev_samp(heart_rate) as hr_std,
          avg(spo2) as avg_spo2, min(spo2) as min_spo2, bool_or(is_abnormal) as flagged
   from vitals group by 1, 2, 3
@@ -12,7 +12,7 @@ w as (
 lookback as (
   select w.patient_id, w.window_end,
          regr_slope(heart_rate, (epoch_us(event_time) - epoch_us(w.window_end)) / 60000000.0::double) as slope_hr_15m,
-         sum(heart_rate::decimal(12, 6))::double / count(*) as rolling_avg_hr_1h
+         sum(heart_rate::decimal(22, 12))::double / count(*) as rolling_avg_hr_1h
   from w join readings r on r.patient_id = w.patient_id
    and r.event_time >= w.window_end - interval 1 day and r.event_time < w.window_end
   group by 1, 2

@@ -117,3 +117,11 @@ def test_flags(spark, heart_rate, spo2, systolic, flags):
     )
     row = with_flags(df).first()
     assert row.abnormal_flags == flags and row.is_abnormal is bool(flags)
+
+
+def test_of_a_repeated_key_the_last_value_counts(spark):
+    text = json.dumps(GOOD)[:-1] + ', "heart_rate": 61.5, "device_id": "bed-002"}'
+    _, out = routed(spark, packed(text, raw=True))
+    row = out.first()
+    body = json.loads(base64.b64decode(row.data))
+    assert row.result == "Ok" and (body["heart_rate"], body["device_id"]) == (61.5, "bed-002")

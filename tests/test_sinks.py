@@ -21,6 +21,7 @@ from tests.conftest import SMALL, rows
         ("patient_id,name\nP1,a\n P2 ,b\n,c\n", ["P1", "P2"]),
         ("Id,Name\nP3,a\nP4,b\n", ["P3", "P4"]),
         ("name,patient_id\na,P5\n", ["P5"]),
+        ("patient_id,name\n   ,a\n\tP6\t,b\n", ["P6"]),
     ],
 )
 def test_cohort(spark, tmp_path, text, ids):
@@ -29,13 +30,11 @@ def test_cohort(spark, tmp_path, text, ids):
     assert [r[0] for r in rows(readings.load_cohort(spark, str(path)))] == ids
 
 
-def test_demo_cohort_bootstrap_twice(spark, tmp_path):
+def test_bootstrap_twice(spark, tmp_path):
+    people = derived.patients(spark, SMALL)
     for _ in range(2):
-        out = readings.bootstrap_patients(spark, readings.demo_cohort(spark), str(tmp_path / "p"))
-    assert [(r.patient_id, r.first_name, r.gender) for r in out.collect()] == [
-        ("P0001", "Maria", "F"), ("P0002", "James", "M"), ("P0003", "Aisha", "F"),
-        ("P0004", "Daniel", "M"),
-    ]
+        out = readings.bootstrap_patients(spark, people, str(tmp_path / "p"))
+    assert rows(out) == rows(people, *out.columns)
 
 
 def test_manifest(spark, tmp_path):
@@ -75,13 +74,20 @@ def test_export_rerun_is_identical(spark, tmp_path):
 
 def test_compaction_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "t")
-    before = derived.readings(spark, SMALL).withColumn("day", F.to_date("event_time"))
-    before.repartition(16).write.partitionBy("day").parquet(path)
+    before = derived.readings(spark, SMALL)
+    for n in range(3):
+        part = before.where(F.pmod(F.xxhash64("trace_id"), F.lit(3)) == n)
+        tables.write_days(part.repartition(4), "event_time", path, "overwrite", n)
     many = len(list(Path(path).rglob("part-*")))
-    tables.compact_table(spark, path)
-    after = spark.read.parquet(path).select(*before.columns)
-    assert rows(after) == rows(before)
-    assert len(list(Path(path).rglob("part-*"))) == after.select("day").distinct().count() < many
+    stored = spark.read.parquet(path).count()
+    last = before.agg(F.max(F.to_date("event_time"))).first()[0]
+    done = tables.compact_table(spark, path, last)
+    assert f"day={last}" not in done
+    for _ in range(2):
+        tables.compact_table(spark, path)
+    assert spark.read.parquet(path).count() == stored
+    days = before.select(F.to_date("event_time")).distinct().count()
+    assert len(list(Path(path).rglob("part-*"))) == days < many
 
 
 def test_old_days_are_dropped(spark, tmp_path):
@@ -102,6 +108,11 @@ def test_replay_replaces_only_its_days(spark, tmp_path):
     expected = windows.tumble(source.where(F.to_date("event_time").between("2024-01-03", "2024-01-05")))
     got = spark.read.parquet(summary)
     assert rows(got, *expected.columns) == rows(expected)
+    # Days whose readings are gone lose their summaries.
+    tables.drop_old_days(spark, vitals, date(2024, 1, 4), 0)
+    tables.replay_windows(spark, vitals, summary, date(2024, 1, 3), date(2024, 1, 4))
+    left = expected.where("window_start >= '2024-01-04'")
+    assert rows(spark.read.parquet(summary), *expected.columns) == rows(left)
 
 
 def test_hop_counts_every_reading_twice(spark):

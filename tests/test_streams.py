@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bedside_spark.operators import alerts, timeseries, windows
 from bedside_spark.schemas import READING
-from bedside_spark.sinks import streams
+from bedside_spark.sinks import streams, tables
 from bedside_spark.sources import derived, readings
 from bedside_spark.streaming import jobs, keyed
 from tests.conftest import SMALL, START, at, rows
@@ -150,8 +150,8 @@ def test_json_source_and_start(spark, tmp_path):
 
     def ids(name, start):
         folder = tmp_path / name
-        folder.mkdir()
-        got = collected(spark, readings.read_vitals_stream(spark, source, start=start), folder)
+        (folder / "q").mkdir(parents=True)
+        got = collected(spark, readings.read_vitals_stream(spark, source, start=start, mark=f"{folder}/mark"), folder / "q")
         assert got.where("ingestion_time is null").count() == 0
         return [r[0] for r in rows(got, "patient_id")]
 
@@ -215,3 +215,64 @@ def test_late_report(spark, arrivals, tmp_path):
     got = spark.read.schema(READING).parquet(f"{out}/*").select("trace_id").collect()
     assert sorted(r[0] for r in got) == sorted(expected)
     assert expected
+
+
+def test_a_restart_keeps_what_arrived_meanwhile(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    source, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+
+    def line(n):
+        return f'{{"patient_id": "P{n}", "event_time": "2026-09-15T12:00:00Z", "heart_rate": 80}}'
+
+    def run():
+        stream = readings.read_vitals_stream(spark, source, start="latest", mark=mark)
+        streams.append_days(
+            stream, "event_time", str(tmp_path / "t"), str(tmp_path / "c"), None
+        ).awaitTermination()
+
+    run()
+    (tmp_path / "in" / "late.json").write_text(line(1))
+    run()
+    table = tables.read_days(spark, str(tmp_path / "t"))
+    assert [r[0] for r in rows(table, "patient_id")] == ["P1"]
+    with pytest.raises(ValueError):
+        readings.read_vitals_stream(spark, source, start="latest")
+
+
+def test_upkeep_between_runs_of_a_stream(spark, arrivals, tmp_path):
+    """Stream, compact, replay and drop days, stream on: nothing is lost or read twice."""
+    path, source = arrivals
+    vitals, summary = str(tmp_path / "v"), str(tmp_path / "s")
+    (tmp_path / "in").mkdir()
+
+    def run(part):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(READING).parquet(str(tmp_path / "in"))
+        for df, time, to in (
+            (stream, "event_time", vitals), (windows.tumble(stream.withWatermark("event_time", "0 seconds")), "window_start", summary),
+        ):
+            streams.append_days(df, time, to, f"{to}.c", None).awaitTermination()
+
+    halfway = source.agg(F.percentile_approx("event_time", 0.5)).first()[0]
+    run(source.where(F.col("event_time") <= F.lit(halfway)))
+    day = halfway.date() - timedelta(days=2)
+    tables.compact_table(spark, vitals)
+    tables.replay_windows(spark, vitals, summary, day, day)
+    gone = tables.drop_old_days(spark, vitals, day, 5)
+    run(source.where(F.col("event_time") > F.lit(halfway)))
+    tables.compact_table(spark, vitals)
+    left = source.where(F.to_date("event_time") >= F.lit(day - timedelta(days=5)))
+    assert gone and rows(tables.read_days(spark, vitals), *source.columns) == rows(left)
+    replayed = windows.tumble(source.where(F.to_date("event_time") == F.lit(day)))
+    found = tables.read_days(spark, summary).where(F.to_date("window_start") == F.lit(day))
+    assert rows(found, *replayed.columns) == rows(replayed)
+
+
+def test_a_version_half_written_is_not_read(spark, arrivals, tmp_path):
+    path, source = arrivals
+    root = str(tmp_path / "latest")
+    stream = jobs.stream_events(stream_of(spark, path))
+    streams.keep_latest(stream, root, str(tmp_path / "c"), None).awaitTermination()
+    before = rows(streams.latest_table(spark, root))
+    (tmp_path / "latest" / "version=999").mkdir()
+    assert rows(streams.latest_table(spark, root)) == before
