@@ -211,8 +211,13 @@ def alert_messages(pending: DataFrame, already_sent: DataFrame | None = None) ->
 
 
 def mark_sent(alerts: DataFrame, delivered: DataFrame, at: datetime | Column) -> DataFrame:
-    """Set ``sent`` and ``delivery_ts`` on delivered alerts that were not marked before."""
-    keys = delivered.select(*KEY).distinct().withColumn("_delivered", F.lit(True))
+    """Set ``sent`` and ``delivery_ts`` on delivered alerts that were not marked before.
+
+    ``at`` may be a column of ``delivered`` whose name starts with an underscore.
+    """
+    extra = [c for c in delivered.columns if c.startswith("_")]
+    keys = delivered.select(*KEY, *extra).dropDuplicates(list(KEY))
+    keys = keys.withColumn("_delivered", F.lit(True))
     due = F.col("_delivered") & ~F.coalesce(F.col("sent"), F.lit(False))
     kind = alerts.schema["event_ts"].dataType
     before = (

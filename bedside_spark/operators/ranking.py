@@ -53,14 +53,44 @@ def top_heart_rates(vitals: DataFrame, depth: int = 3) -> DataFrame:
     )
 
 
-def heart_rate_deciles(vitals: DataFrame, buckets: int = 10) -> DataFrame:
-    """Peak heart rate of each patient and the NTILE bucket it falls in.
+def heart_rate_ntiles(vitals: DataFrame, buckets: int = 10) -> DataFrame:
+    """NTILE of every reading among its patient's by heart rate, unknown rates last.
 
-    The greatest NTILE bucket of ``n`` rows is ``min(buckets, n)``, so no row is ordered.
+    Readings of one rate are numbered by time and trace id within that rate only; the number
+    within the patient adds the counts of lower rates. So a task orders the readings of one
+    patient and rate, never all of a patient.
     """
-    return vitals.groupBy("patient_id").agg(
-        F.max("heart_rate").alias("peak_hr"),
-        F.least(F.lit(buckets), F.count("*")).cast("bigint").alias("peak_decile"),
+    rate = F.col("heart_rate")
+    below = distinct_ranks(vitals, "heart_rate", by=["patient_id"], descending=False).select(
+        F.col("patient_id").alias("_patient"), rate.alias("_value"), F.col("_rank")
+    )
+    sizes = vitals.groupBy(F.col("patient_id").alias("_owner")).agg(F.count("*").alias("_n"))
+    tie = Window.partitionBy("patient_id", "heart_rate").orderBy("event_time", "trace_id")
+    numbered = (
+        vitals.select("patient_id", "event_time", "trace_id", "heart_rate")
+        .withColumn("_tie", F.row_number().over(tie))
+        .join(below, (F.col("patient_id") == F.col("_patient")) & rate.eqNullSafe(F.col("_value")))
+        .join(sizes, F.col("patient_id") == F.col("_owner"))
+        .withColumn("_row", F.col("_rank") + F.col("_tie") - 1)
+        .withColumn("_small", F.floor(F.col("_n") / F.lit(buckets)))
+        .withColumn("_long", F.col("_n") % buckets)
+    )
+    # The first ``_long`` buckets hold one row more than the others.
+    in_long = F.col("_long") * (F.col("_small") + 1)
+    number = F.when(
+        F.col("_row") <= in_long, F.ceil(F.col("_row") / (F.col("_small") + 1))
+    ).otherwise(F.col("_long") + F.ceil((F.col("_row") - in_long) / F.col("_small")))
+    return numbered.select(
+        "patient_id", "event_time", "trace_id", "heart_rate", number.cast("bigint").alias("hr_decile")
+    )
+
+
+def heart_rate_deciles(vitals: DataFrame, buckets: int = 10) -> DataFrame:
+    """Peak heart rate of each patient and the greatest NTILE of its readings."""
+    return (
+        heart_rate_ntiles(vitals, buckets)
+        .groupBy("patient_id")
+        .agg(F.max("heart_rate").alias("peak_hr"), F.max("hr_decile").alias("peak_decile"))
     )
 
 

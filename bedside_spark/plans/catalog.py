@@ -427,6 +427,11 @@ def hr_deciles(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.heart_rate_deciles(derived.readings(spark, sf)).orderBy("patient_id")
 
 
+@query
+def hr_ntiles(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.heart_rate_ntiles(derived.readings(spark, sf))
+
+
 @query
 def latest_per_bucket(spark: SparkSession, sf: str) -> DataFrame:
     newest = timeseries.latest_per_bucket(derived.readings(spark, sf))
@@ -798,30 +803,93 @@ def stream_data_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, stream, "gap_start", "gaps")
 
 
+_PAYLOAD = (
+    "patient_id string, device_id string, event_time string, ingestion_time string, "
+    "heart_rate double, systolic_bp double, diastolic_bp double, spo2 double, "
+    "temperature double, resp_rate double, trace_id string"
+)
+
+
+def _routed(spark: SparkSession, sf: str, result: str) -> DataFrame:
+    """Archive records of a stream as they were stored, with the folders they are in.
+
+    Records are taken to arrive in three deliveries a day.
+    """
+    folder = work_folder(spark, "archive")
+    given = derived.raw_payloads(spark, sf, "ingestion_time")
+    eighth = F.floor(F.hour("ingestion_time") / 8).cast("int") * 8
+    arrived = F.date_trunc("day", "ingestion_time") + F.make_dt_interval(hours=eighth)
+    given.select("recordId", "data", arrived.alias("arrived_at")).write.parquet(f"{folder}/in")
+    records = readings.stream_table(spark, f"{folder}/in")
+    streams.route_stream(
+        records, f"{folder}/t", f"{folder}/c", None, "arrived_at"
+    ).awaitTermination()
+    schema = "recordId string, data string, problem string, payload string"
+    folders = "result string, year string, month string, day string, hour string, batch_id bigint"
+    stored = spark.read.schema(f"{schema}, {folders}").json(f"{folder}/t")
+    return stored.where(F.col("result") == result)
+
+
 @query
 def raw_archive(spark: SparkSession, sf: str) -> DataFrame:
-    """Archived readings counted from the hour folders they were written to."""
-    folder = work_folder(spark, "archive")
-    running = streams.archive(
-        _live(spark, sf), "ingestion_time", f"{folder}/t", f"{folder}/c", None
-    )
-    running.awaitTermination()
-    stored = spark.read.schema(
-        "patient_id string, heart_rate double, year string, month string, day string, hour string"
-    ).json(f"{folder}/t")
-    return stored.groupBy("year", "month", "day", "hour").agg(
-        F.count("*").alias("readings"), F.max("heart_rate").alias("max_hr")
-    )
+    """Every field of the archived payloads, by the hour folder they were written to."""
+    body = F.from_json(F.unbase64("data").cast("string"), _PAYLOAD)
+    return _routed(spark, sf, "Ok").select(
+        "year", "month", "day", "hour", "recordId", body.alias("_row")
+    ).select("year", "month", "day", "hour", "recordId", "_row.*")
 
 
 @query
 def dead_letter(spark: SparkSession, sf: str) -> DataFrame:
     """Rejected archive records of a stream, with the reason."""
-    folder = work_folder(spark, "dead-letter")
-    derived.raw_payloads(spark, sf).write.parquet(f"{folder}/in")
-    records = readings.stream_table(spark, f"{folder}/in")
-    streams.route_stream(
-        records, f"{folder}/ok", f"{folder}/failed", f"{folder}/c", None
-    ).awaitTermination()
-    schema = "recordId string, problem string, payload string"
-    return spark.read.schema(schema).json(f"{folder}/failed").select("recordId", "problem")
+    return _routed(spark, sf, "Dropped").select("recordId", "problem")
+
+
+@query
+def live_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A live source in which every tenth line is no JSON and every other tenth is mistyped."""
+    folder = work_folder(spark, "live")
+    source = derived.readings(spark, sf, "event_id")
+    whole = F.to_json(F.struct(*[c for c in source.columns if c != "event_id"]))
+    tenth = F.col("event_id") % 10
+    mistyped = F.regexp_replace(whole, '"heart_rate":[^,}]*', '"heart_rate":"fast"')
+    line = F.when(tenth == 0, "####not-json####").when(tenth == 1, mistyped).otherwise(whole)
+    source.select(line).write.text(f"{folder}/in")
+    streams.append_checked(
+        readings.read_vitals_lines(spark, f"{folder}/in"), "event_time",
+        f"{folder}/t", f"{folder}/failed", f"{folder}/c", None,
+    ).awaitTermination()
+    sound = tables.read_days(spark, f"{folder}/t").select(
+        "trace_id", "heart_rate", F.lit(None).cast("string").alias("problem")
+    )
+    failed = spark.read.schema("problem string, payload string").json(f"{folder}/failed")
+    return sound.unionByName(
+        failed.select(
+            F.get_json_object("payload", "$.trace_id").alias("trace_id"),
+            F.lit(None).cast("double").alias("heart_rate"),
+            "problem",
+        )
+    )
+
+
+def _refuse_one_patient(message: dict) -> None:
+    if message["patient_id"] == "P000007":
+        raise ValueError("refused")
+
+
+@query
+def delivery_loop(spark: SparkSession, sf: str) -> DataFrame:
+    """The alerts table after two batches of its change feed; one patient's messages fail."""
+    folder = work_folder(spark, "delivery")
+    feed, table = data.change_feed(spark, sf), data.stored_alerts(spark, sf)
+    for n in range(2):
+        feed.withColumn("image", F.to_json("image")).coalesce(4).write.parquet(f"{folder}/in/n={n}")
+    changes = spark.readStream.schema("op string, image string").parquet(f"{folder}/in/n=*")
+    streams.deliver_alerts(
+        changes.withColumn("image", F.parse_json("image")), _refuse_one_patient,
+        f"{folder}/ledger", f"{folder}/c", None,
+    ).awaitTermination()
+    marked = streams.with_deliveries(table, streams.read_ledger(spark, f"{folder}/ledger"))
+    return marked.select(
+        "patient_id", "alert_id", "sent", F.col("delivery_ts").isNotNull().alias("delivered")
+    )

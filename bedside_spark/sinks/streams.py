@@ -38,59 +38,71 @@ def append_days(
     return triggered(writer.option("checkpointLocation", checkpoint), every).start()
 
 
-def archive(
-    stream: DataFrame, time: str, path: str, checkpoint: str, every: str | None = ARCHIVE_EVERY
-) -> StreamingQuery:
-    """Gzip JSON archive in year/month/day/hour folders."""
-    at = F.col(time)
-    parts = {
-        "year": F.date_format(at, "yyyy"),
-        "month": F.date_format(at, "MM"),
-        "day": F.date_format(at, "dd"),
-        "hour": F.date_format(at, "HH"),
-    }
-    writer = (
-        stream.withColumns(parts)
-        .writeStream.format("json")
-        .outputMode("append")
-        .option("compression", "gzip")
-        .partitionBy(*parts)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return triggered(writer, every).start()
-
-
 def route_stream(
     records: DataFrame,
-    accepted: str,
-    rejected: str,
+    path: str,
     checkpoint: str,
     every: str | None = ARCHIVE_EVERY,
+    arrived: str | None = None,
 ) -> StreamingQuery:
-    """Split archive records into accepted payloads and a dead-letter table.
+    """Gzip JSON archive of normalised payloads and, beside them, of rejected records.
 
-    Outputs are keyed by batch id, so a batch that is tried again replaces its own files.
+    Both go out in one write, to ``result=Ok`` and ``result=Dropped``, each with year, month,
+    day and hour folders of the arrival: column ``arrived``, or now. Folders end with the batch
+    id, so a batch that is tried again replaces its own files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = ingest.route_records(batch).persist()
-        try:
-            sound = F.col("result") == "Ok"
-            for path, rows, columns in (
-                (accepted, sound, ("recordId", "data")),
-                (rejected, ~sound, ("recordId", "problem", "payload")),
-            ):
-                routed.where(rows).select(*columns).write.mode("overwrite").option(
-                    "compression", "gzip"
-                ).json(f"{path}/batch_id={batch_id}")
-        finally:
-            routed.unpersist()
+        at = F.col(arrived) if arrived else F.current_timestamp()
+        parts = {
+            "year": F.date_format(at, "yyyy"),
+            "month": F.date_format(at, "MM"),
+            "day": F.date_format(at, "dd"),
+            "hour": F.date_format(at, "HH"),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        }
+        routed = ingest.route_records(batch).withColumns(parts)
+        (
+            routed.select("recordId", "data", "problem", "payload", "result", *parts)
+            .hint("rebalance", "result", *parts)
+            .write.option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .option("compression", "gzip")
+            .partitionBy("result", *parts)
+            .json(path)
+        )
 
+    files.create(records.sparkSession, path)
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
 
+def append_checked(
+    lines: DataFrame,
+    time: str,
+    path: str,
+    rejected: str,
+    checkpoint: str,
+    every: str | None = COMMIT_EVERY,
+) -> StreamingQuery:
+    """Append the sound readings of a live source to a day table and the others to ``rejected``.
+
+    ``lines`` comes from :func:`sources.readings.read_vitals_lines`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sound = batch.where("problem is null").drop("problem", "payload")
+        tables.write_days(sound, time, path, "overwrite", batch_id)
+        batch.where("problem is not null").select("problem", "payload").write.mode(
+            "overwrite"
+        ).option("compression", "gzip").json(f"{rejected}/batch_id={batch_id}")
+
+    for folder in (path, rejected):
+        files.create(lines.sparkSession, folder)
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
+
+
 def latest_table(spark: SparkSession, root: str) -> DataFrame:
     """The newest version of the latest-state table that was written to its end."""
     return spark.read.parquet(f"{root}/version={_versions(spark, root)[-1]}")
@@ -189,6 +201,20 @@ def send_messages(messages: DataFrame, send: Callable[[dict], None]) -> DataFram
     )
 
 
+_LEDGER = f"{_OUTCOME}, delivered_at timestamp, day date, batch_id bigint"
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """Outcomes of all deliveries, by the day of the alert's event."""
+    return spark.read.schema(_LEDGER).parquet(ledger)
+
+
+def with_deliveries(table: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The alerts table with ``sent`` and ``delivery_ts`` as the deliveries left them."""
+    done = ledger.where("delivered").groupBy("patient_id", "alert_id")
+    return alerts.mark_sent(table, done.agg(F.min("delivered_at").alias("_at")), F.col("_at"))
+
+
 def deliver_alerts(
     changes: DataFrame,
     send: Callable[[dict], None],
@@ -198,21 +224,36 @@ def deliver_alerts(
 ) -> StreamingQuery:
     """Send pending alerts of a change feed and record each outcome.
 
-    The ledger is keyed by batch id. Keys delivered in earlier batches are left out before
-    sending; failed ones stay eligible and are retried when the feed shows them again.
+    The ledger has a folder per day of the alerts' events and per batch. Keys delivered in
+    earlier batches are left out before sending, for which only the ledger's days between the
+    batch's first and last alert are read; failed ones stay eligible and are retried when the
+    feed shows them again. :func:`with_deliveries` marks the alerts table by it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         pending = alerts.pending_alerts(alerts.decode_change_image(batch))
-        sent = None
-        if files.exists(spark, ledger) and files.folders(spark, ledger):
-            past = spark.read.schema(f"{_OUTCOME}, batch_id bigint").parquet(ledger)
-            sent = past.where((F.col("batch_id") < batch_id) & F.col("delivered"))
+        day = F.coalesce(F.to_date(F.substring("event_ts", 1, 10)), F.lit("1970-01-01").cast("date"))
+        first, last = pending.agg(F.min(day), F.max(day)).first()
+        if first is None:
+            return
+        past = read_ledger(spark, ledger).where(F.col("day").between(F.lit(first), F.lit(last)))
+        sent = past.where((F.col("batch_id") < batch_id) & F.col("delivered"))
         messages = alerts.alert_messages(pending, sent)
-        send_messages(messages, send).write.mode("overwrite").parquet(
-            f"{ledger}/batch_id={batch_id}"
+        days = messages.select("patient_id", "alert_id", day.alias("day")).dropDuplicates(
+            ["patient_id", "alert_id"]
+        )
+        (
+            send_messages(messages, send)
+            .withColumn("delivered_at", F.when(F.col("delivered"), F.current_timestamp()))
+            .join(days, ["patient_id", "alert_id"])
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .partitionBy("day", "batch_id")
+            .parquet(ledger)
         )
 
+    files.create(changes.sparkSession, ledger)
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()

@@ -6,6 +6,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bedside_spark.schemas import READING
 from bedside_spark.sinks import files
@@ -37,7 +38,10 @@ def first_start(spark: SparkSession, mark: str) -> datetime:
     return datetime.fromisoformat(noted.opened)
 
 
-def read_vitals_stream(
+_REJECTED = "_rejected"
+
+
+def read_vitals_lines(
     spark: SparkSession,
     location: str,
     *,
@@ -46,7 +50,7 @@ def read_vitals_stream(
     options: dict[str, str] | None = None,
     mark: str | None = None,
 ) -> DataFrame:
-    """Live readings with the declared schema.
+    """Live records with the declared schema, ``problem`` and, where there is one, ``payload``.
 
     ``connector`` "json" reads ISO-8601 JSON lines from a folder. Any other connector
     ("kafka", …) is loaded by name with ``options``; its ``value`` column holds the JSON.
@@ -54,10 +58,13 @@ def read_vitals_stream(
     the files written from the first start on, and an instant filters by event time. The first
     start is noted at ``mark``, a path beside the query's checkpoint, so that a restart does
     not skip what arrived while the job was down.
+
+    A line that is no JSON object, has a field of another type than declared, or lacks the
+    patient or the event time has a problem; blank lines are left out.
     """
     extra = dict(options or {})
     if connector == "json":
-        stream = spark.readStream.schema(READING).options(**extra).json(location)
+        stream = spark.readStream.options(**extra).text(location)
         if start == "latest":
             if mark is None:
                 raise ValueError('start="latest" needs a mark that outlives the query')
@@ -68,13 +75,34 @@ def read_vitals_stream(
             extra.setdefault("startingTimestamp", str(int(start.timestamp() * 1000)))
         else:
             extra.setdefault("startingOffsets", start)
-        raw = spark.readStream.format(connector).options(**extra).load()
-        parsed = F.from_json(F.col("value").cast("string"), READING)
-        stream = raw.select(parsed.alias("_row")).select("_row.*")
+        stream = spark.readStream.format(connector).options(**extra).load()
+    text = F.col("value").cast("string")
+    schema = StructType([*READING.fields, StructField(_REJECTED, StringType())])
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": _REJECTED})
+    rows = stream.select(text.alias("payload"), parsed.alias("_row")).where("trim(payload) <> ''")
+    problem = (
+        F.when(F.col("_row").isNull() | F.col(f"_row.{_REJECTED}").isNotNull(), "not a reading")
+        .when(F.col("_row.patient_id").isNull(), "missing patient_id")
+        .when(F.col("_row.event_time").isNull(), "missing event_time")
+    )
+    rows = rows.withColumn("problem", problem).select(
+        *[F.col(f"_row.{f.name}") for f in READING.fields],
+        "problem",
+        F.when(F.col("problem").isNotNull(), F.col("payload")).alias("payload"),
+    )
     if isinstance(start, datetime):
-        stream = stream.where(F.col("event_time") >= F.lit(start))
+        rows = rows.where(F.col("problem").isNotNull() | (F.col("event_time") >= F.lit(start)))
     arrival = F.coalesce("ingestion_time", F.current_timestamp())
-    return stream.withColumn("ingestion_time", arrival)
+    return rows.withColumn("ingestion_time", arrival)
+
+
+def read_vitals_stream(spark: SparkSession, location: str, **settings) -> DataFrame:
+    """The sound readings of :func:`read_vitals_lines`, whose settings it takes.
+
+    ``sinks.streams.append_checked`` keeps the others as well.
+    """
+    lines = read_vitals_lines(spark, location, **settings)
+    return lines.where("problem is null").drop("problem", "payload")
 
 
 def read_between(

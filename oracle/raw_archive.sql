@@ -1,4 +1,3 @@
-select strftime(ingestion_time, '%Y') as year, strftime(ingestion_time, '%m') as month,
-       strftime(ingestion_time, '%d') as day, strftime(ingestion_time, '%H') as hour,
-       count(*) as readings, max(heart_rate) as max_hr
-from readings group by 1, 2, 3, 4
+select strftime(r.ingestion_time, '%Y') as year, strftime(r.ingestion_time, '%m') as month,
+       strftime(r.ingestion_time, '%d') as day, printf('%02d', date_part('hour', r.ingestion_time)::int // 8 * 8) as hour, a.*
+from accepted a join records r using ("recordId")
