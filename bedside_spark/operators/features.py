@@ -185,12 +185,3 @@ def vitals_features(
             "split",
         )
     )
-
-
-def split_leaks(features: DataFrame) -> DataFrame:
-    """Patients that appear in more than one split; must be empty."""
-    return (
-        features.groupBy("patient_id")
-        .agg(F.countDistinct("split").alias("splits"))
-        .where("splits > 1")
-    )

@@ -1,18 +1,15 @@
-"""Duplicates, late readings, retention, and the export's run date."""
+"""Duplicates, late readings and retention."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside_spark.functions.timekit import micros, moment
-from bedside_spark.operators.ordered import HOT_ROWS, running, with_slices
 
 READING_KEY = ("patient_id", "device_id", "event_time")
-# Days each kind of table is kept.
-RETENTION_DAYS = {"vitals": 90, "summaries": 30, "alerts": 90}
 
 
 def dedup_readings(vitals: DataFrame) -> DataFrame:
@@ -31,27 +28,32 @@ def late_readings(
     vitals: DataFrame,
     window_seconds: int = 60,
     delay_seconds: int = 10,
-    hot_rows: int = HOT_ROWS,
+    span_seconds: int = 60,
 ) -> DataFrame:
     """Readings whose window was already closed when they arrived.
 
-    The watermark before a reading is the greatest event time that arrived earlier, less
-    the delay. That running maximum has no key; cutting the arrival order into slices
-    keeps it parallel.
+    The watermark before a reading is the greatest event time that arrived earlier, less the
+    delay. That running maximum has no key, so it is taken inside spans of the arrival time, and
+    what the spans before hold is added: one row per span is ordered globally, never readings.
     """
-    arrivals = vitals.withColumn("_all", F.lit(1))
-    sliced = with_slices(arrivals, "_all", "ingestion_time", hot_rows)
-    seen = running(
-        sliced,
-        "_all",
-        ("ingestion_time", "trace_id"),
-        {"_newest": ("max", micros("event_time"))},
-        last=-1,
+    width, span = window_seconds * 1_000_000, span_seconds * 1_000_000
+    readings = vitals.select(
+        "patient_id",
+        "event_time",
+        "ingestion_time",
+        "trace_id",
+        F.floor(micros("ingestion_time") / F.lit(span)).alias("_span"),
     )
-    width = window_seconds * 1_000_000
+    earlier = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = readings.groupBy("_span").agg(F.max(micros("event_time")).alias("_newest"))
+    carries = spans.select("_span", F.max("_newest").over(earlier).alias("_carry"))
+    inside = Window.partitionBy("_span").orderBy("ingestion_time", "trace_id")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    seen = readings.withColumn("_inside", F.max(micros("event_time")).over(inside))
+    newest = F.greatest("_inside", "_carry")
     closes = (F.floor(micros("event_time") / width) + 1) * width
-    watermark = F.col("_newest") - delay_seconds * 1_000_000
-    return seen.where(closes <= watermark).select(
+    watermark = newest - delay_seconds * 1_000_000
+    return seen.join(carries, "_span").where(closes <= watermark).select(
         "patient_id",
         "event_time",
         "ingestion_time",
@@ -65,11 +67,3 @@ def apply_retention(
 ) -> DataFrame:
     """Rows that are not older than ``days``; on a day-partitioned table whole days drop out."""
     return df.where(F.col(time) >= moment(as_of) - F.make_dt_interval(days=F.lit(days)))
-
-
-def normal_run_date(text: Column) -> Column:
-    """The date in ``run_date=2026-09-15`` or ``2026-09-15``; today (UTC) when there is none."""
-    today = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd")
-    return F.when(F.coalesce(text, F.lit("")) == "", today).otherwise(
-        F.substring_index(text, "=", -1)
-    )

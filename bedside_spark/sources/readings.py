@@ -18,11 +18,16 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return system.getFileStatus(where).isDirectory()
 
 
-def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+#: Files a micro-batch takes, so that a backlog does not come as one batch.
+FILES_PER_BATCH = 1000
+
+
+def stream_table(
+    spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
     """A Parquet table as a stream, whether it is a folder or a single file."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if _is_folder(spark, path):
         return reader.parquet(path)
     folder, _, name = path.rstrip("/").rpartition("/")
@@ -64,6 +69,7 @@ def read_vitals_lines(
     """
     extra = dict(options or {})
     if connector == "json":
+        extra.setdefault("maxFilesPerTrigger", str(FILES_PER_BATCH))
         stream = spark.readStream.options(**extra).text(location)
         if start == "latest":
             if mark is None:

@@ -30,7 +30,7 @@ OPERATORS = {
     "rolling_average": lambda df, n: timeseries.rolling_average(df, 86_400, hot_rows=n),
     "rolling_slope": lambda df, n: timeseries.rolling_slope(df, 86_400, hot_rows=n),
     "sustained": lambda df, n: alerts.sustained_alerts(df, 86_400.0, 3600.0, hot_rows=n),
-    "late": lambda df, n: upkeep.late_readings(df, hot_rows=n),
+    "late": lambda df, n: upkeep.late_readings(df, span_seconds=min(n, 86_400)),
 }
 
 
@@ -87,3 +87,8 @@ def test_dense_rank_matches_window(skewed):
         F.dense_rank().over(window).cast("bigint"),
     )
     assert rows(ranking.dense_rank_heart_rates(skewed)) == rows(literal)
+
+
+def test_late_readings_join_no_constant(skewed):
+    plan = upkeep.late_readings(skewed)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
