@@ -241,10 +241,13 @@ split as (
         list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\x0C\r]')) as lines,
         [{counts}] as counted, length(body) as n_chars
     from body),
-starts as (select rid, words, unnest(range(0, len(words) - 2)) as i from split),
+tokens as (
+    select rid, unnest(words) as word, unnest(range(0, len(words))) as i from split),
+starts as (
+    select rid, i, word as a, lead(word) over place as b, lead(word, 2) over place as c
+    from tokens window place as (partition by rid order by i)),
 windows as (
-    select rid, i, count(*) over (partition by rid, words[i + 1], words[i + 2], words[i + 3]) as n
-    from starts),
+    select rid, i, count(*) over (partition by rid, a, b, c) as n from starts where c is not null),
 repeated as (
     select rid, count(distinct i + o) as n_repeat_words
     from windows cross join (values (0), (1), (2)) as offsets(o) where n > 1 group by rid),

@@ -55,7 +55,7 @@ def test_divergence(spark):
 
 
 def test_prose_stays_and_junk_goes(spark):
-    prose = " ".join(cases.PROSE.replace("boats", f"boats{i}").replace("wind", f"wind{i * 7}") for i in range(2))
+    prose = cases.PROSE
     junk = " ".join(f"w{i:x}### x{i}$$$ the%%%" for i in range(100))
     docs = spark.createDataFrame([(1, prose), (2, junk), (3, "short")], "doc_id long, text string")
     assert [r.doc_id for r in quality.drop_rejected(docs).collect()] == [1]
@@ -66,7 +66,10 @@ def test_against_duckdb(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     got = quality.op4_quality_rules(spark, str(tmp_path)).toPandas()
-    assert verify.difference(got, con.execute(quality.oracle_sql()).df()) is None
+    expected = con.execute(quality.oracle_sql()).df()
+    for frame in (got, expected):  # pandas has no integer null
+        frame["doc_id"] = frame["doc_id"].fillna(-1).astype("int64")
+    assert verify.difference(got, expected) is None
 
 
 def test_registered_text(spark):
