@@ -8,7 +8,8 @@ Narrow scans of the texts and two shuffles:
    one more scan and makes it small;
 2. windows whose counters in both rows say "two or more" are grouped exactly, by 128 bits: the
    smallest hash of their half-windows and a digest of their words. Neighbouring windows mostly
-   share that smallest hash and travel as one row. Windows met twice in one chunk of a task are
+   share that smallest hash and travel as one row; a hash that very many windows share, as in a
+   large group of near copies, is split into its windows. Windows met twice in one chunk of a task are
    settled there and only announced once, so a passage in a third of all texts arrives as one
    row per chunk; after the shuffle the rest is sorted and compared one row at a time;
 3. words covered by repeated windows are removed. Rows are matched by a digest of the whole
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from bedside_spark.llm.arrays import NOT_BLANK, Words, document_bytes, mixed, slices, words_of
-from bedside_spark.llm.frames import table, text_bytes
+from bedside_spark.llm.frames import checkpointed, table, text_bytes
 
 WINDOW = 35
 PART = 17
@@ -48,6 +49,9 @@ _BLOCK_BITS = 20
 #: Windows sketched or compared at once by a task.
 _CHUNK = 1_000_000
 _CANDIDATES = 250_000
+#: A key with more than this share of all candidate windows is split into its windows.
+_HEAVY_SHARE = 1e-4
+_HEAVY_IN_CHUNK = 8
 
 
 # ---- the sketch ---------------------------------------------------------------------------
@@ -240,10 +244,61 @@ def _settled(keys, digests, texts, places) -> Iterator[tuple]:
         yield t[cut, 0], t[cut, 0], t[cut, 1], _lists(places[chosen], cut), [None] * len(cut)
 
 
-def _candidates(size: int, shared: list):
+def _key_counts(size: int, shared: list):
+    """(key, windows) of the keys that are frequent in a chunk, and of all as key null."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen, held, n = _Filter(shared), [], 0
 
+        def flush() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts >= _HEAVY_IN_CHUNK
+            listed = pa.array([*keys[often].tolist(), None], pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [listed, pa.array(np.r_[counts[often], n], pa.int64())], names=["key", "windows"]
+            )
+
+        for batch in batches:
+            data, offsets = document_bytes(batch.column(0))
+            for begin, end in slices(offsets):
+                words = words_of(data, offsets[begin : end + 1], NOT_BLANK)
+                first, hashes = words.windows(size)
+                first = first[chosen.passes(hashes)]
+                if len(first):
+                    held.append(_keys(words, first, size))
+                    n += len(first)
+                if n >= _CANDIDATES:
+                    yield flush()
+                    held, n = [], 0
+        if n:
+            yield flush()
+
+    return run
+
+
+def heavy_keys(bodies: DataFrame, size: int, shared: list) -> np.ndarray:
+    """Keys of more than ``_HEAVY_SHARE`` of the candidate windows; at most one over that many."""
+    counts = bodies.select("body").mapInArrow(_key_counts(size, shared), "key long, windows long")
+    sums = checkpointed(counts.groupBy("key").agg(F.sum("windows").alias("windows")))
+    total = sums.where("key is null").agg(F.sum("windows")).first()[0] or 0
+    found = sums.where(F.col("key").isNotNull() & (F.col("windows") > total * _HEAVY_SHARE))
+    return np.array(sorted(r.key for r in found.select("key").collect()), np.int64)
+
+
+def _keys(words: Words, first: np.ndarray, size: int) -> np.ndarray:
+    """Smallest hash of the half-windows in each window."""
+    part = min(PART, size)
+    begin, hashes = words.windows(part)
+    by_word = np.zeros(len(words.starts), np.uint64)
+    by_word[begin] = hashes
+    span = np.lib.stride_tricks.sliding_window_view(by_word, size - part + 1)
+    return span[first].min(axis=1).view(np.int64)
+
+
+def _candidates(size: int, shared: list, heavy):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, split, held, n = _Filter(shared), heavy.value, [], 0
+
         def flush() -> Iterator[pa.RecordBatch]:
             for columns in _settled(*(np.concatenate(part) for part in zip(*held))):
                 yield pa.RecordBatch.from_arrays(
@@ -257,7 +312,7 @@ def _candidates(size: int, shared: list):
                 first, hashes = words.windows(size)
                 first = first[chosen.passes(hashes)]
                 if len(first):
-                    held.append(_described(words, first, size))
+                    held.append(_described(words, first, size, split))
                     n += len(first)
                 if n >= _CANDIDATES:
                     yield from flush()
@@ -268,14 +323,12 @@ def _candidates(size: int, shared: list):
     return run
 
 
-def _described(words: Words, first: np.ndarray, size: int) -> tuple:
-    """(keys, digests, text digests, places) of the candidate windows starting at ``first``."""
-    part = min(PART, size)
-    begin, hashes = words.windows(part)
-    by_word = np.zeros(len(words.starts), np.uint64)
-    by_word[begin] = hashes
-    span = np.lib.stride_tricks.sliding_window_view(by_word, size - part + 1)
-    keys = span[first].min(axis=1).view(np.int64)
+def _described(words: Words, first: np.ndarray, size: int, heavy: np.ndarray) -> tuple:
+    """(keys, digests, text digests, places) of the candidate windows starting at ``first``.
+
+    A window of a heavy key gets a key of its own, from both.
+    """
+    keys = _keys(words, first, size)
     document = np.searchsorted(words.first, first, "right") - 1
     whole = words.data.tobytes()
     digests: list[int] = []
@@ -292,7 +345,11 @@ def _described(words: Words, first: np.ndarray, size: int) -> tuple:
         digests += [digest(line[x:y]) for x, y in spans]
         texts += [xxhash.xxh3_128_intdigest(body)] * len(own)
     places = (first - words.first[document]).astype(np.int32)
-    return keys, np.array(digests, np.uint64).view(np.int64), _halves(texts), places
+    told = np.array(digests, np.uint64)
+    if len(heavy):
+        own = keys.view(np.uint64) + mixed(told)
+        keys = np.where(np.isin(keys, heavy), own.view(np.int64), keys)
+    return keys, told.view(np.int64), _halves(texts), places
 
 
 def _expanded(runs: DataFrame) -> DataFrame:
@@ -375,7 +432,9 @@ def repeated_places(docs: DataFrame, size: int = WINDOW, cells: int | None = Non
     The text is named by its 128-bit digest and may have several rows.
     """
     bodies = text_bytes(docs)
-    found = bodies.mapInArrow(_candidates(size, sketch(bodies, size, cells=cells)), _RUNS_SQL)
+    shared = sketch(bodies, size, cells=cells)
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy_keys(bodies, size, shared))
+    found = bodies.mapInArrow(_candidates(size, shared, heavy), _RUNS_SQL)
     return (
         _expanded(found.repartition("key"))
         .sortWithinPartitions("key", "digest")
