@@ -6,8 +6,13 @@ benchmark are hash-joined with those of all documents, so a question asked again
 numbers and names is found as well. Of each alignment found, tokens are compared exactly and
 slots are checked: what one value of the item's slots became must be one value in the document.
 
-A document leaks an item if consistent alignments cover ``MIN_TOKENS`` of its tokens, or
-``MIN_SHARE`` of those its windows cover, if they are fewer. Windows that are mostly placeholders
+What a name is depends on the letter case, so texts are read a second time with their case
+folded: only numbers are placeholders, every word stands for itself. Windows of both readings are
+looked up in one join, and what they cover is added.
+
+A document leaks an item if consistent alignments cover ``MIN_TOKENS`` of its tokens or
+``MIN_SHARE`` of them, if that is fewer; what templates alone cover is also held against the
+share of those tokens that template windows cover. Windows that are mostly placeholders
 are not used, and of equal windows of an item the first. The benchmark's windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
 with matches are fetched by a join of the same kind.
 
@@ -35,6 +40,8 @@ MAX_CONFLICTS = 0.1
 BROADCAST_WINDOWS = 1_000_000
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "0", "1", "2"
 SLOTS = (NUMBER_SLOT, NAME_SLOT, UNIT_SLOT)
+#: Readings of a text: templates, and words with their case folded.
+TEMPLATE, FOLDED = 0, 1
 
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _NAME = r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})"
@@ -60,22 +67,36 @@ def values(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"{_NUMBER}|\p{{L}}+"), F.lit(0))
 
 
-def _windows(hashes: str, width: int) -> Column:
+def folded(text: Column) -> Column:
+    """Case-folded words and number slots of a text, one for each template token."""
+
+    def fold(value: Column) -> Column:
+        number = F.rlike(value, F.lit(r"^\p{N}"))
+        return F.when(number, NUMBER_SLOT).otherwise(F.upper(value))
+
+    return F.transform(values(text), fold)
+
+
+def _windows(hashes: str, width: int, reading: int) -> Column:
     """Hashes of all windows of ``width`` from an array of token hashes."""
     parts = ", ".join(f"{hashes}[i + {k}]" for k in range(width))
     return F.expr(
-        f"case when size({hashes}) >= {width} then "
-        f"transform(sequence(0, size({hashes}) - {width}), i -> xxhash64({width}, {parts})) end"
+        f"case when size({hashes}) >= {width} then transform(sequence(0, size({hashes}) - {width}),"
+        f" i -> xxhash64({reading}, {width}, {parts})) else array() end"
     )
 
 
 def _tokens(frame: DataFrame, id_column: str, name: str) -> DataFrame:
-    """id, digest of the text, template tokens and their hashes."""
+    """id, digest of the text, its tokens in both readings and their hashes."""
     body = F.coalesce(F.col("text"), F.lit(""))
     cut = frame.select(
-        F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text"), template(body).alias("tokens")
-    )
-    return cut.withColumn("hashes", F.transform("tokens", lambda t: F.xxhash64(t)))
+        F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text"),
+        template(body).alias("tokens"), folded(body).alias("words"),
+    )
+    return cut.withColumns({
+        "hashes": F.transform("tokens", lambda t: F.xxhash64(t)),
+        "word_hashes": F.transform("words", lambda t: F.xxhash64(t)),
+    })
 
 
 def _is_slot(token: Column) -> Column:
@@ -85,49 +106,59 @@ def _is_slot(token: Column) -> Column:
 def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc, doc_text, item, item_text, shift, starts): windows shared at one alignment.
 
-    And (item, item_text, windows): the places of each item's windows.
+    ``starts`` are the readings and places in the item. And (item, item_text, windows): the places
+    of each item's template windows.
     """
     items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") >= MIN_ITEM)
     items = items.dropDuplicates(["item", "item_text"])
     width = F.least(F.size("tokens"), F.lit(WINDOW))
     widths = sorted(r[0] for r in items.select(width.alias("w")).distinct().collect())
-    listed, sought = [], []
-    for w in widths:
-        fits = items.where(width == w).select(
-            "item",
-            "item_text",
-            _windows("hashes", w).alias("hashed"),
-            F.transform("tokens", lambda t: F.when(_is_slot(t), 0).otherwise(1)).alias("literal"),
-        )
-        placed = F.expr(f"""filter(transform(hashed, (h, i) -> struct(h as hash, i as at,
-            aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals)),
-            x -> x.literals >= {w * MIN_LITERAL_SHARE})""")
-        # A window that an item repeats stands for its first place, so that matches stay linear.
-        useful = fits.select("item", "item_text", F.inline(placed))
-        listed.append(useful.groupBy("item", "item_text", "hash").agg(F.min("at").alias("at")))
-        sought.append(w)
-    found = _tokens(docs, "doc_id", "doc")
-    if not listed:
-        none = F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash")
-        listed, sought = [items.select("item", "item_text", *none).limit(0)], [WINDOW]
-    wanted = listed[0]
-    for more in listed[1:]:
-        wanted = wanted.unionByName(more)
+    wanted = None
+    for w in widths or [WINDOW]:
+        for reading, tokens, hashes in (
+            (TEMPLATE, "tokens", "hashes"), (FOLDED, "words", "word_hashes"),
+        ):
+            fits = items.where(width == w).select(
+                "item",
+                "item_text",
+                _windows(hashes, w, reading).alias("hashed"),
+                F.transform(tokens, lambda t: F.when(_is_slot(t), 0).otherwise(1)).alias("literal"),
+            )
+            placed = F.expr(f"""filter(transform(hashed, (h, i) -> struct(h as hash, i as at,
+                aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals)),
+                x -> x.literals >= {w * MIN_LITERAL_SHARE})""")
+            # A window that an item repeats stands for its first place, so that matches stay linear.
+            useful = fits.select("item", "item_text", F.inline(placed))
+            part = useful.groupBy("item", "item_text", "hash").agg(F.min("at").alias("at"))
+            part = part.withColumn("reading", F.lit(reading))
+            wanted = part if wanted is None else wanted.unionByName(part)
     wanted = checkpointed(wanted)
     small = wanted.count() <= BROADCAST_WINDOWS
+    found = _tokens(docs, "doc_id", "doc")
     result = None
-    for w in sought:
+    for w in widths or [WINDOW]:
         part = _aligned(found, F.broadcast(wanted) if small else wanted, w)
         result = part if result is None else result.unionByName(part)
-    return result, wanted.groupBy("item", "item_text").agg(F.collect_list("at").alias("windows"))
+    places = F.collect_list(F.when(F.col("reading") == TEMPLATE, F.col("at")))
+    return result, wanted.groupBy("item", "item_text").agg(places.alias("windows"))
 
 
 def _aligned(found: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    places = found.select("doc", "doc_text", F.posexplode(_windows("hashes", width)).alias("place", "hash"))
+    hashed = found.select(
+        "doc",
+        "doc_text",
+        _windows("hashes", width, TEMPLATE).alias("templates"),
+        _windows("word_hashes", width, FOLDED).alias("folds"),
+    )
+    # Both readings in one row, so that one join serves them.
+    places = hashed.select(
+        "doc", "doc_text", F.size("templates").alias("n"), F.posexplode(F.concat("templates", "folds"))
+    ).toDF("doc", "doc_text", "n", "place", "hash")
+    place = F.when(F.col("reading") == TEMPLATE, F.col("place")).otherwise(F.col("place") - F.col("n"))
     return (
         places.join(wanted, "hash")
-        .groupBy("doc", "doc_text", "item", "item_text", (F.col("place") - F.col("at")).alias("shift"))
-        .agg(F.collect_set("at").alias("starts"))
+        .groupBy("doc", "doc_text", "item", "item_text", (place - F.col("at")).alias("shift"))
+        .agg(F.collect_set(F.struct("reading", "at")).alias("starts"))
     )
 
 
@@ -148,10 +179,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.select(
         F.col("doc_id").alias("doc"), F.xxhash64("body").alias("doc_text"),
         template(F.col("body")).alias("ours"), values(F.col("body")).alias("our_values"),
+        folded(F.col("body")).alias("our_words"),
     ).dropDuplicates(["doc", "doc_text"])
     items = benchmark.select(
         F.col("item_id").alias("item"), F.xxhash64(body).alias("item_text"),
         template(body).alias("theirs"), values(body).alias("their_values"),
+        folded(body).alias("their_words"),
     ).dropDuplicates(["item", "item_text"])
 
     def joined(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
@@ -166,33 +199,59 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.collect_list(F.struct("shift", "starts")).alias("alignments")
     )
     rows = joined(joined(joined(alignments, texts, "doc"), items, "item"), windows, "item")
+    def covering(reading: int, ours: str, theirs: str) -> str:
+        return f"""array_distinct(flatten(transform(
+            filter(a.starts, x -> x.reading = {reading} and
+                slice({ours}, x.at + a.shift + 1, width) = slice({theirs}, x.at + 1, width)),
+            x -> sequence(x.at, x.at + width - 1))))"""
+
     covered = rows.withColumn("width", F.least(F.size("theirs"), F.lit(WINDOW))).withColumn(
         "alignments",
-        F.expr("""transform(alignments, a -> struct(a.shift as shift, array_distinct(flatten(
-            transform(
-                filter(a.starts, p ->
-                    slice(ours, p + a.shift + 1, width) = slice(theirs, p + 1, width)),
-                p -> sequence(p, p + width - 1)))) as covered))"""),
+        F.expr(f"""transform(alignments, a -> struct(a.shift as shift,
+            {covering(TEMPLATE, "ours", "theirs")} as templates,
+            {covering(FOLDED, "our_words", "their_words")} as folds))"""),
     )
     slots = ", ".join(f"'{s}'" for s in SLOTS)
+
+    def pairing(places: str, theirs: str) -> str:
+        return f"""array_distinct(transform(
+            filter({places}, p -> {theirs}[p] in ({slots})),
+            p -> struct({theirs}[p] as kind, upper(their_values[p]) as was,
+                        upper(our_values[p + a.shift]) as now)))"""
+
     paired = covered.withColumn(
         "alignments",
-        F.expr(f"""transform(alignments, a -> struct(a.covered as covered,
-            array_distinct(transform(
-                filter(a.covered, p -> theirs[p] in ({slots})),
-                p -> struct(theirs[p] as kind, their_values[p] as was,
-                            our_values[p + a.shift] as now))) as pairs))"""),
+        F.expr(f"""transform(alignments, a -> struct(a.templates, a.folds,
+            {pairing("a.templates", "theirs")} as template_pairs,
+            {pairing("a.folds", "their_words")} as fold_pairs))"""),
     )
-    kept = paired.withColumn(
+
+    def consistent(pairs: str) -> str:
+        return f"""size({pairs}) - size(array_distinct(transform({pairs}, x -> struct(x.kind, x.was))))
+            <= size({pairs}) * {MAX_CONFLICTS}"""
+
+    # Each reading counts where its own slots are consistent.
+    checked = paired.withColumn(
         "alignments",
-        F.expr(f"""filter(alignments, a -> size(a.covered) > 0 and size(a.pairs)
-            - size(array_distinct(transform(a.pairs, x -> struct(x.kind, x.was))))
-            <= size(a.pairs) * {MAX_CONFLICTS})"""),
+        F.expr(f"""transform(alignments, a -> struct(
+            if({consistent("a.template_pairs")}, a.templates, array()) as templates,
+            if({consistent("a.template_pairs")}, a.template_pairs, array()) as template_pairs,
+            if({consistent("a.fold_pairs")}, a.folds, array()) as folds,
+            if({consistent("a.fold_pairs")}, a.fold_pairs, array()) as fold_pairs))"""),
     )
-    needed = F.least(
-        F.lit(MIN_TOKENS),
-        F.greatest(F.ceil(F.col("n_usable") * MIN_SHARE), F.col("width")),
+    kept = checked.withColumn(
+        "alignments",
+        F.expr("""transform(filter(alignments, a -> size(a.templates) + size(a.folds) > 0),
+            a -> struct(a.templates as templates, array_union(a.templates, a.folds) as covered,
+                array_union(a.template_pairs, a.fold_pairs) as pairs))"""),
     )
+
+    def needed(n: str) -> Column:
+        return F.least(F.lit(MIN_TOKENS), F.greatest(F.ceil(F.col(n) * MIN_SHARE), F.col("width")))
+
+    def distinct(places: str) -> Column:
+        return F.expr(f"cast(size(array_distinct(flatten({places}))) as bigint)")
+
     counted = kept.select(
         "doc",
         "doc_text",
@@ -200,19 +259,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "width",
         F.size("theirs").cast("long").alias("n_tokens"),
         F.inline(F.array(F.struct(
-            F.expr(
-                "cast(size(array_distinct(flatten(alignments.covered))) as bigint)"
-            ).alias("n_covered"),
+            distinct("alignments.covered").alias("n_covered"),
+            distinct("alignments.templates").alias("n_templates"),
             F.expr("cast(array_max(transform(alignments.pairs, x -> size(x))) as bigint)").alias("n_slots"),
             F.expr(
                 "forall(alignments.pairs, pairs -> exists(pairs, x -> x.was <> x.now))"
             ).alias("changed"),
-            F.expr(
-                "size(array_distinct(flatten(transform(windows, p -> sequence(p, p + width - 1)))))"
-            ).alias("n_usable"),
+            distinct("transform(windows, p -> sequence(p, p + width - 1))").alias("n_usable"),
         ))),
     )
-    return counted.where(F.col("n_covered") >= needed).select(
+    leaking = (F.col("n_covered") >= needed("n_tokens")) | (F.col("n_templates") >= needed("n_usable"))
+    return counted.where(leaking).select(
         F.col("doc").alias("doc_id"), "doc_text", F.col("item").alias("item_id"),
         "n_tokens", "n_covered", "n_slots", "changed",
     )

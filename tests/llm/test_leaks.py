@@ -81,3 +81,24 @@ def test_awkward_rows(spark):
     own = cases.awkward(spark).select(F.col("doc_id").alias("item_id"), "text").where("item_id = 9")
     found = {r.doc_id for r in leaks.leaks(cases.awkward(spark), own).collect()}
     assert 9 in found and not found & {4, 5, 6, 7, 10}
+
+
+def test_copies_in_another_letter_case_are_found(spark):
+    quote = "The Heatou and Mary Ann went to New York with Old Tom Baker. Then Ann saw The Grand Hotel"
+    items = spark.createDataFrame([(1, ITEM), (2, quote)], "item_id long, text string")
+    texts = [ITEM.upper(), ITEM.lower(), quote.upper(), quote.lower(), quote.swapcase(),
+             ITEM.upper().replace("5 APPLES", "17 APPLES")]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.n_covered == r.n_tokens, r.changed)
+             for r in leaks.leaks(given, items).collect()}
+    assert found == {
+        (0, 1): (True, False), (1, 1): (True, False), (2, 2): (True, False), (3, 2): (True, False),
+        (4, 2): (True, False), (5, 1): (True, True),
+    }
+
+
+def test_an_upper_cased_item_of_the_given_tables(spark):
+    folder = "/root/testdata/sf0.1"
+    given = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id = 8376")
+    items = spark.read.parquet(f"{folder}/benchmark.parquet").where("item_id = 101")
+    assert [r.n_covered for r in leaks.leaks(given, items).collect()] == [18]
