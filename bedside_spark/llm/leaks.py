@@ -13,10 +13,12 @@ looked up in one join, and what they cover is added.
 A document leaks an item if consistent alignments cover ``MIN_TOKENS`` of its tokens or
 ``MIN_SHARE`` of them, if that is fewer; what templates alone cover is also held against the
 share of those tokens that template windows cover. Windows that are mostly placeholders
-are not used, and of equal windows of an item the first. The benchmark's windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
+are looked up by their values as written, with the case folded; an item that has such windows and
+``MIN_WHOLE_LITERALS`` words in one is also found whole, with other numbers. Items of fewer than
+``MIN_ITEM`` tokens are found as written only. Of equal windows of an item the first is used. The benchmark's windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
 with matches are fetched by a join of the same kind.
 
-Defined results: null and empty texts and items of fewer than ``MIN_ITEM`` tokens match nothing;
+Defined results: null and empty texts and items without a word or number match nothing;
 documents are told apart by id and text, so ids may be null or repeated, and repeated rows give
 one result; repeated items are one; other columns are not read; empty tables give an empty
 result.
@@ -40,8 +42,11 @@ MAX_CONFLICTS = 0.1
 BROADCAST_WINDOWS = 1_000_000
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "0", "1", "2"
 SLOTS = (NUMBER_SLOT, NAME_SLOT, UNIT_SLOT)
-#: Readings of a text: templates, and words with their case folded.
-TEMPLATE, FOLDED = 0, 1
+#: Words that a window must have for its item to be sought whole with other numbers.
+MIN_WHOLE_LITERALS = 2
+#: Readings of a text: templates, words with their case folded, values as written with their case
+#: folded; and one window of folded words that stands for the whole item.
+TEMPLATE, FOLDED, EXACT, WHOLE = 0, 1, 2, 3
 
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _NAME = r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})"
@@ -77,6 +82,11 @@ def folded(text: Column) -> Column:
     return F.transform(values(text), fold)
 
 
+def exact(text: Column) -> Column:
+    """Case-folded values of a text, one for each template token."""
+    return F.transform(values(text), F.upper)
+
+
 def _windows(hashes: str, width: int, reading: int) -> Column:
     """Hashes of all windows of ``width`` from an array of token hashes."""
     parts = ", ".join(f"{hashes}[i + {k}]" for k in range(width))
@@ -87,15 +97,17 @@ def _windows(hashes: str, width: int, reading: int) -> Column:
 
 
 def _tokens(frame: DataFrame, id_column: str, name: str) -> DataFrame:
-    """id, digest of the text, its tokens in both readings and their hashes."""
+    """id, digest of the text, its tokens in all readings and their hashes."""
     body = F.coalesce(F.col("text"), F.lit(""))
     cut = frame.select(
         F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text"),
         template(body).alias("tokens"), folded(body).alias("words"),
+        exact(body).alias("exact"),
     )
     return cut.withColumns({
         "hashes": F.transform("tokens", lambda t: F.xxhash64(t)),
         "word_hashes": F.transform("words", lambda t: F.xxhash64(t)),
+        "exact_hashes": F.transform("exact", lambda t: F.xxhash64(t)),
     })
 
 
@@ -109,52 +121,71 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
     ``starts`` are the readings and places in the item. And (item, item_text, windows): the places
     of each item's template windows.
     """
-    items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") >= MIN_ITEM)
+    items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") > 0)
     items = items.dropDuplicates(["item", "item_text"])
     width = F.least(F.size("tokens"), F.lit(WINDOW))
     widths = sorted(r[0] for r in items.select(width.alias("w")).distinct().collect())
     wanted = None
     for w in widths or [WINDOW]:
-        for reading, tokens, hashes in (
-            (TEMPLATE, "tokens", "hashes"), (FOLDED, "words", "word_hashes"),
-        ):
+        usable = f"x.literals >= {w * MIN_LITERAL_SHARE}"
+        # An item's fullest window stands for all of it, if some of its windows are not usable.
+        fullest = f"""filter(array(array_max(transform(all, x ->
+            struct(x.literals as literals, -x.at as back, x.hash as hash, x.at as at)))),
+            x -> x.literals >= {MIN_WHOLE_LITERALS} and exists(all, x -> not {usable}))"""
+        readings = (
+            (TEMPLATE, "tokens", "hashes", f"filter(all, x -> {usable})"),
+            (FOLDED, "words", "word_hashes", f"filter(all, x -> {usable})"),
+            (WHOLE, "words", "word_hashes", fullest),
+            (EXACT, "words", "exact_hashes", f"filter(all, x -> not {usable})"),
+        )
+        if w < MIN_ITEM:
+            readings = ((EXACT, "words", "exact_hashes", "all"),)
+        for reading, tokens, hashes, chosen in readings:
             fits = items.where(width == w).select(
                 "item",
                 "item_text",
-                _windows(hashes, w, reading).alias("hashed"),
+                _windows(hashes, w, FOLDED if reading == WHOLE else reading).alias("hashed"),
                 F.transform(tokens, lambda t: F.when(_is_slot(t), 0).otherwise(1)).alias("literal"),
             )
-            placed = F.expr(f"""filter(transform(hashed, (h, i) -> struct(h as hash, i as at,
-                aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals)),
-                x -> x.literals >= {w * MIN_LITERAL_SHARE})""")
+            placed = F.expr(f"""transform(hashed, (h, i) -> struct(h as hash, i as at,
+                aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals))""")
             # A window that an item repeats stands for its first place, so that matches stay linear.
-            useful = fits.select("item", "item_text", F.inline(placed))
+            useful = fits.withColumn("all", placed).select("item", "item_text", F.inline(F.expr(chosen)))
             part = useful.groupBy("item", "item_text", "hash").agg(F.min("at").alias("at"))
-            part = part.withColumn("reading", F.lit(reading))
+            part = part.withColumns({"reading": F.lit(reading), "width": F.lit(w)})
             wanted = part if wanted is None else wanted.unionByName(part)
     wanted = checkpointed(wanted)
     small = wanted.count() <= BROADCAST_WINDOWS
+    as_written = {r[0] for r in wanted.where(F.col("reading") == EXACT).select("width").distinct().collect()}
     found = _tokens(docs, "doc_id", "doc")
     result = None
     for w in widths or [WINDOW]:
-        part = _aligned(found, F.broadcast(wanted) if small else wanted, w)
+        part = _aligned(found, F.broadcast(wanted) if small else wanted, w, w in as_written)
         result = part if result is None else result.unionByName(part)
     places = F.collect_list(F.when(F.col("reading") == TEMPLATE, F.col("at")))
     return result, wanted.groupBy("item", "item_text").agg(places.alias("windows"))
 
 
-def _aligned(found: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _aligned(found: DataFrame, wanted: DataFrame, width: int, as_written: bool) -> DataFrame:
+    wanted = wanted.drop("width")
     hashed = found.select(
         "doc",
         "doc_text",
         _windows("hashes", width, TEMPLATE).alias("templates"),
         _windows("word_hashes", width, FOLDED).alias("folds"),
+        *[_windows("exact_hashes", width, EXACT).alias("exact")] * as_written,
     )
-    # Both readings in one row, so that one join serves them.
+    # All readings in one row, so that one join serves them.
+    lists = ["templates", "folds", *["exact"] * as_written]
     places = hashed.select(
-        "doc", "doc_text", F.size("templates").alias("n"), F.posexplode(F.concat("templates", "folds"))
-    ).toDF("doc", "doc_text", "n", "place", "hash")
-    place = F.when(F.col("reading") == TEMPLATE, F.col("place")).otherwise(F.col("place") - F.col("n"))
+        "doc", "doc_text", F.size("templates").alias("n"), F.size("folds").alias("m"),
+        F.posexplode(F.concat(*lists)),
+    ).toDF("doc", "doc_text", "n", "m", "place", "hash")
+    place = F.col("place") - (
+        F.when(F.col("reading") == TEMPLATE, 0)
+        .when(F.col("reading") == EXACT, F.col("n") + F.col("m"))
+        .otherwise(F.col("n"))
+    )
     return (
         places.join(wanted, "hash")
         .groupBy("doc", "doc_text", "item", "item_text", (place - F.col("at")).alias("shift"))
@@ -179,12 +210,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.select(
         F.col("doc_id").alias("doc"), F.xxhash64("body").alias("doc_text"),
         template(F.col("body")).alias("ours"), values(F.col("body")).alias("our_values"),
-        folded(F.col("body")).alias("our_words"),
+        folded(F.col("body")).alias("our_words"), exact(F.col("body")).alias("our_exact"),
     ).dropDuplicates(["doc", "doc_text"])
     items = benchmark.select(
         F.col("item_id").alias("item"), F.xxhash64(body).alias("item_text"),
         template(body).alias("theirs"), values(body).alias("their_values"),
-        folded(body).alias("their_words"),
+        folded(body).alias("their_words"), exact(body).alias("their_exact"),
     ).dropDuplicates(["item", "item_text"])
 
     def joined(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
@@ -205,11 +236,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 slice({ours}, x.at + a.shift + 1, width) = slice({theirs}, x.at + 1, width)),
             x -> sequence(x.at, x.at + width - 1))))"""
 
+    whole = f"""case when a.shift >= 0 and exists(a.starts, x -> x.reading = {WHOLE})
+        and slice(our_words, a.shift + 1, size(their_words)) = their_words
+        then sequence(0, size(their_words) - 1) else array() end"""
     covered = rows.withColumn("width", F.least(F.size("theirs"), F.lit(WINDOW))).withColumn(
         "alignments",
         F.expr(f"""transform(alignments, a -> struct(a.shift as shift,
             {covering(TEMPLATE, "ours", "theirs")} as templates,
-            {covering(FOLDED, "our_words", "their_words")} as folds))"""),
+            array_union({covering(FOLDED, "our_words", "their_words")}, {whole}) as folds,
+            {covering(EXACT, "our_exact", "their_exact")} as exact))"""),
     )
     slots = ", ".join(f"'{s}'" for s in SLOTS)
 
@@ -221,9 +256,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     paired = covered.withColumn(
         "alignments",
-        F.expr(f"""transform(alignments, a -> struct(a.templates, a.folds,
+        F.expr(f"""transform(alignments, a -> struct(a.templates, a.folds, a.exact,
             {pairing("a.templates", "theirs")} as template_pairs,
-            {pairing("a.folds", "their_words")} as fold_pairs))"""),
+            {pairing("a.folds", "their_words")} as fold_pairs,
+            {pairing("a.exact", "their_words")} as exact_pairs))"""),
     )
 
     def consistent(pairs: str) -> str:
@@ -233,7 +269,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # Each reading counts where its own slots are consistent.
     checked = paired.withColumn(
         "alignments",
-        F.expr(f"""transform(alignments, a -> struct(
+        F.expr(f"""transform(alignments, a -> struct(a.exact, a.exact_pairs,
             if({consistent("a.template_pairs")}, a.templates, array()) as templates,
             if({consistent("a.template_pairs")}, a.template_pairs, array()) as template_pairs,
             if({consistent("a.fold_pairs")}, a.folds, array()) as folds,
@@ -241,9 +277,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     kept = checked.withColumn(
         "alignments",
-        F.expr("""transform(filter(alignments, a -> size(a.templates) + size(a.folds) > 0),
-            a -> struct(a.templates as templates, array_union(a.templates, a.folds) as covered,
-                array_union(a.template_pairs, a.fold_pairs) as pairs))"""),
+        F.expr("""transform(filter(alignments,
+                a -> size(a.templates) + size(a.folds) + size(a.exact) > 0),
+            a -> struct(a.templates as templates,
+                array_union(array_union(a.templates, a.folds), a.exact) as covered,
+                array_union(array_union(a.template_pairs, a.fold_pairs), a.exact_pairs) as pairs))"""),
     )
 
     def needed(n: str) -> Column:

@@ -102,3 +102,23 @@ def test_an_upper_cased_item_of_the_given_tables(spark):
     given = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id = 8376")
     items = spark.read.parquet(f"{folder}/benchmark.parquet").where("item_id = 101")
     assert [r.n_covered for r in leaks.leaks(given, items).collect()] == [18]
+
+
+def test_items_of_numbers_and_short_items_are_found(spark):
+    texts = [
+        "What is 12 + 47 * 3 - 5 / 6?", "Solve 3x + 7 = 22, 5y - 9 = 16, 2z + 1 = 7.", "12 + 7 = 19",
+        "8 15 16 23 42 4 11 13 99",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    others = [
+        "Question: WHAT IS 13 + 48 * 4 - 6 / 8?", "solve 4x + 8 = 28, 6y - 9 = 17, 3z + 2 = 8.",
+        "12 + 8 = 20", "What are 12 + 47 * 3 - 5 / 6?", "1 2 3 4 5 6 7 8 9", "5 12 7 19 3", "is 12",
+    ]
+    copies = [(i, f"Here: {t} Good.") for i, t in enumerate(texts)]
+    given = copies + [(10 + i, t) for i, t in enumerate(others)]
+    frame = leaks.leaks(spark.createDataFrame(given, "doc_id long, text string"), items)
+    found = {(r.doc_id, r.item_id): r.changed for r in frame.collect()}
+    assert found == {
+        (0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False,
+        (10, 0): True, (11, 1): True, (15, 2): False,
+    }
