@@ -6,7 +6,7 @@ A slice holds some documents of one batch; words never cross documents. All arit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -116,6 +116,35 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         begin = end
 
 
+def parted(
+    data: np.ndarray, offsets: np.ndarray, cuts: Callable[[np.ndarray], np.ndarray], most: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, document of each part) with documents over ``most`` bytes cut where ``cuts`` allows.
+
+    A part is longer only if there is no such place in it.
+    """
+    sizes = np.diff(offsets)
+    if not (sizes > most).any():
+        return offsets, np.arange(len(sizes))
+    begins, owner = [], []
+    for document, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        begins.append(a)
+        owner.append(document)
+        width = most
+        while b - a > most:
+            found = np.flatnonzero(cuts(data[a : min(a + width, b)]))
+            found = found[found > 0]
+            if len(found):
+                a, width = a + int(found[-1]), most
+                begins.append(a)
+                owner.append(document)
+            elif a + width >= b:
+                break
+            else:
+                width *= 2
+    return np.array([*begins, int(offsets[-1])], np.int64), np.array(owner, np.int64)
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> Words:
     """Maximal runs of ``members`` bytes inside the documents ``offsets`` delimits."""
     base = offsets[0]

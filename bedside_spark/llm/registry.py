@@ -8,6 +8,7 @@ from bedside_spark.llm.licences import op1_license_scan
 from bedside_spark.llm.pieces import op3_sentencepiece
 from bedside_spark.llm import quality
 from bedside_spark.llm.quality import op4_quality_rules
+from bedside_spark.llm.sequences import op13_arrow_sequences
 from bedside_spark.llm.shards import op6_sharding
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
 from bedside_spark.llm.substrings import op8_substring_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op13_arrow_sequences": op13_arrow_sequences,
 }
 
 ORACLE: dict[str, str] = {
