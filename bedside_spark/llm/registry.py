@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bedside_spark.llm.collocations import op11_phrase_collocations
 from bedside_spark.llm.convnet import op9_quality_classifier
 from bedside_spark.llm.leaks import op5_benchmark_decontamination
 from bedside_spark.llm.licences import op1_license_scan
@@ -11,6 +12,7 @@ from bedside_spark.llm.quality import op4_quality_rules
 from bedside_spark.llm.sequences import op13_arrow_sequences
 from bedside_spark.llm.shards import op6_sharding
 from bedside_spark.llm.simhash import op10_simhash_near_dedup
+from bedside_spark.llm.spellings import op12_spelling_variants
 from bedside_spark.llm.substrings import op8_substring_dedup
 from bedside_spark.llm.tokencounts import op7_token_counts
 from bedside_spark.llm.toxicity import op2_toxicity
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_arrow_sequences": op13_arrow_sequences,
 }
 
