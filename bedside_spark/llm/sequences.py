@@ -12,9 +12,10 @@ files: (doc_id, shard, start in the shard, n_tokens), in the same order.
 A task writes under a name of its own and renames at its end, so a task that is tried again, or
 runs twice, leaves one whole file with the same content.
 
-Texts are cut before blanks that always begin a pre-token (behind and before a character that is
-no white space), each different piece is encoded by the library once per worker, and the ids are
-gathered; long texts are cut there too, so memory is bounded by ``PART_BYTES`` and a document's ids.
+Texts are cut where a byte-level tokenizer's pre-tokens always begin, each different piece is
+encoded by the library once per worker, and the ids are gathered; long texts are cut there too, so
+memory is bounded by ``PART_BYTES``. New pieces are encoded many at once where they may stand side
+by side, and told apart by the bytes of their ids.
 
 Defined results: a null or empty text has the end id only; rows come in the order of id, nulls
 first, then of the text's hash; repeated rows are repeated; an empty table gives no files and no
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedside_spark.llm.arrays import document_bytes, parted, slices
+from bedside_spark.llm.arrays import byte_table, document_bytes, parted, slices
 from bedside_spark.llm.frames import table, text_bytes
 from bedside_spark.session import work_folder
 
@@ -44,10 +45,12 @@ LENGTH = 1024
 BATCH_SEQUENCES = 64
 END_ID = 0
 #: Bytes of text in a range, and of text encoded at once.
-SHARD_BYTES = 256 << 20
+SHARD_BYTES = 128 << 20
 PART_BYTES = 4 << 20
 #: Different pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Pieces encoded as one text.
+_JOINED = 500
 
 _WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -65,17 +68,32 @@ def read_tokenizer(path: str | None = None) -> bytes:
         return file.read()
 
 
+_BLANK, _MARK = byte_table(b" \t\n\v\f\r"), byte_table(b".,;:!?")
+_LETTER = byte_table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def _starts_piece(data: np.ndarray) -> np.ndarray:
-    """Whether a byte is a blank that begins a pre-token whatever stands around it."""
-    plain = data > 0x20
+    """Whether a pre-token begins at a byte, whatever stands around it.
+
+    It does at white space behind anything else, at a letter behind a single line break, and at a
+    punctuation mark behind a letter.
+    """
+    other = data > 0x20
     if _WIDE_BLANKS.search(data.tobytes().decode("utf-8", "replace")):
-        plain &= data < 0x80
+        other &= data < 0x80
     cut = np.zeros(len(data), bool)
-    if len(data) > 2:
-        cut[1:-1] = (data[1:-1] == 0x20) & plain[:-2] & plain[2:]
+    before, here = data[:-1], data[1:]
+    cut[1:] = _BLANK[here] & other[:-1]
+    cut[2:] |= _LETTER[data[2:]] & (data[1:-1] == 0x0A) & other[:-2]
+    cut[1:] |= _MARK[here] & _LETTER[before]
     return cut
 
 
+def _joins(piece: bytes) -> bool:
+    """Whether a piece can stand before and behind others like it without changing its ids."""
+    return len(piece) > 1 and piece[0] == 0x20 and 0x20 < piece[1] < 0x7F and 0x20 < piece[-1] < 0x7F
+
+
 class Encoder:
     """The library's ids of whole texts, each different piece of text encoded once."""
 
@@ -84,18 +102,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_buffer(tokenizer)
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.library.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        #: Bytes of each id: a byte-level token has one character per byte.
+        self.widths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        #: Ids of all known pieces on end, and where each begins.
+        self.ids = np.zeros(1 << 16, self.dtype)
+        self.begins = np.zeros(1 << 14, np.int64)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        found = self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        for piece, code in zip(pieces, found):
-            self.known[piece] = len(self.ids)
-            self.ids.append(np.array(code.ids, self.dtype))
+        side_by_side = [p for p in pieces if _joins(p)]
+        groups = [side_by_side[i : i + _JOINED] for i in range(0, len(side_by_side), _JOINED)]
+        groups += [[p] for p in pieces if not _joins(p)]
+        texts = [b"".join(group).decode() for group in groups]
+        for group, found in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, self.dtype)
+            if len(group) == 1:
+                self._store(group, ids, np.array([len(ids)]))
+                continue
+            ends = np.cumsum(self.widths[ids])
+            wanted = np.cumsum([len(p) for p in group])
+            places = np.searchsorted(ends, wanted) + 1
+            if places[-1] == len(ids) and (ends[places - 1] == wanted).all():
+                self._store(group, ids, places)
+            else:  # not a byte-level tokenizer
+                for piece in group:
+                    own = self.library.encode(piece.decode(), add_special_tokens=False).ids
+                    self._store([piece], np.array(own, self.dtype), np.array([len(own)]))
+
+    def _store(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        n, base = len(self.known), int(self.begins[len(self.known)])
+        if base + len(ids) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros(max(len(self.ids), len(ids)), self.dtype)]
+        if n + len(pieces) >= len(self.begins):
+            self.begins = np.r_[self.begins, np.zeros(len(self.begins) + len(pieces), np.int64)]
+        self.ids[base : base + len(ids)] = ids
+        self.begins[n + 1 : n + 1 + len(pieces)] = base + ends
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts on end, number of ids of each)."""
@@ -116,15 +163,14 @@ class Encoder:
         new = [p for p in pieces if p not in self.known]
         if new:
             self._learn(new)
-        own = [self.ids[self.known[p]] for p in pieces]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        place = np.r_[0, np.cumsum(sizes)[:-1]]
-        index = column.indices.to_numpy()
-        counts = sizes[index]
+        own = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        index = own[column.indices.to_numpy()]
+        begins = self.begins[index]
+        counts = self.begins[index + 1] - begins
         ends = np.cumsum(counts)
-        taken = np.repeat(place[index] - (ends - counts), counts) + np.arange(ends[-1])
+        taken = np.repeat(begins - (ends - counts), counts) + np.arange(ends[-1])
         total = np.r_[0, ends][np.searchsorted(starts, offsets)]
-        return np.concatenate(own)[taken], np.diff(total)
+        return self.ids[taken], np.diff(total)
 
 
 @functools.lru_cache(maxsize=1)

@@ -39,7 +39,7 @@ def test_query_against_brute_force(spark, library):
 
 def test_pieces_give_the_ids_of_the_whole_text(library):
     rng = np.random.default_rng(5)
-    letters = list("ab'sé漢 \xa0 \n\t.,1  ") + ["<|endoftext|>", " the", "'re", " x"]
+    letters = list("ab'sé漢 \xa0 \n\t.,1  ") + ["<|endoftext|>", " the", "'re", " x", "Z", ";", "!", "\r", "d"]
     texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(3000)]
     bodies = [t.encode() for t in texts]
     encoder = sequences.Encoder(sequences.read_tokenizer())
