@@ -10,14 +10,16 @@
    characters left of it, and all right of it that reach ``LONGEST`` characters beyond, are the same
    in both words. Two words one edit apart share, for its place, *all* these unaffected grams.
 3. **Merging.** So the lists of a place's unaffected grams are merged at once: what those on the
-   left and those on the right span is one key, and a hash join of keys meets exactly the words
-   that share all of them. Words meet only with words of their own length (replaced), or of one
-   more (inserted, deleted), and a word has one key per different span. Grams take at most half of
-   the shorter word, so every place leaves one unaffected at least and no key is empty.
+   left and those on the right span is one key, and words are grouped by key, which meets exactly
+   those that share all of them. A word has one key per different span of its characters, for words
+   of its own length or one less, and one per different span of its gaps, for words of one more.
+   Grams take at most half of the shorter word, so every place leaves one unaffected at least and
+   no key is empty. Keys and words are shuffled once, as two numbers, and met in sorted order.
 4. **Crowded keys.** A key of more than ``CROWDED`` words is split by the exact place: its words
    take one key per place, the rest of the word left and right of it. Words sharing such a key are
-   all one edit apart, so what is joined is what is returned, and no pair is dropped.
-5. **Verifying.** Pairs are made distinct and their edit distance is computed.
+   all one edit apart, so what is met is what is returned, and no pair is dropped.
+5. **Verifying.** Pairs are made distinct, get their words by number, and their edit distance is
+   computed, so that words or keys that share a number cost work but change nothing.
 
 Words are counted per batch before they are shuffled, so a frequent word is one row per batch.
 
@@ -30,10 +32,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +49,8 @@ SHORTEST, LONGEST = 2, 4
 #: Share of all words that a gram must exceed to be lengthened.
 FREQUENT = 1 / 400
 CROWDED = 200
+#: Roles of a word in a key.
+OUT, GAP = 0, 1
 #: A form has at least so many times the occurrences of its variant.
 RATIO = 10
 #: One run in so many, by its checksum, loses a character.
@@ -150,91 +157,164 @@ def unaffected(found: list[tuple[int, int]], n: int, longest: int, gap: bool) ->
     """Spans (end on the left, begin on the right) of the grams no edit at a place can affect.
 
     Places are the characters of a word of ``n``, or with ``gap`` the gaps between them, where
-    the other word has one more.
+    the other word has one more. Grams ascend at both ends, so one walk serves all places.
     """
-    spans, width = set(), 0 if gap else 1
+    spans, width, last = set(), 0 if gap else 1, len(found)
+    i = j = left = 0
     for place in range(n + 1 if gap else n):
-        left = max((e for b, e in found if b + longest <= place), default=0)
-        right = min((b for b, e in found if b >= place + width and e >= place + width + longest), default=n)
-        spans.add((left, right))
+        while i < last and found[i][0] + longest <= place:
+            left = found[i][1]
+            i += 1
+        behind = place + width
+        while j < last and (found[j][0] < behind or found[j][1] < behind + longest):
+            j += 1
+        spans.add((left, found[j][0] if j < last else n))
     return spans
 
 
 def keys(word: str, frequent: frozenset, longest: int = LONGEST) -> Iterator[tuple[str, int]]:
-    """(key, role) of a word: 0 meets its own kind, 1 and 2 meet each other.
+    """(key, role) of a word: ``OUT`` with a character left out, or ``GAP`` with one to be put in.
 
-    A key names the kind of edit, the length of the shorter word, and both sides of the place.
+    A key names the length without the character and both sides of the place. Words meet in the
+    same key, unless both are there by a gap.
     """
     n = len(word)
-    for size in (n, n - 1):
-        if size < MIN_LENGTH:
+    for size, role in ((n - 1, OUT), (n, GAP)):
+        if role == OUT and size < MIN_LENGTH - 1:
             continue
-        most = max(SHORTEST, min(longest, (size - 1) // 2))
-        found = grams(word, frequent, most)
-        for left, right in unaffected(found, n, most, gap=False):
-            kind, role = ("=", 0) if size == n else ("+", 2)
-            yield f"{kind}{size} {word[:left]} {word[right:]}", role
-        if size == n:
-            for left, right in unaffected(found, n, most, gap=True):
-                yield f"+{size} {word[:left]} {word[right:]}", 1
+        most = max(SHORTEST, min(longest, (max(size, MIN_LENGTH) - 1) // 2))
+        for left, right in unaffected(grams(word, frequent, most), n, most, role == GAP):
+            yield f"{size} {word[:left]} {word[right:]}", role
 
 
-def exact_keys(word: str, role: int) -> Iterator[str]:
-    """Keys of the places themselves, for words of a crowded key with this role."""
-    for place in range(len(word) + (role == 1)):
-        yield f"{'=' if role == 0 else '+'}! {word[:place]} {word[place + (role != 1) :]}"
+def exact_keys(word: str, role: int) -> Iterator[tuple[str, int]]:
+    """Keys of the places themselves, for a word that is in a crowded key by this role."""
+    for place in range(len(word) + (role == GAP)):
+        yield f"! {word[:place]} {word[place + (role == OUT) :]}", role
 
 
-_KEYED = "key string, role int, word string"
+def _keyed(make: Callable[..., Iterator[tuple[str, int]]]):
+    """(key, member) from rows of a word's number, the word, and what else ``make`` takes.
 
-
-def _mapped(make: Callable[..., Iterator[tuple[str, int]]]):
-    """Rows of ``_KEYED`` from what ``make`` gives for the columns of a row, the word first."""
+    The lowest bit of a member says by which role it is there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            # A word gives some thirty keys, so a batch is taken in parts.
-            for a in range(0, batch.num_rows, 2_000):
-                columns = [c.to_pylist() for c in batch.slice(a, 2_000).columns]
-                rows = [(key, role, own[0]) for own in zip(*columns) for key, role in make(*own)]
-                found = list(zip(*rows)) if rows else [()] * 3
+            # A word gives some twenty keys, so a batch is taken in parts.
+            for a in range(0, batch.num_rows, 5_000):
+                numbers, words, *more = (c.to_pylist() for c in batch.slice(a, 5_000).columns)
+                found, members = array("Q"), array("q")
+                for number, *own in zip(numbers, words, *more):
+                    base = number & ~1
+                    for key, role in make(*own):
+                        found.append(digest(key))
+                        members.append(base | role)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.int32(), pa.string()))],
-                    names=["key", "role", "word"],
+                    [pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(np.array(members, np.int64))],
+                    names=["key", "member"],
                 )
 
     return run
 
 
+_MEMBERS = "key long, member long"
+
+
 # ---- pairs --------------------------------------------------------------------------------
 
 
-def _met(keyed: DataFrame) -> DataFrame:
-    """(a, b) of different words that share a key in matching roles."""
-    one = keyed.select("key", F.col("word").alias("a"), F.col("role").alias("role_a"))
-    two = keyed.select("key", F.col("word").alias("b"), F.col("role").alias("role_b"))
-    same = (F.col("role_a") == 0) & (F.col("role_b") == 0) & (F.col("a") < F.col("b"))
-    return one.join(two, "key").where(same | ((F.col("role_a") == 1) & (F.col("role_b") == 2)))
+def _meet(crowded: int | None):
+    """(a, b) of members that share a key, from rows sorted by key; of crowded keys (a, null).
+
+    Holds a batch and the last key's members, at most ``crowded`` of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, members = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        full: int | None = None
+
+        def pairs(key: np.ndarray, member: np.ndarray) -> Iterator[pa.RecordBatch]:
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+            size = np.diff(np.r_[begin, len(key)])
+            over = size > (len(key) if crowded is None else crowded)
+            if over.any():
+                yield told(member[np.repeat(over, size)], None)
+            fine = np.repeat(~over & (size > 1), size)
+            key, member = key[fine], member[fine]
+            step = 1
+            while len(key) > step:
+                at = np.flatnonzero(key[:-step] == key[step:])
+                if not len(at):
+                    break
+                a, b = member[at], member[at + step]
+                met = (a & b & 1) != GAP
+                a, b = a[met] & ~np.int64(1), b[met] & ~np.int64(1)
+                yield told(np.minimum(a, b), np.maximum(a, b))
+                step += 1
+
+        def told(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
+            other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
+            return pa.RecordBatch.from_arrays([pa.array(a), other], names=["a", "b"])
+
+        for batch in batches:
+            key, member = (np.asarray(c) for c in batch.columns)
+            if full is not None:
+                same = key == full
+                yield told(member[same], None)
+                key, member = key[~same], member[~same]
+                if len(key):
+                    full = None
+            key, member = np.r_[keys, key], np.r_[members, member]
+            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            yield from pairs(key[:last], member[:last])
+            keys, members = key[last:], member[last:]
+            if crowded is not None and len(keys) > crowded:
+                yield told(members, None)
+                full, keys, members = int(keys[0]), keys[:0], members[:0]
+        yield from pairs(keys, members)
+
+    return run
+
+
+def _met(keyed: DataFrame, crowded: int | None) -> DataFrame:
+    rows = keyed.repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(_meet(crowded), "a long, b long")
 
 
 def near_pairs(vocabulary: DataFrame, longest: int = LONGEST, crowded: int = CROWDED) -> DataFrame:
-    """(a, b): all pairs of different words that are one edit apart, each once."""
+    """(a, b, a_n, b_n): all pairs of words one edit apart, each once, from (word, n)."""
     frequent = vocabulary.sparkSession.sparkContext.broadcast(frequent_grams(vocabulary, longest))
+    # A number per word, even so that a role fits in; it may be shared, as pairs are verified.
+    number = F.xxhash64("word").bitwiseAND(F.lit(-2))
+    numbered = vocabulary.select(number.alias("number"), "word", "n")
 
-    def spans(word: str):
+    def spans(word: str) -> Iterator[tuple[str, int]]:
         return keys(word, frequent.value, longest)
 
-    def places(word: str, role: int):
-        return ((key, role) for key in exact_keys(word, role))
-
-    keyed = checkpointed(vocabulary.select("word").mapInArrow(_mapped(spans), _KEYED))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("members"))
-    hot = checkpointed(sizes.where(F.col("members") > crowded).select("key"))
-    common = _met(keyed.join(hot, "key", "left_anti"))
-    split = keyed.join(hot, "key", "left_semi").select("word", "role").distinct()
-    exact = _met(split.mapInArrow(_mapped(places), _KEYED))
-    met = common.select("a", "b").unionByName(exact.select("a", "b"))
-    return met.where(F.expr("levenshtein(a, b, 1)") == 1).distinct()
+    met = checkpointed(_met(numbered.select("number", "word").mapInArrow(_keyed(spans), _MEMBERS), crowded))
+    hot = met.where("b is null").select(
+        F.col("a").bitwiseAND(F.lit(-2)).alias("number"), F.col("a").bitwiseAND(F.lit(1)).cast("int").alias("role")
+    ).distinct()
+    split = hot.join(numbered, "number").select("number", "word", "role")
+    exact = _met(split.mapInArrow(_keyed(exact_keys), _MEMBERS), None)
+    found = met.where("b is not null").unionByName(exact).distinct()
+    for side in ("a", "b"):
+        named = numbered.select(
+            F.col("number").alias(side), F.col("word").alias(f"{side}_word"), F.col("n").alias(f"{side}_n")
+        )
+        found = found.join(named, side)
+    # A number that several words share meets itself, each pair both ways round.
+    once = (F.col("a") != F.col("b")) | (F.col("a_word") < F.col("b_word"))
+    near = found.where(once & (F.expr("levenshtein(a_word, b_word, 1)") == 1))
+    least, greatest = F.least("a_word", "b_word"), F.greatest("a_word", "b_word")
+    first = F.col("a_word") == least
+    return near.select(
+        least.alias("a"), greatest.alias("b"),
+        F.when(first, F.col("a_n")).otherwise(F.col("b_n")).alias("a_n"),
+        F.when(first, F.col("b_n")).otherwise(F.col("a_n")).alias("b_n"),
+    )
 
 
 # ---- forms --------------------------------------------------------------------------------
@@ -264,10 +344,10 @@ def variants(
     """(word, form, root, n, n_near, form_n) of all words of ``docs``."""
     vocabulary = checkpointed(words(docs, least))
     pairs = checkpointed(near_pairs(vocabulary, crowded=crowded))
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    other = vocabulary.select(F.col("word").alias("b"), F.col("n").alias("other_n"))
     # The most frequent neighbour, of equals the smallest: two aggregates over plain columns.
-    near = checkpointed(both.join(other, "b"))
+    near = pairs.select("a", "b", F.col("b_n").alias("other_n")).unionByName(
+        pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("a_n").alias("other_n"))
+    )
     most = near.groupBy("a").agg(F.count("*").alias("n_near"), F.max("other_n").alias("other_n"))
     best = near.join(most.select("a", "other_n"), ["a", "other_n"])
     named = best.groupBy("a").agg(F.min("b").alias("other"))

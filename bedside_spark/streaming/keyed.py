@@ -1,13 +1,18 @@
 """Keyed-state operators that built-in streaming operators cannot express.
 
 Each keeps a small state per patient in the state store. Readings wait there until the
-watermark has passed them, so they are handled in event-time order however they arrive.
+watermark has passed them, so they are handled in event-time order however they arrive. They wait
+in parts, one per chunk of input and minute of event time, under keys that tell their minute and
+first instant: arriving rows are only written, and only parts that are due are read, one minute at
+a time. What a task holds is a chunk or a minute of one patient, not the patient's batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +24,8 @@ from bedside_spark.operators.alerts import alert_id
 from bedside_spark.streaming.jobs import DELAY, watermarked
 
 SECOND = 1_000_000
+#: Event time whose readings wait, and are read, together.
+BUCKET = 60 * SECOND
 
 
 def _timer_ms(at: float) -> int:
@@ -31,41 +38,71 @@ class _InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState(
-            "waiting", "at bigint, trace string, heart_rate double"
+        self.waiting = handle.getMapState(
+            "waiting",
+            "bucket bigint, first bigint, part bigint",
+            "at array<bigint>, trace array<string>, heart_rate array<double>",
         )
+        self.parts = handle.getValueState("parts", "n bigint")
         self.begin(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
+        number = self.parts.get()[0] if self.parts.exists() else 0
         for chunk in rows:
-            arrived = list(
-                zip(
-                    chunk["at"].astype(int).tolist(),
-                    chunk["trace_id"].astype(str).tolist(),
-                    chunk["heart_rate"].astype(float).tolist(),
-                )
-            )
-            if arrived:
-                self.waiting.appendList(arrived)
+            at = chunk["at"].to_numpy(np.int64)
+            trace = chunk["trace_id"].astype(str).to_numpy(object)
+            rate = chunk["heart_rate"].to_numpy(np.float64)
+            order = np.argsort(at, kind="stable")
+            cuts = np.flatnonzero(np.diff(at[order] // BUCKET)) + 1
+            for own in np.split(order, cuts) if len(order) else ():
+                number += 1
+                self._wait(at[own], trace[own], rate[own], number)
+        self.parts.update((number,))
         yield from self._release(key, passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._release(key, timerValues.getCurrentWatermarkInMs() * 1000)
         yield from self.tick(key, expiredTimerInfo.getExpiryTimeInMs())
 
+    def _wait(self, at: np.ndarray, trace: np.ndarray, rate: np.ndarray, number: int) -> None:
+        """Keep readings of one bucket, in ascending order of time."""
+        first = int(at[0])
+        value = (at.tolist(), trace.tolist(), rate.tolist())
+        self.waiting.updateValue((first // BUCKET, first, number), value)
+
     def _release(self, key, passed: int) -> Iterator[pd.DataFrame]:
-        held = list(self.waiting.get())
-        due = sorted(item for item in held if item[0] <= passed)
-        later = [item for item in held if item[0] > passed]
-        if later:
-            self.handle.registerTimer(_timer_ms(min(at for at, _, _ in later)))
+        held = sorted(tuple(k) for k in self.waiting.keys())
+        later = [first for _, first, _ in held if first > passed]
+        due = [k for k in held if k[1] <= passed]
+        if due:
+            self.load()
+        for _, keys in groupby(due, key=lambda k: k[0]):
+            keys = list(keys)
+            parts = [self.waiting.getValue(k) for k in keys]
+            at = np.concatenate([np.array(p[0], np.int64) for p in parts])
+            trace = np.concatenate([np.array(p[1], object) for p in parts])
+            rate = np.concatenate([np.array(p[2], np.float64) for p in parts])
+            for k in keys:
+                self.waiting.removeKey(k)
+            order = np.lexsort((trace.astype(str), at))
+            now = int(np.searchsorted(at[order], passed, "right"))
+            rest = order[now:]
+            if len(rest):
+                self._wait(at[rest], trace[rest], rate[rest], keys[-1][2])
+                later.append(int(at[rest[0]]))
+            yield from self.visit(key, at[order[:now]], rate[order[:now]])
         if due:
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-            yield from self.visit(key, [(at, rate) for at, _, rate in due], passed)
+            yield from self.store(key, passed)
+        if later:
+            self.handle.registerTimer(_timer_ms(min(later)))
+
+    def load(self) -> None:
+        """Take over what earlier readings left."""
+
+    def store(self, key, passed: int) -> Iterator[pd.DataFrame]:
+        """Leave it to later ones."""
+        return iter(())
 
     def tick(self, key, expired: int) -> Iterator[pd.DataFrame]:
         return iter(())
@@ -83,21 +120,32 @@ class SustainedHigh(_InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "last bigint, start bigint, alerted boolean")
 
-    def visit(self, key, readings, passed: int) -> Iterator[pd.DataFrame]:
-        last, start, alerted = self.run.get() if self.run.exists() else (None, None, False)
-        found = []
-        for at, rate in readings:
-            if not rate >= SUSTAINED_RULE.threshold:
-                start = None
-            elif start is None or at - last > self.max_gap:
-                start, alerted = at, False
-            if start is not None and not alerted and at - start >= self.hold:
-                alerted = True
-                found.append((key[0], rate, at, start))
-            last = at
-        self.run.update((last, start, alerted))
-        if found:
-            yield pd.DataFrame(found, columns=["patient_id", "value", "at", "start"])
+    def load(self) -> None:
+        kept = self.run.get() if self.run.exists() else (None, None, False)
+        self.last, self.start, self.alerted = kept
+
+    def visit(self, key, at: np.ndarray, rate: np.ndarray) -> Iterator[pd.DataFrame]:
+        high = rate >= SUSTAINED_RULE.threshold
+        before = np.r_[at[0] if self.last is None else self.last, at[:-1]]
+        going_on = np.r_[self.start is not None, high[:-1]] & (at - before <= self.max_gap)
+        begins = high & ~going_on
+        run = np.cumsum(begins)
+        # Run 0 is the one that earlier readings left.
+        starts = np.r_[0 if self.start is None else self.start, at[begins]][run]
+        ripe = np.flatnonzero(high & (at - starts >= self.hold))
+        runs, first = np.unique(run[ripe], return_index=True)
+        fired = ripe[first][(runs > 0) | (not self.alerted)]
+        last_run = int(run[-1])
+        self.alerted = last_run in runs or (last_run == 0 and bool(self.alerted))
+        self.last, self.start = int(at[-1]), int(starts[-1]) if high[-1] else None
+        if len(fired):
+            yield pd.DataFrame(
+                {"patient_id": key[0], "value": rate[fired], "at": at[fired], "start": starts[fired]}
+            )
+
+    def store(self, key, passed: int) -> Iterator[pd.DataFrame]:
+        self.run.update((self.last, self.start, self.alerted))
+        return iter(())
 
 
 class Silence(_InOrder):
@@ -109,21 +157,23 @@ class Silence(_InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "last bigint")
 
-    def visit(self, key, readings, passed: int) -> Iterator[pd.DataFrame]:
-        last = self.seen.get()[0] if self.seen.exists() else None
-        gaps = []
-        for at, _ in readings:
-            if last is not None and at - last > self.threshold:
-                gaps.append((key[0], last, at))
-            last = at
-        self.seen.update((last,))
-        due = _timer_ms(last + self.threshold)
+    def load(self) -> None:
+        self.last = self.seen.get()[0] if self.seen.exists() else None
+
+    def visit(self, key, at: np.ndarray, rate: np.ndarray) -> Iterator[pd.DataFrame]:
+        before = np.r_[at[0] if self.last is None else self.last, at[:-1]]
+        ends = at - before > self.threshold
+        self.last = int(at[-1])
+        if ends.any():
+            yield self._frame([(key[0], *gap) for gap in zip(before[ends].tolist(), at[ends].tolist())])
+
+    def store(self, key, passed: int) -> Iterator[pd.DataFrame]:
+        self.seen.update((self.last,))
+        due = _timer_ms(self.last + self.threshold)
         if due * 1000 <= passed:
-            gaps.append((key[0], last, None))
+            yield self._frame([(key[0], self.last, None)])
         else:
             self.handle.registerTimer(due)
-        if gaps:
-            yield self._frame(gaps)
 
     def tick(self, key, expired: int) -> Iterator[pd.DataFrame]:
         if self.seen.exists():
