@@ -52,3 +52,29 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``, such as a table's partitions."""
     where, system = _path(spark, path)
     return [s.getPath().getName() for s in system.listStatus(where) if s.isDirectory()]
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path``."""
+    where, system = _path(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(where)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, on any file system that Spark reaches."""
+    where, system = _path(spark, path)
+    stream = system.create(where, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    where, system = _path(spark, path)
+    stream = system.open(where)
+    try:
+        size = system.getFileStatus(where).getLen()
+        return bytes(stream.readNBytes(int(size))).decode()
+    finally:
+        stream.close()

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from bedside_spark.functions.numbers import rounded
 from bedside_spark.operators import features, windows
 from bedside_spark.sinks import files
+from bedside_spark.sinks import manifest as manifest_files
 
 
 #: Batch number of rows that no stream wrote.
@@ -37,9 +38,8 @@ def write_days(
 
 
 def read_days(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A table of :func:`write_days` without its folder columns."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).drop("day", "batch_id")
+    """A table of :func:`write_days` without its folder columns, whole during changes too."""
+    return manifest_files.view(spark, path, schema).drop("day", "batch_id")
 
 
 def table_roundtrip(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -56,21 +56,26 @@ def replay_windows(
     """Recompute the one-minute summaries of a day range and replace those days.
 
     Minute windows never cross midnight, so the days of the windows are the days read. Days of
-    the range that have no readings any more lose their summaries. The new days are written
-    beside the table and moved in one by one.
+    the range that have no readings any more lose their summaries. All days change at once, for
+    readers of :func:`read_days` and after a crash too (``sinks.manifest``).
     """
+    files.create(spark, summary_path)
+    manifest_files.settle(spark, summary_path)
     days = F.col("day").between(F.lit(first), F.lit(last))
-    readings = spark.read.parquet(vitals_path).where(days)
-    fresh = f"{summary_path.rstrip('/')}.replaying"
-    files.delete(spark, fresh)
-    write_days(windows.tumble(readings), "window_start", fresh)
-    made = set(_days(spark, fresh))
+    readings = manifest_files.view(spark, vitals_path).where(days)
+    fresh = manifest_files.stage(summary_path)
     old = [n for n in _days(spark, summary_path) if first <= date.fromisoformat(n[4:]) <= last]
-    for name in sorted(made | set(old)):
-        files.delete(spark, f"{summary_path}/{name}")
-        if name in made:
-            files.move(spark, f"{fresh}/{name}", f"{summary_path}/{name}")
-    files.delete(spark, fresh)
+    parts = {n: _batches(spark, f"{summary_path}/{n}") for n in old}
+    # A number that no folder of these days has, as old and new ones are there for a while.
+    number = min([REWRITTEN, *(int(p.split("=")[1]) for ps in parts.values() for p in ps)]) - 1
+    write_days(windows.tumble(readings), "window_start", fresh, batch_id=number)
+    made = {f"{n}/batch_id={number}": f"{fresh}/{n}/batch_id={number}" for n in _days(spark, fresh)}
+    gone = [f"{n}/{p}" for n in old for p in parts[n]]
+    manifest_files.exchange(spark, summary_path, gone, made)
+
+
+def _batches(spark: SparkSession, day: str) -> list[str]:
+    return [n for n in files.folders(spark, day) if n.startswith("batch_id=")]
 
 
 def _days(spark: SparkSession, path: str) -> list[str]:
@@ -143,33 +148,35 @@ def compact_table(spark: SparkSession, path: str, before: date | None = None) ->
     """Rewrite each day of a table into files of the advisory size; its rows stay the same.
 
     Days from ``before`` on are left alone: a stream may still try one of their batches again.
-    Only the batch folders that were read go, so batches that arrive meanwhile stay. Returns
-    the days rewritten.
+    Only the batch folders that were read go, so batches that arrive meanwhile stay. A day's
+    folders change at once, for readers of :func:`read_days` and after a crash too
+    (``sinks.manifest``). Returns the days rewritten.
     """
+    manifest_files.settle(spark, path)
     done = []
     for name in sorted(_days(spark, path)):
         if before is not None and date.fromisoformat(name[4:]) >= before:
             continue
-        day, fresh = f"{path}/{name}", f"{path.rstrip('/')}.compacting/{name}"
-        parts = [n for n in files.folders(spark, day) if n.startswith("batch_id=")]
+        day = f"{path}/{name}"
+        parts = _batches(spark, day)
         if not parts:
             continue
-        rows = spark.read.parquet(*[f"{day}/{n}" for n in parts])
-        rows.hint("rebalance").write.mode("overwrite").parquet(fresh)
         # A number no stream and no earlier run has used in this day.
-        number = min(int(n.split("=")[1]) for n in parts)
-        files.move(spark, fresh, f"{day}/batch_id={min(number, REWRITTEN) - 1}")
-        for part in parts:
-            files.delete(spark, f"{day}/{part}")
+        number = min(REWRITTEN, *(int(n.split("=")[1]) for n in parts)) - 1
+        final, staged = f"{name}/batch_id={number}", manifest_files.stage(path)
+        rows = spark.read.parquet(*[f"{day}/{n}" for n in parts])
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{staged}/{final}")
+        gone = [f"{name}/{n}" for n in parts]
+        manifest_files.exchange(spark, path, gone, {final: f"{staged}/{final}"})
         done.append(name)
-    files.delete(spark, f"{path.rstrip('/')}.compacting")
     return done
 
 
 def drop_old_days(spark: SparkSession, path: str, as_of: date, keep_days: int) -> list[str]:
     """Remove the day folders that are older than ``keep_days``; returns their names."""
+    manifest_files.settle(spark, path)
     first = as_of - timedelta(days=keep_days)
     old = [n for n in _days(spark, path) if date.fromisoformat(n[4:]) < first]
-    for name in old:
-        files.delete(spark, f"{path}/{name}")
+    if old:
+        manifest_files.exchange(spark, path, old, {})
     return old
