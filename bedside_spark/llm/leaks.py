@@ -1,22 +1,27 @@
 """Benchmark decontamination by template windows, in DataFrame functions only.
 
-Texts become templates: numbers, capitalised words and units after numbers turn into typed
-placeholders, everything else is lower-cased. Windows of ``WINDOW`` template tokens of the
-benchmark are hash-joined with those of all documents, so a question asked again with other
-numbers and names is found as well. Of each alignment found, tokens are compared exactly and
-slots are checked: what one value of the item's slots became must be one value in the document.
+A text is cut into tokens once, and each token has a value as written and a template: numbers,
+capitalised words and units after numbers turn into typed placeholders, everything else is
+lower-cased. Windows of ``WINDOW`` template tokens of the benchmark are hash-joined with those of
+all documents, so a question asked again with other numbers and names is found as well. Of each
+alignment found, tokens are compared exactly and slots are checked: what one value of the item's
+slots became must be one value in the document.
 
 What a name is depends on the letter case, so texts are read a second time with their case
 folded: only numbers are placeholders, every word stands for itself. Windows of both readings are
-looked up in one join, and what they cover is added.
+looked up in one join from one scan, and what they cover is added.
 
 A document leaks an item if consistent alignments cover ``MIN_TOKENS`` of its tokens or
 ``MIN_SHARE`` of them, if that is fewer; what templates alone cover is also held against the
 share of those tokens that template windows cover. Windows that are mostly placeholders
 are looked up by their values as written, with the case folded; an item that has such windows and
 ``MIN_WHOLE_LITERALS`` words in one is also found whole, with other numbers. Items of fewer than
-``MIN_ITEM`` tokens are found as written only. Of equal windows of an item the first is used. The benchmark's windows are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents
-with matches are fetched by a join of the same kind.
+``MIN_ITEM`` tokens are found as written only.
+
+A window that an item repeats is aligned by its first place, so the work stays linear in the
+length of items and texts, and once found it covers all its places. The benchmark's windows are
+broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond; the texts of documents with matches are
+fetched by a join of the same kind.
 
 Defined results: null and empty texts and items without a word or number match nothing;
 documents are told apart by id and text, so ids may be null or repeated, and repeated rows give
@@ -49,263 +54,313 @@ MIN_WHOLE_LITERALS = 2
 TEMPLATE, FOLDED, EXACT, WHOLE = 0, 1, 2, 3
 
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-_NAME = r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})"
 UNITS = (
     "km cm mm m kg mg g lb lbs oz ml l gal mph kmh kw kwh w v hz mb gb tb "
     "miles mile feet foot ft inches inch yards yard meters metres meter metre kilometers "
     "pounds ounces grams kilograms liters litres hours hour minutes minute seconds second "
     "days day weeks week months month years year dollars dollar cents euros euro percent degrees"
 ).split()
-_UNIT = rf" {NUMBER_SLOT}[^\p{{L}}\p{{N}}]+(?:{'|'.join(sorted(UNITS, reverse=True))})(?!\p{{L}})"
 
 
-def template(text: Column) -> Column:
-    """Template tokens of a text; a lone digit 0, 1 or 2 is a number, name or unit slot."""
-    slots = F.regexp_replace(text, _NUMBER, f" {NUMBER_SLOT} ")
-    slots = F.lower(F.regexp_replace(slots, _NAME, f" {NAME_SLOT} "))
-    slots = F.regexp_replace(slots, _UNIT, f" {NUMBER_SLOT} {UNIT_SLOT} ")
-    return F.array_remove(F.split(slots, r"[^\p{L}\p{N}]+"), "")
+# ---- tokens -------------------------------------------------------------------------------
 
 
 def values(text: Column) -> Column:
-    """The tokens of a text as written, one for each template token."""
+    """The tokens of a text as written: numbers and runs of letters."""
     return F.regexp_extract_all(text, F.lit(rf"{_NUMBER}|\p{{L}}+"), F.lit(0))
 
 
-def folded(text: Column) -> Column:
-    """Case-folded words and number slots of a text, one for each template token."""
+def _bound(value: Column, make) -> Column:
+    """``make`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
 
-    def fold(value: Column) -> Column:
-        number = F.rlike(value, F.lit(r"^\p{N}"))
-        return F.when(number, NUMBER_SLOT).otherwise(F.upper(value))
 
-    return F.transform(values(text), fold)
+def _is_number(token: Column) -> Column:
+    plain = token < F.lit("\u0080")
+    return F.when(plain, token < F.lit(":")).otherwise(F.rlike(token, F.lit(r"^\p{N}")))
 
 
-def exact(text: Column) -> Column:
-    """Case-folded values of a text, one for each template token."""
-    return F.transform(values(text), F.upper)
+def _numbers(tokens: Column) -> Column:
+    return F.transform(tokens, _is_number)
 
 
-def _windows(hashes: str, width: int, reading: int) -> Column:
-    """Hashes of all windows of ``width`` from an array of token hashes."""
-    parts = ", ".join(f"{hashes}[i + {k}]" for k in range(width))
-    return F.expr(
-        f"case when size({hashes}) >= {width} then transform(sequence(0, size({hashes}) - {width}),"
-        f" i -> xxhash64({reading}, {width}, {parts})) else array() end"
-    )
+def _is_name(token: Column) -> Column:
+    small = (token >= F.lit("a")) & (token < F.lit("{"))
+    return ~small & F.rlike(token, F.lit(r"^\p{Lu}\p{Ll}+$"))
+
+
+def _template(tokens: Column, numbers: Column) -> Column:
+    def one(token: Column, i: Column) -> Column:
+        low = F.lower(token)
+        behind_number = (i > 0) & F.get(numbers, i - 1)
+        return (
+            F.when(F.get(numbers, i), NUMBER_SLOT)
+            .when(behind_number & low.isin(*UNITS), UNIT_SLOT)
+            .when(_is_name(token), NAME_SLOT)
+            .otherwise(low)
+        )
+
+    return F.transform(tokens, one)
+
+
+def _folded(tokens: Column, numbers: Column) -> Column:
+    return F.transform(tokens, lambda t, i: F.when(F.get(numbers, i), NUMBER_SLOT).otherwise(F.upper(t)))
+
+
+def template(text: Column) -> Column:
+    """Template tokens of a text, one for each value; a lone 0, 1 or 2 is a number, name or unit."""
+    return _bound(values(text), lambda v: _bound(_numbers(v), lambda n: _template(v, n)))
+
+
+def folded(text: Column) -> Column:
+    """Case-folded words and number slots of a text, one for each value."""
+    return _bound(values(text), lambda v: _bound(_numbers(v), lambda n: _folded(v, n)))
+
+
+def _fixed(frame: DataFrame, *columns: Column | str) -> DataFrame:
+    """A projection that later ones cannot be merged with: what it computes, it computes once."""
+    return frame.select(F.inline(F.array(F.struct(*columns))))
 
 
 def _tokens(frame: DataFrame, id_column: str, name: str) -> DataFrame:
-    """id, digest of the text, its tokens in all readings and their hashes."""
+    """(id, digest of the text, written, tokens, words, exact): all readings of every text."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    cut = frame.select(
-        F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text"),
-        template(body).alias("tokens"), folded(body).alias("words"),
-        exact(body).alias("exact"),
+    keys = F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text")
+    cut = _fixed(frame, *keys, values(body).alias("written"))
+    cut = _fixed(cut, name, f"{name}_text", "written", _numbers(F.col("written")).alias("numbers"))
+    return cut.select(
+        name, f"{name}_text", "written",
+        _template(F.col("written"), F.col("numbers")).alias("tokens"),
+        _folded(F.col("written"), F.col("numbers")).alias("words"),
+        F.transform("written", F.upper).alias("exact"),
     )
-    return cut.withColumns({
-        "hashes": F.transform("tokens", lambda t: F.xxhash64(t)),
-        "word_hashes": F.transform("words", lambda t: F.xxhash64(t)),
-        "exact_hashes": F.transform("exact", lambda t: F.xxhash64(t)),
-    })
 
 
-def _is_slot(token: Column) -> Column:
-    return token.isin(*SLOTS)
+# ---- windows ------------------------------------------------------------------------------
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc, doc_text, item, item_text, shift, starts): windows shared at one alignment.
+def _hash(tokens: str, width: int, reading: int) -> Column:
+    """Hash of the window of ``width`` tokens that begins at ``at``."""
+    parts = [F.get(tokens, F.col("at") + k) for k in range(width)]
+    return F.xxhash64(F.lit(reading), F.lit(width), *parts)
 
-    ``starts`` are the readings and places in the item. And (item, item_text, windows): the places
-    of each item's template windows.
-    """
+
+def _literals(tokens: str, width: int) -> Column:
+    """Tokens of the window at ``at`` that are no slots."""
+    flags = [F.when(F.get(tokens, F.col("at") + k).isin(*SLOTS), 0).otherwise(1) for k in range(width)]
+    return sum(flags, F.lit(0))
+
+
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """(item, item_text, width, reading, hash, at) of all windows that items are sought by."""
     items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") > 0)
     items = items.dropDuplicates(["item", "item_text"])
-    width = F.least(F.size("tokens"), F.lit(WINDOW))
-    widths = sorted(r[0] for r in items.select(width.alias("w")).distinct().collect())
-    wanted = None
-    for w in widths or [WINDOW]:
-        usable = f"x.literals >= {w * MIN_LITERAL_SHARE}"
-        # An item's fullest window stands for all of it, if some of its windows are not usable.
-        fullest = f"""filter(array(array_max(transform(all, x ->
-            struct(x.literals as literals, -x.at as back, x.hash as hash, x.at as at)))),
-            x -> x.literals >= {MIN_WHOLE_LITERALS} and exists(all, x -> not {usable}))"""
-        readings = (
-            (TEMPLATE, "tokens", "hashes", f"filter(all, x -> {usable})"),
-            (FOLDED, "words", "word_hashes", f"filter(all, x -> {usable})"),
-            (WHOLE, "words", "word_hashes", fullest),
-            (EXACT, "words", "exact_hashes", f"filter(all, x -> not {usable})"),
+    items = checkpointed(items.select("item", "item_text", "tokens", "words", "exact"))
+    placed = items.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at"))
+    size = F.size("tokens")
+    rows = None
+    for w in range(1, WINDOW + 1):
+        own = (size >= WINDOW) if w == WINDOW else (size == w)
+        usable = F.lit(w >= MIN_ITEM) & (F.col("literals") >= w * MIN_LITERAL_SHARE)
+        readings = [
+            (TEMPLATE, _hash("tokens", w, TEMPLATE), _literals("tokens", w)),
+            (FOLDED, _hash("words", w, FOLDED), _literals("words", w)),
+            (EXACT, _hash("exact", w, EXACT), _literals("words", w)),
+        ]
+        each = [
+            F.struct(F.lit(r).alias("reading"), h.alias("hash"), n.alias("literals"))
+            for r, h, n in readings
+        ]
+        part = placed.where(own & (F.col("at") + w <= size)).select(
+            "item", "item_text", F.lit(w).alias("width"), "at", F.inline(F.array(*each))
         )
-        if w < MIN_ITEM:
-            readings = ((EXACT, "words", "exact_hashes", "all"),)
-        for reading, tokens, hashes, chosen in readings:
-            fits = items.where(width == w).select(
-                "item",
-                "item_text",
-                _windows(hashes, w, FOLDED if reading == WHOLE else reading).alias("hashed"),
-                F.transform(tokens, lambda t: F.when(_is_slot(t), 0).otherwise(1)).alias("literal"),
-            )
-            placed = F.expr(f"""transform(hashed, (h, i) -> struct(h as hash, i as at,
-                aggregate(slice(literal, i + 1, {w}), 0, (a, b) -> a + b) as literals))""")
-            # A window that an item repeats stands for its first place, so that matches stay linear.
-            useful = fits.withColumn("all", placed).select("item", "item_text", F.inline(F.expr(chosen)))
-            part = useful.groupBy("item", "item_text", "hash").agg(F.min("at").alias("at"))
-            part = part.withColumns({"reading": F.lit(reading), "width": F.lit(w)})
-            wanted = part if wanted is None else wanted.unionByName(part)
-    wanted = checkpointed(wanted)
-    small = wanted.count() <= BROADCAST_WINDOWS
-    as_written = {r[0] for r in wanted.where(F.col("reading") == EXACT).select("width").distinct().collect()}
-    found = _tokens(docs, "doc_id", "doc")
-    result = None
-    for w in widths or [WINDOW]:
-        part = _aligned(found, F.broadcast(wanted) if small else wanted, w, w in as_written)
-        result = part if result is None else result.unionByName(part)
-    places = F.collect_list(F.when(F.col("reading") == TEMPLATE, F.col("at")))
-    return result, wanted.groupBy("item", "item_text").agg(places.alias("windows"))
-
-
-def _aligned(found: DataFrame, wanted: DataFrame, width: int, as_written: bool) -> DataFrame:
-    wanted = wanted.drop("width")
-    hashed = found.select(
-        "doc",
-        "doc_text",
-        _windows("hashes", width, TEMPLATE).alias("templates"),
-        _windows("word_hashes", width, FOLDED).alias("folds"),
-        *[_windows("exact_hashes", width, EXACT).alias("exact")] * as_written,
+        part = part.withColumn("use", F.when(F.col("reading") == EXACT, ~usable).otherwise(usable))
+        rows = part if rows is None else rows.unionByName(part)
+    rows = checkpointed(rows)
+    kept = rows.where("use").select("item", "item_text", "width", "reading", "hash", "at")
+    # An item's fullest window stands for all of it, if some of its windows are not usable.
+    fullest = (
+        rows.where((F.col("reading") == FOLDED) & (F.col("width") >= MIN_ITEM))
+        .groupBy("item", "item_text", "width")
+        .agg(
+            F.max(F.struct("literals", (-F.col("at")).alias("back"), "hash")).alias("best"),
+            F.min("use").alias("all_usable"),
+        )
+        .where(~F.col("all_usable") & (F.col("best.literals") >= MIN_WHOLE_LITERALS))
     )
-    # All readings in one row, so that one join serves them.
-    lists = ["templates", "folds", *["exact"] * as_written]
-    places = hashed.select(
-        "doc", "doc_text", F.size("templates").alias("n"), F.size("folds").alias("m"),
-        F.posexplode(F.concat(*lists)),
-    ).toDF("doc", "doc_text", "n", "m", "place", "hash")
-    place = F.col("place") - (
-        F.when(F.col("reading") == TEMPLATE, 0)
-        .when(F.col("reading") == EXACT, F.col("n") + F.col("m"))
-        .otherwise(F.col("n"))
+    whole = fullest.select(
+        "item", "item_text", "width", F.lit(WHOLE).alias("reading"), "best.hash",
+        (-F.col("best.back")).alias("at"),
+    )
+    return kept.unionByName(whole)
+
+
+def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, doc_text, item, item_text, shift, starts): windows shared at one alignment.
+
+    ``wanted`` has the first places of the items' windows; ``starts`` are readings and places there.
+    """
+    sought = sorted(
+        (r.width, FOLDED if r.reading == WHOLE else r.reading)
+        for r in wanted.select("width", "reading").distinct().collect()
     )
+    small = wanted.count() <= BROADCAST_WINDOWS
+    names = {TEMPLATE: "tokens", FOLDED: "words", EXACT: "exact"}
+    used = sorted({names[reading] for _, reading in sought})
+    found = _tokens(docs, "doc_id", "doc").select("doc", "doc_text", *(used or ["words"]))
+    one = F.size(used[0] if used else "words")
+    ends = F.when(one > 0, F.sequence(F.lit(0), one - 1)).otherwise(F.array())
+    placed = found.select("*", F.explode(ends).alias("at"))
+    hashes = [F.when(F.col("at") + w <= one, _hash(names[r], w, r)) for w, r in dict.fromkeys(sought)]
+    rows = placed.select(
+        "doc", "doc_text", "at", F.explode(F.array(*hashes or [F.lit(None).cast("long")])).alias("hash")
+    ).withColumnRenamed("at", "place")
+    sides = wanted.select("item", "item_text", "reading", "hash", "at")
     return (
-        places.join(wanted, "hash")
-        .groupBy("doc", "doc_text", "item", "item_text", (place - F.col("at")).alias("shift"))
+        rows.join(F.broadcast(sides) if small else sides, "hash")
+        .groupBy("doc", "doc_text", "item", "item_text", (F.col("place") - F.col("at")).alias("shift"))
         .agg(F.collect_set(F.struct("reading", "at")).alias("starts"))
     )
 
 
+# ---- verdicts -----------------------------------------------------------------------------
+
+
+def _same(left: DataFrame, right: DataFrame, *names: str, how: str = "inner") -> DataFrame:
+    """A join on columns of one name, in which nulls are equal."""
+    renamed = right.withColumnsRenamed({n: f"_{n}" for n in names})
+    on = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]
+    return left.join(renamed, on, how).drop(*(f"_{n}" for n in names))
+
+
+def _reach(starts: str) -> str:
+    """Tokens covered by windows at ascending ``starts``."""
+    return f"""aggregate({starts}, named_struct('n', 0L, 'to', 0), (a, s) -> named_struct(
+        'n', a.n + s + width - greatest(s, a.to), 'to', s + width), a -> a.n)"""
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, doc_text, item_id, n_tokens, n_covered, n_slots, changed) of leaking documents.
 
     ``doc_text`` is the text's 64-bit digest, ``n_slots`` the different slot values compared, and
     ``changed`` says whether any slot has another value than in the item.
     """
-    found, windows = matches(docs, benchmark)
-    shared = checkpointed(found)
+    windows = checkpointed(item_windows(benchmark))
+    classes = ["item", "item_text", "width", "reading", "hash"]
+    first = checkpointed(windows.groupBy(classes).agg(F.min("at").alias("at")))
+    shared = checkpointed(matches(docs, first))
     body = F.coalesce(F.col("text"), F.lit(""))
     keys = shared.select("doc", "doc_text").distinct()
     if keys.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
-    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("body") == F.col("doc_text"))
-    texts = docs.select("doc_id", body.alias("body")).join(keys, same, "left_semi")
-    texts = texts.select(
-        F.col("doc_id").alias("doc"), F.xxhash64("body").alias("doc_text"),
-        template(F.col("body")).alias("ours"), values(F.col("body")).alias("our_values"),
-        folded(F.col("body")).alias("our_words"), exact(F.col("body")).alias("our_exact"),
-    ).dropDuplicates(["doc", "doc_text"])
-    items = benchmark.select(
-        F.col("item_id").alias("item"), F.xxhash64(body).alias("item_text"),
-        template(body).alias("theirs"), values(body).alias("their_values"),
-        folded(body).alias("their_words"), exact(body).alias("their_exact"),
-    ).dropDuplicates(["item", "item_text"])
-
-    def joined(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-        right = right.withColumnsRenamed({name: f"{name}_", f"{name}_text": f"{name}_text_"})
-        on = F.col(name).eqNullSafe(F.col(f"{name}_")) & (
-            F.col(f"{name}_text") == F.col(f"{name}_text_")
-        )
-        return left.join(right, on).drop(f"{name}_", f"{name}_text_")
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64(body) == F.col("doc_text"))
+    matched = docs.select("doc_id", "text").join(keys, same, "left_semi").distinct()
+    texts = _tokens(matched, "doc_id", "doc").toDF(
+        "doc", "doc_text", "our_values", "ours", "our_words", "our_exact"
+    )
+    items = _tokens(benchmark, "item_id", "item").dropDuplicates(["item", "item_text"]).toDF(
+        "item", "item_text", "their_values", "theirs", "their_words", "their_exact"
+    )
 
     # One row per document and item, so that long texts are not repeated per alignment.
     alignments = shared.groupBy("doc", "doc_text", "item", "item_text").agg(
         F.collect_list(F.struct("shift", "starts")).alias("alignments")
     )
-    rows = joined(joined(joined(alignments, texts, "doc"), items, "item"), windows, "item")
-    def covering(reading: int, ours: str, theirs: str) -> str:
-        return f"""array_distinct(flatten(transform(
-            filter(a.starts, x -> x.reading = {reading} and
-                slice({ours}, x.at + a.shift + 1, width) = slice({theirs}, x.at + 1, width)),
-            x -> sequence(x.at, x.at + width - 1))))"""
-
-    whole = f"""case when a.shift >= 0 and exists(a.starts, x -> x.reading = {WHOLE})
-        and slice(our_words, a.shift + 1, size(their_words)) = their_words
-        then sequence(0, size(their_words) - 1) else array() end"""
-    covered = rows.withColumn("width", F.least(F.size("theirs"), F.lit(WINDOW))).withColumn(
+    rows = _same(_same(alignments, texts, "doc", "doc_text"), items, "item", "item_text")
+    rows = _fixed(rows, *rows.columns, F.least(F.size("theirs"), F.lit(WINDOW)).alias("width"))
+
+    def starts(reading: int, ours: str, theirs: str) -> str:
+        return f"""transform(filter(a.starts, x -> x.reading = {reading} and
+            slice({ours}, x.at + a.shift + 1, width) = slice({theirs}, x.at + 1, width)), x -> x.at)"""
+
+    whole = f"""a.shift >= 0 and exists(a.starts, x -> x.reading = {WHOLE})
+        and slice(our_words, a.shift + 1, size(their_words)) = their_words"""
+    verified = rows.withColumn(
         "alignments",
         F.expr(f"""transform(alignments, a -> struct(a.shift as shift,
-            {covering(TEMPLATE, "ours", "theirs")} as templates,
-            array_union({covering(FOLDED, "our_words", "their_words")}, {whole}) as folds,
-            {covering(EXACT, "our_exact", "their_exact")} as exact))"""),
+            {starts(TEMPLATE, "ours", "theirs")} as templates,
+            {starts(FOLDED, "our_words", "their_words")} as folds,
+            {starts(EXACT, "our_exact", "their_exact")} as exact,
+            {whole} as whole))"""),
     )
     slots = ", ".join(f"'{s}'" for s in SLOTS)
 
-    def pairing(places: str, theirs: str) -> str:
-        return f"""array_distinct(transform(
-            filter({places}, p -> {theirs}[p] in ({slots})),
-            p -> struct({theirs}[p] as kind, upper(their_values[p]) as was,
-                        upper(our_values[p + a.shift]) as now)))"""
+    # Slots as text, kind, whether the value changed, and both values: sets of text are linear.
+    def slot_pairs(places: str, theirs: str) -> str:
+        return f"""array_distinct(transform(filter({places}, p -> {theirs}[p] in ({slots})),
+            p -> concat({theirs}[p],
+                if(upper(their_values[p]) = upper(our_values[p + a.shift]), '=', '!'),
+                upper(their_values[p]), '\u0001', upper(our_values[p + a.shift]))))"""
+
+    def pairs(starts: str, theirs: str) -> str:
+        covered = f"flatten(transform({starts}, s -> sequence(s, s + width - 1)))"
+        return slot_pairs(f"array_distinct({covered})", theirs)
 
-    paired = covered.withColumn(
+    in_whole = slot_pairs("if(a.whole, sequence(0, size(their_words) - 1), array())", "their_words")
+    paired = verified.withColumn(
         "alignments",
-        F.expr(f"""transform(alignments, a -> struct(a.templates, a.folds, a.exact,
-            {pairing("a.templates", "theirs")} as template_pairs,
-            {pairing("a.folds", "their_words")} as fold_pairs,
-            {pairing("a.exact", "their_words")} as exact_pairs))"""),
+        F.expr(f"""transform(alignments, a -> struct(a.templates, a.folds, a.exact, a.whole,
+            {pairs("a.templates", "theirs")} as template_pairs,
+            array_union({pairs("a.folds", "their_words")}, {in_whole}) as fold_pairs,
+            {pairs("a.exact", "their_words")} as exact_pairs))"""),
     )
 
-    def consistent(pairs: str) -> str:
-        return f"""size({pairs}) - size(array_distinct(transform({pairs}, x -> struct(x.kind, x.was))))
-            <= size({pairs}) * {MAX_CONFLICTS}"""
+    def consistent(found: str) -> str:
+        was = f"transform({found}, x -> concat(left(x, 1), substring_index(substring(x, 3), '\u0001', 1)))"
+        return f"size({found}) - size(array_distinct({was})) <= size({found}) * {MAX_CONFLICTS}"
 
     # Each reading counts where its own slots are consistent.
-    checked = paired.withColumn(
+    kept = paired.withColumn(
         "alignments",
-        F.expr(f"""transform(alignments, a -> struct(a.exact, a.exact_pairs,
-            if({consistent("a.template_pairs")}, a.templates, array()) as templates,
-            if({consistent("a.template_pairs")}, a.template_pairs, array()) as template_pairs,
-            if({consistent("a.fold_pairs")}, a.folds, array()) as folds,
-            if({consistent("a.fold_pairs")}, a.fold_pairs, array()) as fold_pairs))"""),
+        F.expr(f"""transform(
+            transform(alignments, a -> struct(a as a, {consistent("a.template_pairs")} as t,
+                {consistent("a.fold_pairs")} as f)),
+            x -> struct(
+                x.f and x.a.whole as whole,
+                array_union(array_union(if(x.t, x.a.template_pairs, array()),
+                    if(x.f, x.a.fold_pairs, array())), x.a.exact_pairs) as pairs,
+                concat(
+                    transform(if(x.t, x.a.templates, array()), s -> struct({TEMPLATE} as reading, s as at)),
+                    transform(if(x.f, x.a.folds, array()), s -> struct({FOLDED} as reading, s as at)),
+                    transform(x.a.exact, s -> struct({EXACT} as reading, s as at))) as starts))"""),
+    ).withColumn("alignments", F.expr("filter(alignments, a -> a.whole or size(a.starts) > 0)"))
+    told = _fixed(
+        kept.where(F.size("alignments") > 0),
+        "doc", "doc_text", "item", "item_text", "width",
+        F.size("theirs").cast("long").alias("n_tokens"),
+        F.expr("exists(alignments, a -> a.whole)").alias("whole"),
+        F.expr("cast(array_max(transform(alignments, a -> size(a.pairs))) as bigint)").alias("n_slots"),
+        F.expr(
+            "forall(alignments, a -> exists(a.pairs, x -> substring(x, 2, 1) = '!'))"
+        ).alias("changed"),
+        F.expr("flatten(alignments.starts)").alias("starts"),
+    )
+    # Each window counts at all its places in the item.
+    pair = ["doc", "doc_text", "item", "item_text", "width", "n_tokens", "whole", "n_slots", "changed"]
+    found = told.select(*pair, F.inline_outer("starts"))
+    alike = _same(
+        windows, first.withColumnRenamed("at", "first"), *classes
+    ).select("item", "item_text", "reading", F.col("first").alias("at"), F.col("at").alias("place"))
+    spread = _same(found, alike, "item", "item_text", "reading", "at", how="left")
+    place = F.when(F.col("reading") == TEMPLATE, F.col("place"))
+    covering = spread.groupBy(pair).agg(
+        F.sort_array(F.collect_set("place")).alias("all_places"),
+        F.sort_array(F.collect_set(place)).alias("template_places"),
     )
-    kept = checked.withColumn(
-        "alignments",
-        F.expr("""transform(filter(alignments,
-                a -> size(a.templates) + size(a.folds) + size(a.exact) > 0),
-            a -> struct(a.templates as templates,
-                array_union(array_union(a.templates, a.folds), a.exact) as covered,
-                array_union(array_union(a.template_pairs, a.fold_pairs), a.exact_pairs) as pairs))"""),
+    usable = windows.where(F.col("reading") == TEMPLATE).groupBy("item", "item_text", "width").agg(
+        F.sort_array(F.collect_set("at")).alias("usable")
+    )
+    usable = usable.select("item", "item_text", F.expr(_reach("usable")).alias("n_usable"))
+    counted = _same(covering, usable, "item", "item_text", how="left").select(
+        *pair,
+        F.when(F.col("whole"), F.col("n_tokens")).otherwise(F.expr(_reach("all_places"))).alias("n_covered"),
+        F.expr(_reach("template_places")).alias("n_templates"),
+        F.coalesce("n_usable", F.lit(0).cast("long")).alias("n_usable"),
     )
 
     def needed(n: str) -> Column:
         return F.least(F.lit(MIN_TOKENS), F.greatest(F.ceil(F.col(n) * MIN_SHARE), F.col("width")))
 
-    def distinct(places: str) -> Column:
-        return F.expr(f"cast(size(array_distinct(flatten({places}))) as bigint)")
-
-    counted = kept.select(
-        "doc",
-        "doc_text",
-        "item",
-        "width",
-        F.size("theirs").cast("long").alias("n_tokens"),
-        F.inline(F.array(F.struct(
-            distinct("alignments.covered").alias("n_covered"),
-            distinct("alignments.templates").alias("n_templates"),
-            F.expr("cast(array_max(transform(alignments.pairs, x -> size(x))) as bigint)").alias("n_slots"),
-            F.expr(
-                "forall(alignments.pairs, pairs -> exists(pairs, x -> x.was <> x.now))"
-            ).alias("changed"),
-            distinct("transform(windows, p -> sequence(p, p + width - 1))").alias("n_usable"),
-        ))),
-    )
     leaking = (F.col("n_covered") >= needed("n_tokens")) | (F.col("n_templates") >= needed("n_usable"))
     return counted.where(leaking).select(
         F.col("doc").alias("doc_id"), "doc_text", F.col("item").alias("item_id"),
