@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from bedside_spark.session import prepare, work_folder
 
 
-#: Rows of an Arrow batch: texts may be long, and a batch is held on both sides of the pipe.
-BATCH_ROWS = 2_000
+#: Rows and bytes of an Arrow batch: texts may be long, and a batch is held on both sides of the pipe.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the engine's settings and batches small enough for whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return prepare(spark)
 
 
@@ -35,6 +36,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder, its lineage cut; smaller than a checkpoint."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remainder_of_id(id_column: str, divisor: int):
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % divisor

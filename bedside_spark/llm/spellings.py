@@ -14,12 +14,12 @@
    those that share all of them. A word has one key per different span of its characters, for words
    of its own length or one less, and one per different span of its gaps, for words of one more.
    Grams take at most half of the shorter word, so every place leaves one unaffected at least and
-   no key is empty. Keys and words are shuffled once, as two numbers, and met in sorted order.
-4. **Crowded keys.** A key of more than ``CROWDED`` words is split by the exact place: its words
+   no key is empty. Keys are shuffled once, as numbers with their words, and met in sorted order.
+4. **Verifying.** Words that meet are compared where they meet, and only pairs one edit apart go on,
+   so keys that share a number cost work but change nothing.
+5. **Crowded keys.** A key of more than ``CROWDED`` words is split by the exact place: its words
    take one key per place, the rest of the word left and right of it. Words sharing such a key are
    all one edit apart, so what is met is what is returned, and no pair is dropped.
-5. **Verifying.** Pairs are made distinct, get their words by number, and their edit distance is
-   computed, so that words or keys that share a number cost work but change nothing.
 
 Words are counted per batch before they are shuffled, so a frequent word is one row per batch.
 
@@ -42,13 +42,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedside_spark.llm.frames import checkpointed, table, text_bytes
+from bedside_spark.llm.frames import checkpointed, table, text_bytes, written
 
 MIN_LENGTH, MIN_COUNT = 7, 2
 SHORTEST, LONGEST = 2, 4
 #: Share of all words that a gram must exceed to be lengthened.
 FREQUENT = 1 / 400
-CROWDED = 200
+CROWDED = 50
 #: Roles of a word in a key.
 OUT, GAP = 0, 1
 #: A form has at least so many times the occurrences of its variant.
@@ -59,6 +59,8 @@ LOSSY = 31
 _HELD = 300_000
 #: Characters of a text searched at once.
 _SEGMENT = 1 << 20
+#: Characters of a word up to which words are compared side by side, and pairs compared at once.
+_WIDE, _PAIRS = 48, 100_000
 _RUN = re.compile("[a-zÀ-ÿ]+")
 _OTHER = re.compile("[^a-zÀ-ÿ]")
 
@@ -194,9 +196,9 @@ def exact_keys(word: str, role: int) -> Iterator[tuple[str, int]]:
 
 
 def _keyed(make: Callable[..., Iterator[tuple[str, int]]]):
-    """(key, member) from rows of a word's number, the word, and what else ``make`` takes.
+    """``_MEMBERS`` from rows of a word, its count, and what else ``make`` takes.
 
-    The lowest bit of a member says by which role it is there.
+    The lowest bit of ``told`` says by which role a word is there, the rest is its count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,117 +206,143 @@ def _keyed(make: Callable[..., Iterator[tuple[str, int]]]):
         for batch in batches:
             # A word gives some twenty keys, so a batch is taken in parts.
             for a in range(0, batch.num_rows, 5_000):
-                numbers, words, *more = (c.to_pylist() for c in batch.slice(a, 5_000).columns)
-                found, members = array("Q"), array("q")
-                for number, *own in zip(numbers, words, *more):
-                    base = number & ~1
-                    for key, role in make(*own):
+                part = batch.slice(a, 5_000)
+                words, counts, *more = (c.to_pylist() for c in part.columns)
+                found, told, row = array("Q"), array("q"), array("l")
+                for i, (word, n, *own) in enumerate(zip(words, counts, *more)):
+                    for key, role in make(word, *own):
                         found.append(digest(key))
-                        members.append(base | role)
+                        told.append(2 * n + role)
+                        row.append(i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(np.array(members, np.int64))],
-                    names=["key", "member"],
+                    [
+                        pa.array(np.array(found, np.uint64).view(np.int64)),
+                        pa.array(np.array(told, np.int64)),
+                        part.column(0).take(pa.array(np.array(row, np.int64))),
+                    ],
+                    names=["key", "told", "word"],
                 )
 
     return run
 
 
-_MEMBERS = "key long, member long"
+_MEMBERS = "key long, told long, word string"
 
 
 # ---- pairs --------------------------------------------------------------------------------
 
 
-def _meet(crowded: int | None):
-    """(a, b) of members that share a key, from rows sorted by key; of crowded keys (a, null).
+def one_edit(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether ``words[a]`` and ``words[b]`` are one edit apart."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    swap = sizes[a] > sizes[b]
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    more, out = sizes[b] - sizes[a], np.zeros(len(a), bool)
+    wide = sizes[b] > _WIDE
+    for i in np.flatnonzero(wide & (more <= 1)).tolist():
+        short, long = words[a[i]], words[b[i]]
+        at = next((k for k, (x, y) in enumerate(zip(short, long)) if x != y), len(short))
+        out[i] = short != long and short[at + 1 - more[i] :] == long[at + 1 :]
+    left = np.flatnonzero(~wide & (more <= 1))
+    if not len(left):
+        return out
+    width = int(sizes[b[left]].max()) + 1
+    chars = np.where(sizes < width, words, "").astype(f"U{width}").view(np.uint32).reshape(-1, width)
+    for begin in range(0, len(left), _PAIRS):
+        part = left[begin : begin + _PAIRS]
+        short, long = chars[a[part]], chars[b[part]]
+        same = short == long
+        replaced = (more[part] == 0) & ((~same).sum(axis=1) == 1)
+        # Behind the first difference, the longer word must go on as the shorter one does.
+        at = np.argmin(same, axis=1)[:, None]
+        behind = (long[:, 1:] == short[:, :-1]) | (np.arange(width - 1) < at)
+        out[part] = replaced | ((more[part] == 1) & behind.all(axis=1))
+    return out
+
 
-    Holds a batch and the last key's members, at most ``crowded`` of them.
+def _meet(crowded: int | None):
+    """(a, b, a_told, b_told) of words that share a key and are one edit apart, from rows sorted
+    by key; of crowded keys (a, null). Holds a batch and the last key's words, at most ``crowded``.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, members = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        full: int | None = None
-
-        def pairs(key: np.ndarray, member: np.ndarray) -> Iterator[pa.RecordBatch]:
-            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
-            size = np.diff(np.r_[begin, len(key)])
-            over = size > (len(key) if crowded is None else crowded)
-            if over.any():
-                yield told(member[np.repeat(over, size)], None)
-            fine = np.repeat(~over & (size > 1), size)
-            key, member = key[fine], member[fine]
-            step = 1
-            while len(key) > step:
-                at = np.flatnonzero(key[:-step] == key[step:])
-                if not len(at):
-                    break
-                a, b = member[at], member[at + step]
-                met = (a & b & 1) != GAP
-                a, b = a[met] & ~np.int64(1), b[met] & ~np.int64(1)
-                yield told(np.minimum(a, b), np.maximum(a, b))
-                step += 1
-
-        def told(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-            other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
-            return pa.RecordBatch.from_arrays([pa.array(a), other], names=["a", "b"])
+    def told(*columns) -> pa.RecordBatch:
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        arrays = [
+            pa.nulls(len(columns[0]), t) if c is None else pa.array(c, t) for c, t in zip(columns, types)
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "a_told", "b_told"])
+
+    def met(key: np.ndarray, state: np.ndarray, word: np.ndarray) -> Iterator[pa.RecordBatch]:
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+        size = np.diff(np.r_[begin, len(key)])
+        over = size > (len(key) if crowded is None else crowded)
+        if over.any():
+            full = np.repeat(over, size)
+            yield told(word[full], None, state[full], None)
+        fine = np.repeat(~over & (size > 1), size)
+        key, state, word = key[fine], state[fine], word[fine]
+        pairs = []
+        for step in range(1, len(key)):
+            at = np.flatnonzero(key[:-step] == key[step:])
+            if not len(at):
+                break
+            at = at[(state[at] & state[at + step] & 1) != GAP]
+            pairs.append((at, at + step))
+        if pairs:
+            a, b = (np.concatenate(side) for side in zip(*pairs))
+            near = one_edit(word, a, b)
+            a, b = a[near], b[near]
+            swap = word[a] > word[b]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            yield told(word[a], word[b], state[a], state[b])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, full = None, None
         for batch in batches:
-            key, member = (np.asarray(c) for c in batch.columns)
+            rows = [np.asarray(batch.column(i)) for i in range(2)]
+            rows.append(batch.column(2).to_numpy(zero_copy_only=False))
             if full is not None:
-                same = key == full
-                yield told(member[same], None)
-                key, member = key[~same], member[~same]
-                if len(key):
+                same = rows[0] == full
+                yield told(rows[2][same], None, rows[1][same], None)
+                rows = [r[~same] for r in rows]
+                if len(rows[0]):
                     full = None
-            key, member = np.r_[keys, key], np.r_[members, member]
+            if held:
+                rows = [np.r_[h, r] for h, r in zip(held, rows)]
+            key = rows[0]
             last = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            yield from pairs(key[:last], member[:last])
-            keys, members = key[last:], member[last:]
-            if crowded is not None and len(keys) > crowded:
-                yield told(members, None)
-                full, keys, members = int(keys[0]), keys[:0], members[:0]
-        yield from pairs(keys, members)
+            yield from met(*(r[:last] for r in rows))
+            held = [r[last:] for r in rows]
+            if crowded is not None and len(held[0]) > crowded:
+                yield told(held[2], None, held[1], None)
+                full, held = int(held[0][0]), None
+        if held:
+            yield from met(*held)
 
     return run
 
 
 def _met(keyed: DataFrame, crowded: int | None) -> DataFrame:
     rows = keyed.repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(_meet(crowded), "a long, b long")
+    return rows.mapInArrow(_meet(crowded), "a string, b string, a_told long, b_told long")
 
 
 def near_pairs(vocabulary: DataFrame, longest: int = LONGEST, crowded: int = CROWDED) -> DataFrame:
     """(a, b, a_n, b_n): all pairs of words one edit apart, each once, from (word, n)."""
     frequent = vocabulary.sparkSession.sparkContext.broadcast(frequent_grams(vocabulary, longest))
-    # A number per word, even so that a role fits in; it may be shared, as pairs are verified.
-    number = F.xxhash64("word").bitwiseAND(F.lit(-2))
-    numbered = vocabulary.select(number.alias("number"), "word", "n")
 
     def spans(word: str) -> Iterator[tuple[str, int]]:
         return keys(word, frequent.value, longest)
 
-    met = checkpointed(_met(numbered.select("number", "word").mapInArrow(_keyed(spans), _MEMBERS), crowded))
-    hot = met.where("b is null").select(
-        F.col("a").bitwiseAND(F.lit(-2)).alias("number"), F.col("a").bitwiseAND(F.lit(1)).cast("int").alias("role")
-    ).distinct()
-    split = hot.join(numbered, "number").select("number", "word", "role")
-    exact = _met(split.mapInArrow(_keyed(exact_keys), _MEMBERS), None)
-    found = met.where("b is not null").unionByName(exact).distinct()
-    for side in ("a", "b"):
-        named = numbered.select(
-            F.col("number").alias(side), F.col("word").alias(f"{side}_word"), F.col("n").alias(f"{side}_n")
-        )
-        found = found.join(named, side)
-    # A number that several words share meets itself, each pair both ways round.
-    once = (F.col("a") != F.col("b")) | (F.col("a_word") < F.col("b_word"))
-    near = found.where(once & (F.expr("levenshtein(a_word, b_word, 1)") == 1))
-    least, greatest = F.least("a_word", "b_word"), F.greatest("a_word", "b_word")
-    first = F.col("a_word") == least
-    return near.select(
-        least.alias("a"), greatest.alias("b"),
-        F.when(first, F.col("a_n")).otherwise(F.col("b_n")).alias("a_n"),
-        F.when(first, F.col("b_n")).otherwise(F.col("a_n")).alias("b_n"),
-    )
+    keyed = vocabulary.select("word", "n").mapInArrow(_keyed(spans), _MEMBERS)
+    met = written(_met(keyed, crowded), "variants")
+    role, count = F.col("a_told").bitwiseAND(F.lit(1)).cast("int"), F.shiftright("a_told", 1)
+    hot = met.where("b is null").select(F.col("a").alias("word"), count.alias("n"), role.alias("role"))
+    exact = _met(hot.distinct().mapInArrow(_keyed(exact_keys), _MEMBERS), None)
+    found = met.where("b is not null").unionByName(exact)
+    return found.select(
+        "a", "b", F.shiftright("a_told", 1).alias("a_n"), F.shiftright("b_told", 1).alias("b_n")
+    ).distinct()
 
 
 # ---- forms --------------------------------------------------------------------------------
@@ -342,26 +370,27 @@ def variants(
     docs: DataFrame, least: int = MIN_COUNT, ratio: int = RATIO, crowded: int = CROWDED
 ) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of all words of ``docs``."""
-    vocabulary = checkpointed(words(docs, least))
-    pairs = checkpointed(near_pairs(vocabulary, crowded=crowded))
-    # The most frequent neighbour, of equals the smallest: two aggregates over plain columns.
+    vocabulary = written(words(docs, least), "vocabulary")
+    pairs = written(near_pairs(vocabulary, crowded=crowded), "variants")
     near = pairs.select("a", "b", F.col("b_n").alias("other_n")).unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("a_n").alias("other_n"))
     )
-    most = near.groupBy("a").agg(F.count("*").alias("n_near"), F.max("other_n").alias("other_n"))
-    best = near.join(most.select("a", "other_n"), ["a", "other_n"])
-    named = best.groupBy("a").agg(F.min("b").alias("other"))
-    told = (
-        vocabulary.join(most.withColumnRenamed("a", "word"), "word", "left")
-        .join(named.withColumnRenamed("a", "word"), "word", "left")
-        .withColumn("is_variant", F.coalesce(F.col("other_n") >= F.col("n") * ratio, F.lit(False)))
+    # The most frequent neighbour, of equals the smallest.
+    best = F.min(F.struct((-F.col("other_n")).alias("rank"), F.col("b").alias("other"))).alias("best")
+    most = near.groupBy(F.col("a").alias("word")).agg(F.count("*").alias("n_near"), best)
+    told = vocabulary.join(most, "word", "left").select(
+        "word", "n", "n_near", F.col("best.other").alias("other"), (-F.col("best.rank")).alias("other_n")
     )
-    found = checkpointed(
+    told = told.withColumn(
+        "is_variant", F.coalesce(F.col("other_n") >= F.col("n") * ratio, F.lit(False))
+    )
+    found = written(
         told.select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(F.col("is_variant"), F.col("other")).alias("form"),
             F.when(F.col("is_variant"), F.col("other_n")).alias("form_n"),
-        )
+        ),
+        "variants",
     )
     last = roots(found.where("form is not null"))
     return found.join(last, "word", "left").select(

@@ -5,8 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from bedside_spark.llm import spellings
 from bedside_spark.llm.registry import QUERIES
@@ -117,12 +117,40 @@ def test_long_texts_are_searched_in_parts(monkeypatch):
     assert found == re.findall("[a-zÀ-ÿ]+", text)
 
 
-def test_words_that_share_a_number_change_nothing(spark, monkeypatch):
-    def same(*columns):
-        return F.lit(6).cast("long")
-
+def test_keys_that_share_a_number_change_nothing(spark, monkeypatch):
     words = [("abcdefgh", 40), ("abcdefg", 2), ("bcdefgh", 2), ("zzzzzzz", 3)]
     vocabulary = spark.createDataFrame(words, "word string, n long")
-    monkeypatch.setattr(spellings.F, "xxhash64", same)
-    got = {(r.a, r.b) for r in spellings.near_pairs(vocabulary).collect()}
-    assert got == {("abcdefg", "abcdefgh"), ("abcdefgh", "bcdefgh")}
+    monkeypatch.setattr(spellings, "_keyed", alike(spellings._keyed))
+    for crowded in (2, 5000):
+        got = {tuple(r) for r in spellings.near_pairs(vocabulary, crowded=crowded).collect()}
+        assert got == {("abcdefg", "abcdefgh", 2, 40), ("abcdefgh", "bcdefgh", 40, 2)}
+
+
+def alike(keyed):
+    """Gives every key the same number."""
+    import pyarrow as pa
+
+    def changed(make):
+        inner = keyed(make)
+
+        def run(batches):
+            for b in inner(batches):
+                same = pa.array([7] * b.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([same, b.column(1), b.column(2)], names=b.schema.names)
+
+        return run
+
+    return changed
+
+
+def test_one_edit():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abé") for _ in range(rng.choice((3, 4, 5, 60, 61)))) for _ in range(150)]
+    words += [w[:-1] for w in words] + [w[:2] + "a" + w[2:] for w in words]
+    a, b = np.triu_indices(len(words), 1)
+    got = spellings.one_edit(np.array(words, object), a, b)
+    for i, j, near in zip(a.tolist(), b.tolist(), got.tolist()):
+        if abs(len(words[i]) - len(words[j])) <= 1 and words[i] != words[j]:
+            assert near == (words[j] in edits(words[i], "abé"))
+        else:
+            assert not near
