@@ -89,11 +89,17 @@ def _is_name(token: Column) -> Column:
     return ~small & F.rlike(token, F.lit(r"^\p{Lu}\p{Ll}+$"))
 
 
-def _template(tokens: Column, numbers: Column) -> Column:
+def _itself(token: Column) -> Column:
+    return token
+
+
+def _template(tokens: Column, numbers: Column, of=_itself) -> Column:
+    """``of`` each template token."""
+
     def one(token: Column, i: Column) -> Column:
         low = F.lower(token)
         behind_number = (i > 0) & F.get(numbers, i - 1)
-        return (
+        return of(
             F.when(F.get(numbers, i), NUMBER_SLOT)
             .when(behind_number & low.isin(*UNITS), UNIT_SLOT)
             .when(_is_name(token), NAME_SLOT)
@@ -103,8 +109,11 @@ def _template(tokens: Column, numbers: Column) -> Column:
     return F.transform(tokens, one)
 
 
-def _folded(tokens: Column, numbers: Column) -> Column:
-    return F.transform(tokens, lambda t, i: F.when(F.get(numbers, i), NUMBER_SLOT).otherwise(F.upper(t)))
+def _folded(tokens: Column, numbers: Column, of=_itself) -> Column:
+    """``of`` each case-folded word or number slot."""
+    return F.transform(
+        tokens, lambda t, i: of(F.when(F.get(numbers, i), NUMBER_SLOT).otherwise(F.upper(t)))
+    )
 
 
 def template(text: Column) -> Column:
@@ -123,25 +132,32 @@ def _fixed(frame: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def _tokens(frame: DataFrame, id_column: str, name: str) -> DataFrame:
-    """(id, digest of the text, written, tokens, words, exact): all readings of every text."""
+    """(id, digest of the text, written, tokens, words, exact): all readings of every text.
+
+    Beside them the hashes of the three readings' tokens, by reading: h0, h1 and h2.
+    """
     body = F.coalesce(F.col("text"), F.lit(""))
     keys = F.col(id_column).alias(name), F.xxhash64(body).alias(f"{name}_text")
     cut = _fixed(frame, *keys, values(body).alias("written"))
     cut = _fixed(cut, name, f"{name}_text", "written", _numbers(F.col("written")).alias("numbers"))
+    both = F.col("written"), F.col("numbers")
     return cut.select(
         name, f"{name}_text", "written",
-        _template(F.col("written"), F.col("numbers")).alias("tokens"),
-        _folded(F.col("written"), F.col("numbers")).alias("words"),
+        _template(*both).alias("tokens"),
+        _folded(*both).alias("words"),
         F.transform("written", F.upper).alias("exact"),
+        _template(*both, F.xxhash64).alias(f"h{TEMPLATE}"),
+        _folded(*both, F.xxhash64).alias(f"h{FOLDED}"),
+        F.transform("written", lambda t: F.xxhash64(F.upper(t))).alias(f"h{EXACT}"),
     )
 
 
 # ---- windows ------------------------------------------------------------------------------
 
 
-def _hash(tokens: str, width: int, reading: int) -> Column:
-    """Hash of the window of ``width`` tokens that begins at ``at``."""
-    parts = [F.get(tokens, F.col("at") + k) for k in range(width)]
+def _hash(reading: int, width: int) -> Column:
+    """Hash of the window of ``width`` tokens that begins at ``at``, from the tokens' hashes."""
+    parts = [F.get(f"h{reading}", F.col("at") + k) for k in range(width)]
     return F.xxhash64(F.lit(reading), F.lit(width), *parts)
 
 
@@ -155,17 +171,18 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item, item_text, width, reading, hash, at) of all windows that items are sought by."""
     items = _tokens(benchmark, "item_id", "item").where(F.size("tokens") > 0)
     items = items.dropDuplicates(["item", "item_text"])
-    items = checkpointed(items.select("item", "item_text", "tokens", "words", "exact"))
+    items = checkpointed(items.drop("written", "exact"))
+    widths = [r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()]
     placed = items.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at"))
     size = F.size("tokens")
     rows = None
-    for w in range(1, WINDOW + 1):
+    for w in sorted(widths) or [WINDOW]:
         own = (size >= WINDOW) if w == WINDOW else (size == w)
         usable = F.lit(w >= MIN_ITEM) & (F.col("literals") >= w * MIN_LITERAL_SHARE)
         readings = [
-            (TEMPLATE, _hash("tokens", w, TEMPLATE), _literals("tokens", w)),
-            (FOLDED, _hash("words", w, FOLDED), _literals("words", w)),
-            (EXACT, _hash("exact", w, EXACT), _literals("words", w)),
+            (TEMPLATE, _hash(TEMPLATE, w), _literals("tokens", w)),
+            (FOLDED, _hash(FOLDED, w), _literals("words", w)),
+            (EXACT, _hash(EXACT, w), _literals("words", w)),
         ]
         each = [
             F.struct(F.lit(r).alias("reading"), h.alias("hash"), n.alias("literals"))
@@ -205,13 +222,12 @@ def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for r in wanted.select("width", "reading").distinct().collect()
     )
     small = wanted.count() <= BROADCAST_WINDOWS
-    names = {TEMPLATE: "tokens", FOLDED: "words", EXACT: "exact"}
-    used = sorted({names[reading] for _, reading in sought})
-    found = _tokens(docs, "doc_id", "doc").select("doc", "doc_text", *(used or ["words"]))
-    one = F.size(used[0] if used else "words")
-    ends = F.when(one > 0, F.sequence(F.lit(0), one - 1)).otherwise(F.array())
-    placed = found.select("*", F.explode(ends).alias("at"))
-    hashes = [F.when(F.col("at") + w <= one, _hash(names[r], w, r)) for w, r in dict.fromkeys(sought)]
+    used = sorted({reading for _, reading in sought}) or [FOLDED]
+    found = _tokens(docs, "doc_id", "doc").select("doc", "doc_text", *(f"h{r}" for r in used))
+    size = F.size(f"h{used[0]}")
+    begins = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array())
+    placed = found.select("*", F.explode(begins).alias("at"))
+    hashes = [F.when(F.col("at") + w <= size, _hash(r, w)) for w, r in dict.fromkeys(sought)]
     rows = placed.select(
         "doc", "doc_text", "at", F.explode(F.array(*hashes or [F.lit(None).cast("long")])).alias("hash")
     ).withColumnRenamed("at", "place")
@@ -255,12 +271,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = F.broadcast(keys)
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64(body) == F.col("doc_text"))
     matched = docs.select("doc_id", "text").join(keys, same, "left_semi").distinct()
-    texts = _tokens(matched, "doc_id", "doc").toDF(
+    readings = ("written", "tokens", "words", "exact")
+    texts = _tokens(matched, "doc_id", "doc").select("doc", "doc_text", *readings).toDF(
         "doc", "doc_text", "our_values", "ours", "our_words", "our_exact"
-    )
-    items = _tokens(benchmark, "item_id", "item").dropDuplicates(["item", "item_text"]).toDF(
-        "item", "item_text", "their_values", "theirs", "their_words", "their_exact"
     )
+    items = _tokens(benchmark, "item_id", "item").select("item", "item_text", *readings).toDF(
+        "item", "item_text", "their_values", "theirs", "their_words", "their_exact"
+    ).dropDuplicates(["item", "item_text"])
 
     # One row per document and item, so that long texts are not repeated per alignment.
     alignments = shared.groupBy("doc", "doc_text", "item", "item_text").agg(
@@ -337,7 +354,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     # Each window counts at all its places in the item.
     pair = ["doc", "doc_text", "item", "item_text", "width", "n_tokens", "whole", "n_slots", "changed"]
-    found = told.select(*pair, F.inline_outer("starts"))
+    # A window is found at many alignments where an item repeats it; it counts once.
+    found = told.select(*pair, F.inline_outer("starts")).distinct()
     alike = _same(
         windows, first.withColumnRenamed("at", "first"), *classes
     ).select("item", "item_text", "reading", F.col("first").alias("at"), F.col("at").alias("place"))

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
+import regex
 from pyspark.sql import functions as F
 
 from bedside_spark.llm import leaks
@@ -122,3 +125,145 @@ def test_items_of_numbers_and_short_items_are_found(spark):
         (0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False,
         (10, 0): True, (11, 1): True, (15, 2): False,
     }
+
+
+NUMBER = regex.compile(r"\p{N}+(?:[.,:/]\p{N}+)*|\p{L}+")
+NAME = regex.compile(r"\p{Lu}\p{Ll}+")
+
+
+def cut(text):
+    """(values, template, words, exact), one of each per token."""
+    written = NUMBER.findall(text or "")
+    number = [regex.match(r"\p{N}", t) is not None for t in written]
+    tokens = []
+    for i, t in enumerate(written):
+        unit = i > 0 and number[i - 1] and t.lower() in leaks.UNITS
+        name = NAME.fullmatch(t) is not None
+        tokens.append("0" if number[i] else "2" if unit else "1" if name else t.lower())
+    words = ["0" if n else t.upper() for t, n in zip(written, number)]
+    return written, tokens, words, [t.upper() for t in written]
+
+
+def brute(docs, items):
+    """Nested loops over all places of documents and items."""
+    found = []
+    for item, text in dict.fromkeys(items):
+        theirs = cut(text)
+        n, w = len(theirs[0]), min(len(theirs[0]), 8)
+        literals = [[sum(t not in "012" for t in r[a : a + w]) for a in range(n - w + 1)] for r in theirs[1:3]]
+        usable = [[w >= 4 and x >= w / 2 for x in own] for own in literals]
+        chosen = {0: usable[0], 1: usable[1], 2: [not u for u in usable[1]]}
+        places = {}
+        for reading, on in chosen.items():
+            for a, yes in enumerate(on):
+                if yes:
+                    places.setdefault((reading, *theirs[reading + 1][a : a + w]), []).append(a)
+        best = max(range(n - w + 1), key=lambda a: (literals[1][a], -a), default=None)
+        whole_at = w >= 4 and not all(usable[1]) and literals[1][best] >= 2
+        for doc, body in dict.fromkeys(docs):
+            ours = cut(body)
+            shifts = {}
+            for p in range(len(ours[0]) - w + 1):
+                for reading in range(3):
+                    own = places.get((reading, *ours[reading + 1][p : p + w]))
+                    if own:
+                        shifts.setdefault(p - own[0], set()).add((reading, own[0]))
+                if whole_at and ours[2][p : p + w] == theirs[2][best : best + w]:
+                    shifts.setdefault(p - best, set())
+            covered, by_template, slots, changed, any_kept, whole_found = set(), set(), [], True, False, False
+            for shift, starts in shifts.items():
+                whole = whole_at and shift >= 0 and ours[2][shift : shift + n] == theirs[2]
+                kept, pairs = set(), set()
+                for reading in range(3):
+                    own = {a for r, a in starts if r == reading}
+                    at = {a + k for a in own for k in range(w)} | (set(range(n)) if whole and reading == 1 else set())
+                    kinds = theirs[1] if reading == 0 else theirs[2]
+                    mine = {
+                        (kinds[q], theirs[0][q].upper(), ours[0][q + shift].upper()) for q in at if kinds[q] in "012"
+                    }
+                    conflicts = len(mine) - len({m[:2] for m in mine})
+                    if reading == 2 or conflicts <= 0.1 * len(mine):
+                        kept |= {(reading, a) for a in own}
+                        pairs |= mine
+                        whole_found |= whole and reading == 1
+                        any_kept |= bool(own) or (whole and reading == 1)
+                        if own or (whole and reading == 1):
+                            kept.add(None)
+                if not kept:
+                    continue
+                slots.append(len(pairs))
+                changed &= any(was != now for _, was, now in pairs)
+                for reading, a in kept - {None}:
+                    for b in places[(reading, *theirs[reading + 1][a : a + w])]:
+                        covered |= set(range(b, b + w))
+                        by_template |= set(range(b, b + w)) if reading == 0 else set()
+            if not any_kept:
+                continue
+            covered = set(range(n)) if whole_found else covered
+            all_usable = {a + k for a, yes in enumerate(usable[0]) if yes for k in range(w)}
+
+            def needed(size, w=w):
+                return min(13, max(-(-size * 7 // 10), w))
+
+            if len(covered) >= needed(n) or len(by_template) >= needed(len(all_usable)):
+                found.append((doc, item, n, len(covered), max(slots), changed))
+    return sorted(found, key=repr)
+
+
+def compared(spark, given, texts):
+    frame = leaks.leaks(
+        spark.createDataFrame(given, "doc_id long, text string"),
+        spark.createDataFrame(texts, "item_id long, text string"),
+    )
+    columns = ("doc_id", "item_id", "n_tokens", "n_covered", "n_slots", "changed")
+    got = sorted((tuple(r) for r in frame.select(*columns).collect()), key=repr)
+    assert got == brute(given, texts)
+    return got
+
+
+def test_against_nested_loops(spark):
+    rng = random.Random(4)
+    words = "the a boat Tom Mary km 5 7 1,000 apples has with sold for Straße ÉTÉ hours İSTANBUL in".split()
+    texts = [(i, " ".join(rng.choices(words, k=rng.choice((1, 3, 5, 9, 14, 30))))) for i in range(25)]
+    given = []
+    for i in range(80):
+        _, text = rng.choice(texts)
+        changes = {"Tom": rng.choice(("Tom", "Ann")), "5": rng.choice(("5", "17", "9")), "7": "8"}
+        text = " ".join(changes.get(w, w) if rng.random() < 0.9 else rng.choice(words) for w in text.split())
+        text = rng.choice((text, text.upper(), text.lower(), f"{text}. {text}"))
+        given.append((i, " ".join(rng.choices(words, k=rng.randrange(6))) + " " + text))
+    assert len(compared(spark, given, texts)) > 20
+    folder = "/root/testdata/sf0.001"
+    for name, key in (("documents", "doc_id"), ("benchmark", "item_id")):
+        rows = spark.read.parquet(f"{folder}/{name}.parquet").select(key, "text").collect()
+        given, texts = (list(map(tuple, rows)), texts) if name == "documents" else (given, list(map(tuple, rows)))
+    assert compared(spark, given[:400], texts)
+
+
+def test_a_verbatim_copy_of_a_repeating_item_is_covered_whole(spark):
+    item = " ".join([cases.PROSE] * 20)
+    n = len(item.split())
+    got = compared(spark, [(1, f"Here: {item}")], [(1, item)])
+    assert [(r[2], r[3]) for r in got] == [(n, n)]
+
+
+def test_one_value_per_token_whatever_the_case_does(spark):
+    row = spark.createDataFrame([("İSTANBUL 5 km ǅungla ŉ",)], "text string")
+    sizes = row.select(*(F.size(f(F.col("text"))) for f in (leaks.template, leaks.values, leaks.folded)))
+    assert len(set(sizes.first())) == 1
+
+
+def test_time_is_linear_in_an_item(spark):
+    def seconds(n):
+        text = " ".join(f"word{'abcdefghij'[i % 10]} {i} and" for i in range(n // 3))
+        frame = leaks.leaks(
+            spark.createDataFrame([(1, text)], "doc_id long, text string"),
+            spark.createDataFrame([(1, text)], "item_id long, text string"),
+        )
+        begin = time.time()
+        assert [r.n_covered for r in frame.collect()] == [frame.first().n_tokens]
+        return time.time() - begin
+
+    seconds(300)
+    short, long = seconds(3_000), seconds(60_000)
+    assert long < 12 * short + 10
