@@ -1,12 +1,14 @@
 """Quality rules with Jensen-Shannon distances, in DataFrame functions only.
 
 Two histograms of a document are compared with those of four languages: its characters by
-class, and its words among a language's common words. The distance (square root of the
-Jensen-Shannon divergence in bits, 0 to 1) to the nearest language decides, and each only from
-a minimum length on, as short texts have ragged histograms. The counted rules come first: too
-few words, or more than half of the words in repeated 3-word windows.
+class, and its words as a language's common words and all others, so that common words that are
+missing count as divergence. The distance (square root of the Jensen-Shannon divergence in bits,
+0 to 1) to the nearest language decides, and each only from a minimum length on, as short texts
+have ragged histograms; beyond it one limit holds at every length. The counted rules come first:
+too few words, or more than half of the words in repeated 3-word windows.
 
-One narrow stage, no shuffle. A window is compared by a 64-bit hash and, where hashes agree, by
+One narrow stage, no shuffle. The result passes through a one-row generator: a filter on it would
+otherwise be pushed down and repeat all its calculations. A window is compared by a 64-bit hash and, where hashes agree, by
 its words. Defined results: a null or empty text has no words, counts of 0, null distances and
 is rejected for its length; null ids stay null; repeated rows give repeated results; columns
 other than the id and the text are not read; an empty table gives an empty result.
@@ -21,13 +23,13 @@ from bedside_spark.llm.frames import table
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-#: Characters and common words from which on the distances decide.
+#: Characters and words from which on the distances decide.
 MIN_CHARS = 200
-MIN_COMMON = 40
-MAX_CLASS_DISTANCE = 0.17
-MAX_WORD_DISTANCE = 0.6
-#: A number or key in an otherwise usual text may add this many characters' share to the distance.
-STRAY_CHARS = 30
+MIN_JUDGED_WORDS = MIN_WORDS
+MAX_CLASS_DISTANCE = 0.22
+MAX_WORD_DISTANCE = 0.33
+#: Share of a running text that its language's listed common words make up.
+COMMON_SHARE = 0.3
 
 BLANK = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -61,9 +63,9 @@ def class_reference(language: str) -> list[float]:
 
 
 def word_reference(language: str) -> list[float]:
-    """Shares falling with the rank, as word frequencies do."""
+    """Shares falling with the rank, as word frequencies do; that of all other words comes last."""
     weights = [1.0 / (rank + 1) for rank in range(len(COMMON[language]))]
-    return [w / sum(weights) for w in weights]
+    return [*(COMMON_SHARE * w / sum(weights) for w in weights), 1.0 - COMMON_SHARE]
 
 
 def divergence(counts: Column, total: Column, reference: list[float]) -> Column:
@@ -164,12 +166,16 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
         F.transform(F.array(*map(F.lit, words)), lambda w: F.coalesce(F.col("common")[w], F.lit(0)))
         for words in COMMON.values()
     ]
-    counted = counted.withColumns(
-        {"classes": F.concat("classes", F.array(rest)), "by_language": F.array(*own)}
-    ).withColumn(
-        "hits",
-        F.transform("by_language", lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b)),
-    )
+    counted = counted.withColumns({
+        "classes": F.concat("classes", F.array(rest)),
+        "by_language": F.transform(
+            F.array(*own),
+            lambda x: F.concat(
+                x,
+                F.array(F.col("n_words").cast("int") - F.aggregate(x, F.lit(0), lambda a, b: a + b)),
+            ),
+        ),
+    })
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
@@ -178,35 +184,27 @@ def quality_rules(docs: DataFrame, *keep: str) -> DataFrame:
         for language in COMMON
     ]
     nearest = [
-        F.when(
-            F.col("hits")[i] >= MIN_COMMON,
-            divergence(F.col("by_language")[i], F.col("hits")[i], word_reference(language)),
-        )
+        divergence(F.col("by_language")[i], F.col("n_words"), word_reference(language))
         for i, language in enumerate(COMMON)
     ]
     judged = counted.select(
-        "row.*",
+        "row",
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
         failed.alias("base_failed"),
         F.when(F.col("n_chars") >= MIN_CHARS, F.least(*by_class)).alias("class_distance"),
-        F.least(*nearest).alias("word_distance"),
+        F.when(F.col("n_words") >= MIN_JUDGED_WORDS, F.least(*nearest)).alias("word_distance"),
     )
-    allowed = MAX_CLASS_DISTANCE + STRAY_CHARS / F.greatest("n_chars", F.lit(1))
-    fits = (F.coalesce("class_distance", F.lit(0.0)) <= allowed) & (
+    fits = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE
     )
-    return judged.withColumn("kept", ~F.col("base_failed") & fits).drop("n_chars")
+    verdict = judged.withColumn("kept", ~F.col("base_failed") & fits).drop("n_chars")
+    return verdict.select(F.inline(F.array(F.struct("*")))).select("row.*", *verdict.columns[1:])
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The documents the rules keep, with their columns as they are.
-
-    The verdict passes through a one-row generator: a filter on it would otherwise be pushed down
-    and repeat all its calculations.
-    """
+    """The documents the rules keep, with their columns as they are."""
     judged = quality_rules(docs.select(F.struct("*").alias("document"), "text"), "document")
-    verdict = judged.select("document", F.explode(F.array("kept")).alias("verdict"))
-    return verdict.where("verdict").select("document.*")
+    return judged.where("kept").select("document.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +227,7 @@ def oracle_sql(source: str = "documents") -> str:
         for x in COMMON
         for w, s in zip(COMMON[x], word_reference(x))
     )
+    languages = ", ".join(f"('{x}')" for x in COMMON)
     term = (
         "(case when {p} > 0 then {p} * log2({p} / (({p} + {q}) / 2)) else 0 end"
         " + {q} * log2({q} / (({p} + {q}) / 2))) / 2"
@@ -263,15 +262,23 @@ word_reference(language, word, share) as (values {words}),
 tally as (
     select rid, word, count(*) as n from (select rid, lower(unnest(words)) as word from split)
     group by rid, word),
-by_language as (
-    select rid, language, sum(n) as hits from tally join word_reference using (word)
-    group by rid, language having sum(n) >= {MIN_COMMON}),
+languages(language) as (values {languages}),
+shares as (
+    select s.rid, l.language, r.word, r.share, len(s.words)::double as n_words
+    from split s cross join languages l join word_reference r using (language)
+    where len(s.words) >= {MIN_JUDGED_WORDS}),
+listed as (
+    select s.rid, s.language, s.share, coalesce(t.n, 0) as n, s.n_words
+    from shares s left join tally t on t.rid = s.rid and t.word = s.word),
+bins as (
+    select rid, language, share as q, n / n_words as p from listed
+    union all
+    select rid, language, 1.0 - {COMMON_SHARE}, (any_value(n_words) - sum(n)) / any_value(n_words)
+    from listed group by rid, language),
 word_distances as (
     select rid, min(sqrt(greatest(0, distance))) as word_distance from (
-        select b.rid, b.language, sum({term.format(p="(coalesce(t.n, 0) / b.hits::double)", q="r.share")}) as distance
-        from by_language b join word_reference r using (language)
-            left join tally t on t.rid = b.rid and t.word = r.word
-        group by b.rid, b.language) group by rid),
+        select rid, language, sum({term.format(p="p", q="q")}) as distance
+        from bins group by rid, language) group by rid),
 counts as (
     select s.rid, doc_id, len(words)::bigint as n_words,
         length(array_to_string(words, ''))::bigint as word_chars,
@@ -286,6 +293,6 @@ judged as (
     from counts)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     round(class_distance, 6) as class_distance, round(word_distance, 6) as word_distance,
-    not base_failed and coalesce(class_distance, 0) <= {MAX_CLASS_DISTANCE} + {STRAY_CHARS} / greatest(n_chars, 1)::double
+    not base_failed and coalesce(class_distance, 0) <= {MAX_CLASS_DISTANCE}
         and coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} as kept
 from judged"""
