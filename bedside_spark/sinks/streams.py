@@ -10,10 +10,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bedside_spark.functions.timekit import micros
 from bedside_spark.operators import alerts, ingest
-from bedside_spark.sinks import files, tables
+from bedside_spark.sinks import files, manifest, outbox, tables
 
 COMMIT_EVERY = "10 seconds"
 ARCHIVE_EVERY = "60 seconds"
+BUCKETS = 64
 
 
 def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -104,38 +105,54 @@ def append_checked(
 
 
 def latest_table(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of the latest-state table that was written to its end."""
-    return spark.read.parquet(f"{root}/version={_versions(spark, root)[-1]}")
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    if not files.exists(spark, root):
-        return []
-    names = [n for n in files.folders(spark, root) if n.startswith("version=")]
-    whole = [n for n in names if files.exists(spark, f"{root}/{n}/_SUCCESS")]
-    return sorted(int(n.split("=")[1]) for n in whole)
+    """The latest-state table as the newest manifest names it."""
+    _, folders = manifest.newest(spark, root)
+    return spark.read.parquet(*(f"{root}/{f}" for f in folders.values()))
 
 
 def keep_latest(
-    vitals: DataFrame, root: str, checkpoint: str, every: str | None = COMMIT_EVERY
+    vitals: DataFrame,
+    root: str,
+    checkpoint: str,
+    every: str | None = COMMIT_EVERY,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Upsert each batch into a versioned latest-state table.
+    """Upsert each batch into a latest-state table of ``buckets`` by the patient's hash.
 
-    Version ``n`` is the merge of the newest version before ``n`` with batch ``n``, so a
-    repeated batch writes the same version again and no path is read while overwritten.
+    A batch rewrites the buckets of its patients, to folders of its own, and manifest ``n`` names
+    each bucket's folder after batch ``n``. It is made from the newest manifest before ``n``, so a
+    repeated batch does the same again, and readers see the table before or after a batch. Folders
+    that neither the last two manifests name are removed. The number of buckets stays as it was
+    when the table was made.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _, before = manifest.newest(spark, root, below=batch_id)
+        bucket = F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int")
         arrived = alerts.latest_state(batch)
-        before = [v for v in _versions(spark, root) if v < batch_id]
-        if before:
-            current = spark.read.parquet(f"{root}/version={before[-1]}")
-            arrived = alerts.merge_latest(current, arrived)
-        arrived.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
-        for old in before[:-1]:
-            files.delete(spark, f"{root}/version={old}")
-
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]
+        if not touched:
+            return
+        stored = [f"{root}/{before[str(b)]}" for b in touched if str(b) in before]
+        if stored:
+            arrived = alerts.merge_latest(spark.read.parquet(*stored), arrived)
+        (
+            arrived.withColumn("bucket", bucket)
+            .repartition("bucket")
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{root}/batch={batch_id}")
+        )
+        after = before | {str(b): f"batch={batch_id}/bucket={b}" for b in touched}
+        manifest.put(spark, root, batch_id, after)
+        named = set(after.values()) | set(before.values())
+        for folder in [n for n in files.folders(spark, root) if n.startswith("batch=")]:
+            for own in files.folders(spark, f"{root}/{folder}"):
+                if int(folder[6:]) < batch_id and f"{folder}/{own}" not in named:
+                    files.delete(spark, f"{root}/{folder}/{own}")
+
+    files.create(vitals.sparkSession, root)
     writer = vitals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
@@ -173,31 +190,18 @@ def report_late(
     return triggered(writer, every).start()
 
 
-def _sender(send: Callable[[dict], None]):
-    def deliver(chunks):
-        for chunk in chunks:
-            errors = []
-            for message in chunk.to_dict("records"):
-                try:
-                    send(message)
-                    errors.append(None)
-                except Exception as exc:  # noqa: BLE001 - one message must not fail the others
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            out = chunk[["patient_id", "alert_id"]].copy()
-            out["delivered"] = [e is None for e in errors]
-            out["error"] = errors
-            yield out
-
-    return deliver
-
-
 _OUTCOME = "patient_id string, alert_id string, delivered boolean, error string"
 
 
-def send_messages(messages: DataFrame, send: Callable[[dict], None]) -> DataFrame:
-    """Hand every message to ``send`` on the executors; one outcome row per message."""
+def send_messages(
+    messages: DataFrame, send: Callable[[dict], None], claims: outbox.Claims
+) -> DataFrame:
+    """Hand every message to ``send`` on the executors, once; one outcome row per message.
+
+    ``claims`` decides who sends: a task that runs again finds what its first run claimed.
+    """
     return messages.select("patient_id", "alert_id", "subject", "body").mapInPandas(
-        _sender(send), _OUTCOME
+        outbox.sender(send, claims), _OUTCOME
     )
 
 
@@ -221,9 +225,13 @@ def deliver_alerts(
     ledger: str,
     checkpoint: str,
     every: str | None = "1 second",
+    claims: outbox.Claims | None = None,
 ) -> StreamingQuery:
     """Send pending alerts of a change feed and record each outcome.
 
+    Every message is claimed before it is sent (``sinks.outbox``), in a folder beside the ledger
+    unless other ``claims`` are given, so tasks and batches that run again send nothing twice.
+
     The ledger has a folder per day of the alerts' events and per batch. Keys delivered in
     earlier batches are left out before sending, for which only the ledger's days between the
     batch's first and last alert are read; failed ones stay eligible and are retried when the
@@ -244,7 +252,7 @@ def deliver_alerts(
             ["patient_id", "alert_id"]
         )
         (
-            send_messages(messages, send)
+            send_messages(messages, send, own_claims)
             .withColumn("delivered_at", F.when(F.col("delivered"), F.current_timestamp()))
             .join(days, ["patient_id", "alert_id"])
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -254,6 +262,7 @@ def deliver_alerts(
             .parquet(ledger)
         )
 
+    own_claims = claims or outbox.FolderClaims(f"{ledger.rstrip('/')}.claims")
     files.create(changes.sparkSession, ledger)
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()

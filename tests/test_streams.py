@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+import os
 from datetime import timedelta
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bedside_spark.operators import alerts, timeseries, windows
 from bedside_spark.schemas import READING
-from bedside_spark.sinks import streams, tables
+from bedside_spark.sinks import manifest, outbox, streams, tables
 from bedside_spark.sources import derived, readings
 from bedside_spark.streaming import jobs, keyed
 from tests.conftest import SMALL, START, at, rows
@@ -268,11 +270,78 @@ def test_upkeep_between_runs_of_a_stream(spark, arrivals, tmp_path):
     assert rows(found, *replayed.columns) == rows(replayed)
 
 
-def test_a_version_half_written_is_not_read(spark, arrivals, tmp_path):
-    path, source = arrivals
-    root = str(tmp_path / "latest")
-    stream = jobs.stream_events(stream_of(spark, path))
-    streams.keep_latest(stream, root, str(tmp_path / "c"), None).awaitTermination()
-    before = rows(streams.latest_table(spark, root))
-    (tmp_path / "latest" / "version=999").mkdir()
-    assert rows(streams.latest_table(spark, root)) == before
+def test_latest_state_rewrites_only_touched_buckets(spark, tmp_path):
+    root, source = str(tmp_path / "latest"), str(tmp_path / "in")
+
+    def run(patients, second):
+        data = [(f"P{p}", "b", at(second), None, 80.0 + second, 1.0, 1.0, 95.0, 1.0, 1.0, f"{second}-{p}") for p in patients]
+        spark.createDataFrame(data, READING).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.stream_events(spark.readStream.schema(READING).parquet(source))
+        streams.keep_latest(stream, root, str(tmp_path / "c"), None, buckets=8).awaitTermination()
+        return manifest.newest(spark, root)
+
+    first, folders = run(range(40), 1)
+    assert len(folders) == 8
+    second, after = run([3], 2)
+    assert second > first and sum(folders[b] != after[b] for b in after) == 1
+    got = dict(rows(streams.latest_table(spark, root), "patient_id", "heart_rate"))
+    assert got == {f"P{p}": 82.0 if p == 3 else 81.0 for p in range(40)}
+    # A batch that broke off leaves folders that no manifest names; it is made again as it was.
+    (tmp_path / "latest" / f"batch={second + 1}" / "bucket=0").mkdir(parents=True)
+    assert dict(rows(streams.latest_table(spark, root), "patient_id", "heart_rate")) == got
+    run([3, 4], 3)
+    run([5], 4)
+    assert not (tmp_path / "latest" / after["0"]).exists() or after["0"] in manifest.newest(spark, root)[1].values()
+    got = dict(rows(streams.latest_table(spark, root), "patient_id", "heart_rate"))
+    assert (got["P3"], got["P4"], got["P5"], len(got)) == (83.0, 83.0, 84.0, 40)
+
+
+def test_a_task_that_fails_after_sending_sends_nothing_twice(spark, tmp_path):
+    """The worker dies behind its third message; the batch is made again by the next run."""
+    box, feed = tmp_path / "box", tmp_path / "feed"
+    box.mkdir()
+
+    def send(message):
+        with open(box / message["alert_id"], "a") as file:
+            file.write("x")
+        if message["alert_id"] == "A-2" and not (box / "died").exists():
+            (box / "died").touch()
+            os._exit(1)
+
+    def image(n):
+        fields = {"patient_id": {"S": "P1"}, "alert_id": {"S": f"A-{n}"}, "rule": {"S": "r"},
+                  "event_ts": {"S": "2026-09-15T12:00:00Z"}, "sent": {"BOOL": "false"}}
+        return ("INSERT", json.dumps(fields))
+
+    given = spark.createDataFrame([image(n) for n in range(6)], "op string, image string")
+    given.coalesce(1).write.parquet(str(feed / "n=0"))
+
+    def run():
+        stream = spark.readStream.schema("op string, image string").parquet(f"{feed}/n=*")
+        claims = outbox.FolderClaims(str(tmp_path / "claims"), patience=0.1)
+        streams.deliver_alerts(
+            stream.withColumn("image", F.parse_json("image")), send, str(tmp_path / "ledger"),
+            str(tmp_path / "c"), None, claims,
+        ).awaitTermination()
+
+    with pytest.raises(Exception):
+        run()
+    assert (box / "died").exists()
+    run()
+    ledger = spark.read.parquet(str(tmp_path / "ledger")).collect()
+    assert {p.name: p.read_text() for p in box.iterdir() if p.name != "died"} == {f"A-{n}": "x" for n in range(6)}
+    told = {r.alert_id: (r.delivered, r.error) for r in ledger}
+    assert told.pop("A-2") == (False, outbox.UNCONFIRMED)
+    assert told == {f"A-{n}": (True, None) for n in (0, 1, 3, 4, 5)}
+
+
+def test_claims(tmp_path):
+    claims = outbox.FolderClaims(f"file://{tmp_path}/c", patience=0.0)
+    assert [claims.claim("a"), claims.claim("a")] == [outbox.FREE, outbox.OPEN]
+    claims.sent("a")
+    assert claims.claim("a") == outbox.SENT
+    assert claims.claim("b") == outbox.FREE
+    claims.release("b")
+    assert claims.claim("b") == outbox.FREE
+    with pytest.raises(ValueError):
+        outbox.FolderClaims("s3://bucket/c")
