@@ -169,18 +169,58 @@ def running(
     return joined.select(*df.columns, *[col.alias(name) for name, col in merged.items()])
 
 
+#: Bins of values in each doubling of their size.
+_BINS = 4096
+
+
+def value_bin(value: Column) -> Column:
+    """A number that never falls as a value rises, the same for neighbours within 1 / 4096.
+
+    Values of one bin lie together in the order, and however many values a key has, a doubling of
+    their size has at most ``_BINS`` bins. Unknown values have none.
+    """
+    size = F.abs(value.cast("double"))
+    # Doubles lie between 2^-1075 and 2^1024.
+    level = F.floor((F.log2(size) + 1080) * _BINS).cast("bigint")
+    special = F.when(F.isnan(value.cast("double")) | (size == F.lit(float("inf"))), F.lit(1 << 40))
+    level = F.when(size == 0, F.lit(0)).otherwise(F.coalesce(special, level))
+    return F.when(value.cast("double") < 0, -level).otherwise(level)
+
+
 def distinct_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True):
     """RANK and DENSE_RANK per distinct value, from counts instead of rows.
 
-    The counting aggregate shrinks on the map side; only distinct values are ordered.
+    The counting aggregate shrinks on the map side. A key's distinct values are ordered bin by bin
+    (:func:`value_bin`), and what the bins ahead hold is added, so a task orders the values of one
+    bin, or the bins of one key, but never all values of a key.
     """
+
+    def order(column: str) -> Column:
+        return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
+
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_rows"))
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    ordered = Window.partitionBy(*by).orderBy(order)
-    ahead = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
+    counts = counts.withColumn("_bin", value_bin(F.col(value)))
+    bins = counts.groupBy(*by, "_bin").agg(
+        F.sum("_rows").alias("_bin_rows"), F.count("*").alias("_bin_values")
+    )
+    before = Window.partitionBy(*by).orderBy(order("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(
+        *[F.col(c).alias(f"_of_{c}") for c in by],
+        F.col("_bin").alias("_of_bin"),
+        F.coalesce(F.sum("_bin_rows").over(before), F.lit(0)).alias("_rows_ahead"),
+        F.coalesce(F.sum("_bin_values").over(before), F.lit(0)).alias("_values_ahead"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+    same.append(F.col("_bin").eqNullSafe(F.col("_of_bin")))
+    inside = Window.partitionBy(*by, "_bin").orderBy(order(value))
+    ahead = inside.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumns({
+        "_here": F.coalesce(F.sum("_rows").over(ahead), F.lit(0)),
+        "_nth": F.row_number().over(inside),
+    }).join(bins, same)
+    return ranked.select(
         *by,
         value,
-        (F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) + 1).cast("bigint").alias("_rank"),
-        F.row_number().over(ordered).cast("bigint").alias("_dense_rank"),
+        (F.col("_rows_ahead") + F.col("_here") + 1).cast("bigint").alias("_rank"),
+        (F.col("_values_ahead") + F.col("_nth")).cast("bigint").alias("_dense_rank"),
     )

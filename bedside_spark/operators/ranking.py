@@ -56,21 +56,35 @@ def top_heart_rates(vitals: DataFrame, depth: int = 3) -> DataFrame:
 def heart_rate_ntiles(vitals: DataFrame, buckets: int = 10) -> DataFrame:
     """NTILE of every reading among its patient's by heart rate, unknown rates last.
 
-    Readings of one rate are numbered by time and trace id within that rate only; the number
-    within the patient adds the counts of lower rates. So a task orders the readings of one
-    patient and rate, never all of a patient.
+    Readings of one rate and day are numbered by time and trace id; the number within the patient
+    adds the counts of earlier days with that rate and of lower rates. So a task orders the
+    readings of one patient, rate and day, never all of a patient or of a rate.
     """
-    rate = F.col("heart_rate")
+    rate, day = F.col("heart_rate"), F.to_date("event_time")
     below = distinct_ranks(vitals, "heart_rate", by=["patient_id"], descending=False).select(
         F.col("patient_id").alias("_patient"), rate.alias("_value"), F.col("_rank")
     )
     sizes = vitals.groupBy(F.col("patient_id").alias("_owner")).agg(F.count("*").alias("_n"))
-    tie = Window.partitionBy("patient_id", "heart_rate").orderBy("event_time", "trace_id")
-    numbered = (
-        vitals.select("patient_id", "event_time", "trace_id", "heart_rate")
-        .withColumn("_tie", F.row_number().over(tie))
+    daily = vitals.groupBy("patient_id", "heart_rate", day.alias("_day")).agg(F.count("*").alias("_same"))
+    before = Window.partitionBy("patient_id", "heart_rate").orderBy("_day")
+    earlier = F.sum("_same").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    daily = (
+        daily.withColumn("_earlier", F.coalesce(earlier, F.lit(0)))
         .join(below, (F.col("patient_id") == F.col("_patient")) & rate.eqNullSafe(F.col("_value")))
         .join(sizes, F.col("patient_id") == F.col("_owner"))
+        .select("_patient", "_value", F.col("_day").alias("_on"), "_earlier", "_rank", "_n")
+    )
+    tie = Window.partitionBy("patient_id", "heart_rate", "_day").orderBy("event_time", "trace_id")
+    numbered = (
+        vitals.select("patient_id", "event_time", "trace_id", "heart_rate", day.alias("_day"))
+        .withColumn("_tie", F.row_number().over(tie))
+        .join(
+            daily,
+            (F.col("patient_id") == F.col("_patient"))
+            & rate.eqNullSafe(F.col("_value"))
+            & F.col("_day").eqNullSafe(F.col("_on")),
+        )
+        .withColumn("_tie", F.col("_tie") + F.col("_earlier"))
         .withColumn("_row", F.col("_rank") + F.col("_tie") - 1)
         .withColumn("_small", F.floor(F.col("_n") / F.lit(buckets)))
         .withColumn("_long", F.col("_n") % buckets)

@@ -92,3 +92,41 @@ def test_dense_rank_matches_window(skewed):
 def test_late_readings_join_no_constant(skewed):
     plan = upkeep.late_readings(skewed)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_ranks_of_many_values_in_one_key(spark):
+    """Ranks from bins equal the plain window for values of all sizes, ties and unknown ones."""
+    import random
+
+    from pyspark.sql import Window
+
+    from bedside_spark.operators.ordered import distinct_ranks
+
+    rng = random.Random(2)
+    values = [rng.gauss(80, 20) for _ in range(2000)] + [float(rng.randrange(60, 70)) for _ in range(1000)]
+    values += [rng.choice((-1, 1)) * 10 ** rng.uniform(-320, 308) for _ in range(500)]
+    values += [0.0, -0.0, None, None, float("nan"), float("inf"), float("-inf"), 5e-324, -5e-324, 1.7e308]
+    keys = [rng.choice(("hot", "hot", "a", None)) for _ in values]
+    df = spark.createDataFrame(list(zip(keys, values)), "k string, v double")
+    for descending in (True, False):
+        order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+        plain = Window.partitionBy("k").orderBy(order)
+        expected = df.select("k", "v", F.rank().over(plain).alias("r"), F.dense_rank().over(plain).alias("d"))
+        got = distinct_ranks(df, "v", by=["k"], descending=descending)
+        assert list(map(repr, rows(got))) == list(map(repr, rows(expected.distinct())))
+
+
+def test_no_task_orders_a_patient(spark):
+    import re
+
+    from bedside_spark.operators import ranking
+    from bedside_spark.sources import derived
+
+    vitals = derived.readings(spark, "/root/testdata/sf0.001")
+    for frame in (ranking.heart_rate_ntiles(vitals), ranking.dense_rank_heart_rates(vitals)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        # Windows by patient alone run over bins, and those by patient and rate over days.
+        for line in (x for x in plan.splitlines() if re.search(r"\+- Window|^Window", x)):
+            by = re.findall(r"\[([^\[\]]*)\], \[[^\[\]]*\]$", line)[0]
+            if "_bin" not in by and "_day" not in by:
+                assert "_bin_rows" in line or "_same" in line, line
