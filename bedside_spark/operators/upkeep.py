@@ -24,44 +24,50 @@ def dedup_readings(vitals: DataFrame) -> DataFrame:
     )
 
 
-def late_readings(
+def with_lateness(
     vitals: DataFrame,
     window_seconds: int = 60,
     delay_seconds: int = 10,
     span_seconds: int = 60,
+    before: int | None = None,
 ) -> DataFrame:
-    """Readings whose window was already closed when they arrived.
+    """Readings with ``seconds_late``: how long their window was closed when they arrived, or null.
 
     The watermark before a reading is the greatest event time that arrived earlier, less the
     delay. That running maximum has no key, so it is taken inside spans of the arrival time, and
     what the spans before hold is added: one row per span is ordered globally, never readings.
+    ``before`` is the greatest event time, in microseconds, that arrived before all of these.
     """
     width, span = window_seconds * 1_000_000, span_seconds * 1_000_000
-    readings = vitals.select(
-        "patient_id",
-        "event_time",
-        "ingestion_time",
-        "trace_id",
-        F.floor(micros("ingestion_time") / F.lit(span)).alias("_span"),
-    )
+    readings = vitals.withColumn("_span", F.floor(micros("ingestion_time") / F.lit(span)))
     earlier = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     spans = readings.groupBy("_span").agg(F.max(micros("event_time")).alias("_newest"))
     carries = spans.select("_span", F.max("_newest").over(earlier).alias("_carry"))
     inside = Window.partitionBy("_span").orderBy("ingestion_time", "trace_id")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     seen = readings.withColumn("_inside", F.max(micros("event_time")).over(inside))
-    newest = F.greatest("_inside", "_carry")
+    newest = F.greatest("_inside", "_carry", F.lit(before).cast("bigint"))
     closes = (F.floor(micros("event_time") / width) + 1) * width
-    watermark = newest - delay_seconds * 1_000_000
-    return seen.join(carries, "_span").where(closes <= watermark).select(
-        "patient_id",
-        "event_time",
-        "ingestion_time",
-        "trace_id",
-        ((watermark - closes) / F.lit(1e6)).alias("seconds_late"),
+    late = newest - delay_seconds * 1_000_000 - closes
+    return (
+        seen.join(carries, "_span")
+        .withColumn("seconds_late", F.when(late >= 0, late / F.lit(1e6)))
+        .select(*vitals.columns, "seconds_late")
     )
 
 
+def late_readings(
+    vitals: DataFrame,
+    window_seconds: int = 60,
+    delay_seconds: int = 10,
+    span_seconds: int = 60,
+) -> DataFrame:
+    """Readings whose window was already closed when they arrived."""
+    readings = vitals.select("patient_id", "event_time", "ingestion_time", "trace_id")
+    judged = with_lateness(readings, window_seconds, delay_seconds, span_seconds)
+    return judged.where("seconds_late is not null")
+
+
 def apply_retention(
     df: DataFrame, time: str, as_of: datetime | Column, days: int
 ) -> DataFrame:

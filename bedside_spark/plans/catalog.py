@@ -26,6 +26,7 @@ from bedside_spark.operators import (
     windows,
 )
 from bedside_spark.plans import data
+from bedside_spark.schemas import READING
 from bedside_spark.session import work_folder
 from bedside_spark.sinks import streams, tables
 from bedside_spark.sources import derived, readings
@@ -764,6 +765,25 @@ def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.table_counts(**{n: spark.read.parquet(f"{folder}/{n}") for n in names})
 
 
+@query
+def stream_late_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """The side output of late readings of a stream that is stopped and goes on twice."""
+    folder = work_folder(spark, "late")
+    source = derived.declared(READING, derived.readings(spark, sf))
+    day = F.to_date("ingestion_time")
+    first, last = source.agg(F.min(day), F.max(day)).first()
+    third = (last - first) / 3
+    early, late_from = F.lit(first + third), F.lit(first + 2 * third)
+    for n, part in enumerate((day < early, (day >= early) & (day < late_from), day >= late_from)):
+        source.where(part).write.parquet(f"{folder}/in/n={n}")
+        stream = spark.readStream.schema(READING).parquet(f"{folder}/in/n=*")
+        streams.split_late(
+            stream, f"{folder}/t", f"{folder}/late", f"{folder}/marks", f"{folder}/c", every=None
+        ).awaitTermination()
+    late = spark.read.parquet(f"{folder}/late").drop("batch_id")
+    return untimed(late.select("patient_id", "event_time", "ingestion_time", "trace_id", "seconds_late"))
+
+
 @query
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
     people = derived.patients(spark, sf).select("patient_id", "gender", "state")

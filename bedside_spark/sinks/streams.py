@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bedside_spark.functions.timekit import micros
-from bedside_spark.operators import alerts, ingest
+from bedside_spark.operators import alerts, ingest, upkeep
 from bedside_spark.sinks import files, manifest, outbox, tables
 
 COMMIT_EVERY = "10 seconds"
@@ -157,6 +157,43 @@ def keep_latest(
     return triggered(writer, every).start()
 
 
+def split_late(
+    vitals: DataFrame,
+    path: str,
+    late_path: str,
+    marks: str,
+    checkpoint: str,
+    window_seconds: int = 60,
+    delay_seconds: int = 10,
+    every: str | None = COMMIT_EVERY,
+) -> StreamingQuery:
+    """Append readings that came in time to a day table, and late ones to a side output.
+
+    Each reading is judged by the newest event time of all that arrived before it: in its own
+    batch by order of arrival, and in earlier batches, of which each leaves its newest event time
+    in ``marks``. Batches must follow the order of arrival. All three outputs are keyed by batch
+    id, so a batch that is tried again replaces its own.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.read.schema("newest bigint, batch_id bigint").parquet(marks)
+        before = earlier.where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        judged = upkeep.with_lateness(batch, window_seconds, delay_seconds, before=before)
+        in_time = judged.where("seconds_late is null").drop("seconds_late")
+        tables.write_days(in_time, "event_time", path, "overwrite", batch_id)
+        late = judged.where("seconds_late is not null")
+        late.write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
+        batch.agg(F.max(micros("event_time")).alias("newest")).write.mode("overwrite").parquet(
+            f"{marks}/batch_id={batch_id}"
+        )
+
+    for folder in (path, late_path, marks):
+        files.create(vitals.sparkSession, folder)
+    writer = vitals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
+
+
 def report_late(
     vitals: DataFrame,
     path: str,

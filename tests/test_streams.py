@@ -219,6 +219,24 @@ def test_late_report(spark, arrivals, tmp_path):
     assert expected
 
 
+def test_late_side_output(spark, arrivals, tmp_path):
+    """Rows of batches in order of arrival are split as a loop over all of them splits them."""
+    path, source = arrivals
+    out = [str(tmp_path / n) for n in ("t", "late", "marks", "c")]
+    for _ in range(2):
+        streams.split_late(stream_of(spark, path), *out, every=None).awaitTermination()
+    expected, newest = {}, None
+    for row in sorted(source.collect(), key=lambda r: (r.ingestion_time, r.trace_id)):
+        closes = row.event_time.replace(second=0, microsecond=0) + timedelta(minutes=1)
+        late = newest is not None and closes <= newest - timedelta(seconds=10)
+        expected[row.trace_id] = (newest - timedelta(seconds=10) - closes).total_seconds() if late else None
+        newest = max(newest, row.event_time) if newest else row.event_time
+    late = dict(rows(spark.read.parquet(out[1]), "trace_id", "seconds_late"))
+    assert late == {k: v for k, v in expected.items() if v is not None} and late
+    in_time = [r[0] for r in rows(tables.read_days(spark, out[0]), "trace_id")]
+    assert in_time == sorted(k for k, v in expected.items() if v is None)
+
+
 def test_a_restart_keeps_what_arrived_meanwhile(spark, tmp_path):
     (tmp_path / "in").mkdir()
     source, mark = str(tmp_path / "in"), str(tmp_path / "mark")
