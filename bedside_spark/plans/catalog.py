@@ -352,12 +352,24 @@ def vitals_features(spark: SparkSession, sf: str) -> DataFrame:
         slope_seconds=DAY,
         average_seconds=DAY,
     )
+    return _measured(table)
+
+
+def _measured(table: DataFrame) -> DataFrame:
     measured = ("avg_hr", "hr_p95", "hr_std", "avg_spo2", "rolling_avg_hr_1h")
     return table.withColumns(
         {**{c: rounded(c, 4) for c in measured}, "slope_hr_15m": rounded("slope_hr_15m", 6)}
     )
 
 
+@query
+def vitals_features_1m(spark: SparkSession, sf: str) -> DataFrame:
+    """The features as specified: minute windows, slope of 15 minutes, average of one hour."""
+    vitals = data.vitals(spark, sf)
+    people, split = derived.patients(spark, sf), features.split_by_patient(vitals)
+    return _measured(features.vitals_features(vitals, people, split))
+
+
 @query
 def ops_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
     records = derived.raw_payloads(spark, sf, "ingestion_time")
@@ -624,7 +636,7 @@ def feature_export(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "export")
     vitals, people = data.vitals(spark, sf), derived.patients(spark, sf)
     split = features.split_by_patient(vitals)
-    table = features.vitals_features(vitals, people, split, size="1 hour")
+    table = features.vitals_features(vitals, people, split, "1 hour", DAY, DAY)
     for _ in range(2):
         tables.export_features(table, folder, EXPORT_DATE)
     return spark.read.parquet(folder).groupBy(
