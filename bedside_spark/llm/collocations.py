@@ -7,16 +7,15 @@ cycle of shards. Lengths are therefore interleaved: one scan counts words, and a
 triples and fours of what is known to be frequent. Scans end when every active phrase has seen
 all shards. Each phrase that occurs often enough has frequent subphrases, so none is missed.
 
-What a scan must know is a sketch per length: by a phrase's hash, the latest step at which a
-phrase hashing there became frequent. A phrase is active if both subphrases have an entry and the
-later of the two is less than a cycle old. Phrases that meet by hash only let more phrases be
-counted, never fewer: a step counts each phrase it takes in all of its shard, and a phrase counted
-in a shard before is taken out by a join, so sums are exact. The sketch is bounded by
-``MAX_CELLS`` bytes per length; beyond its capacity it lets more phrases through, with the same
-result.
+What the scans count and must know is a sketch per length: counters by a phrase's hash, and for
+each the step at which it reached the threshold. A step sends counters only. Phrases that meet by
+hash are counted together, so counters are upper bounds: more phrases may be active, and earlier,
+never fewer. After the last cycle one more scan counts exactly, by their words, the phrases whose
+counter reached the threshold. The sketch is bounded by ``MAX_CELLS`` bytes per length, counters
+stop at the threshold; beyond its capacity it lets more phrases through, with the same result.
 
-Counts are exact: words are numbered by a dictionary, phrases by pairs of numbers, and summed by
-their words. A batch is counted before it is shuffled, so a word of every line is one row a batch.
+Exact counts number words by a dictionary and phrases by pairs of numbers. A task counts its texts
+before it sends anything, so a word of every line is a row per task.
 
 Defined results: a null or empty text has no words; a null language counts as ``und``; repeated rows
 count again; other columns are not read; an empty table gives an empty result.
@@ -26,7 +25,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bedside_spark.llm.arrays import LOWER, byte_table, document_bytes, mixed, parted, slices, words_of
-from bedside_spark.llm.frames import checkpointed, table, text_bytes
+from bedside_spark.llm.frames import checkpointed, table, text_bytes, written
 from bedside_spark.session import work_folder
 
 LONGEST = 4
@@ -49,214 +47,272 @@ SCORE_SCALE = 2_000_000
 SHARDS = 4
 #: Bytes of the sketch of one length, and of text counted at once.
 MAX_CELLS = 1 << 24
-PART_BYTES = 4 << 20
-_BLOCK_BITS = 20
+PART_BYTES = 2 << 20
+#: Counters that travel together, and rows that a task holds before it sums and writes them.
+_BLOCK = 1 << 20
+_HELD = 500_000
 
 _SPLIT = byte_table(b".,;:!?\n\v\f\r")
 _WORD = ~(_SPLIT | byte_table(b" \t"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-# ---- hashes and the sketch ----------------------------------------------------------------
+# ---- the sketch ---------------------------------------------------------------------------
 
 
-def _word_hashes(langs: list[str], words: list[bytes]) -> np.ndarray:
-    salts = {lang: xxhash.xxh3_64_intdigest(lang.encode()) for lang in set(langs)}
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(w, salts[lang]) for lang, w in zip(langs, words)], np.uint64)
+def cells_for(words: int, threshold: int) -> int:
+    """A power of two, four for every word that can be frequent, within the bound."""
+    return min(MAX_CELLS, 1 << max(16, (4 * words // threshold).bit_length()))
 
 
-def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hashes of phrases from those without the last word and that word's."""
-    return mixed(hashes * _STEP + last)
+def _added(counts: np.ndarray, more: np.ndarray, most: int) -> np.ndarray:
+    """Sums of counters that stop at ``most``."""
+    return np.minimum(counts.astype(np.int64) + more, most).astype(counts.dtype)
 
 
 class Sketch:
-    """For each length, the latest step (from 1) at which a phrase with that hash grew frequent."""
+    """Counters of phrases by length and hash, and the steps (from 1) at which they were full."""
 
-    def __init__(self, cells: int, longest: int = LONGEST):
-        self.cells = cells
+    def __init__(self, cells: int, threshold: int, longest: int):
+        self.cells, self.threshold = cells, threshold
+        self.dtype = np.dtype(np.uint8 if threshold < 256 else np.uint32)
+        self.counts = {k: np.zeros(cells, self.dtype) for k in range(1, longest + 1)}
         self.steps = {k: np.zeros(cells, np.uint8) for k in range(1, longest)}
 
-    def at(self, k: int, hashes: np.ndarray) -> np.ndarray:
-        return self.steps[k][(hashes & np.uint64(self.cells - 1)).astype(np.int64)]
-
-    def packed(self) -> tuple:
+    def packed_steps(self) -> tuple:
         return self.cells, {k: zlib.compress(v.tobytes(), 1) for k, v in self.steps.items()}
 
-    @classmethod
-    def unpacked(cls, body: tuple) -> Sketch:
-        made = cls(body[0], 1)
-        made.steps = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in body[1].items()}
-        return made
+    def full(self) -> dict[int, bytes]:
+        return {k: zlib.compress(np.packbits(v >= self.threshold).tobytes(), 1) for k, v in self.counts.items()}
 
+    def add(self, pieces: DataFrame, step: int) -> set[int]:
+        """Add the counters of a step's tasks; the lengths of which some grew full."""
+        grown = set()
+        sums = (
+            pieces.repartition("k", "block")
+            .sortWithinPartitions("k", "block")
+            .mapInArrow(_merged(self.dtype, self.threshold), "k int, block int, counts binary")
+        )
+        width = min(self.cells, _BLOCK)
+        for r in sums.toLocalIterator():
+            own = slice(r.block * width, (r.block + 1) * width)
+            counts = self.counts[r.k][own]
+            counts[:] = _added(counts, np.frombuffer(zlib.decompress(r.counts), self.dtype), self.threshold)
+            if r.k in self.steps:
+                steps = self.steps[r.k][own]
+                new = (counts >= self.threshold) & (steps == 0)
+                steps[new] = step + 1
+                grown |= {r.k} if new.any() else set()
+        return grown
 
-def cells_for(words: int, threshold: int) -> int:
-    """A power of two, sixteen for every word that can be frequent, within the bound."""
-    return min(MAX_CELLS, 1 << max(16, (16 * words // threshold).bit_length()))
 
+class Activity:
+    """The steps of a sketch, as tasks read them."""
 
-def _cells(cells: int):
-    """(k, cell) of frequent phrases."""
+    def __init__(self, packed: tuple):
+        self.cells, bodies = packed
+        self.steps = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in bodies.items()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, phrases = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            found = np.zeros(len(langs), np.uint64)
-            k = np.asarray(batch.column(1))
-            for size in np.unique(k).tolist():
-                own = np.flatnonzero(k == size)
-                parts = list(zip(*(phrases[i].encode().split(b" ") for i in own)))
-                hashes = [_word_hashes([langs[i] for i in own], part) for part in parts]
-                found[own] = reduce(_longer, hashes)
-            cell = (found & np.uint64(cells - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(cell)], names=["k", "cell"])
+    def cell(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(self.cells - 1)).astype(np.int32)
 
-    return run
+    def at(self, k: int, hashes: np.ndarray) -> np.ndarray:
+        return self.steps[k][self.cell(hashes)]
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k, block, bits) from rows sorted by length and cell; holds one block."""
-    current, bits = None, np.zeros(1 << _BLOCK_BITS, bool)
+def _block_row(k: int, block: int, counts: np.ndarray) -> pa.RecordBatch:
+    body = zlib.compress(counts.tobytes(), 1)
+    types = (pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v], t) for v, t in zip((k, block, body), types)], names=["k", "block", "counts"]
+    )
 
-    def flush() -> pa.RecordBatch:
-        body = zlib.compress(np.packbits(bits).tobytes(), 1)
-        bits[:] = False
-        return pa.RecordBatch.from_arrays(
-            [pa.array([c], t) for c, t in zip((*current, body), (pa.int32(), pa.int64(), pa.binary()))],
-            names=["k", "block", "bits"],
-        )
 
-    for batch in batches:
-        k, cell = (np.asarray(c) for c in batch.columns)
-        block = cell >> _BLOCK_BITS
-        cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (block[1:] != block[:-1])]) if len(k) else []
-        for a, b in zip(cut, [*cut[1:], len(k)]):
-            if current != (k[a], block[a]):
-                if current:
-                    yield flush()
-                current = (k[a], block[a])
-            bits[cell[a:b] & ((1 << _BLOCK_BITS) - 1)] = True
-    if current:
-        yield flush()
-
-
-def _enter(sketch: Sketch, grown: DataFrame, step: int) -> set[int]:
-    """Enter the phrases that became frequent; their lengths. The driver gets a bit per cell."""
-    cells = grown.select("lang", "k", "phrase").mapInArrow(_cells(sketch.cells), "k int, cell long")
-    rows = (
-        cells.distinct()
-        .repartition("k", F.shiftright("cell", _BLOCK_BITS))
-        .sortWithinPartitions("k", "cell")
-        .mapInArrow(_bits, "k int, block long, bits binary")
-        .collect()
-    )
-    for r in rows:
-        bits = np.unpackbits(np.frombuffer(zlib.decompress(r.bits), np.uint8))
-        cell = np.flatnonzero(bits) + (r.block << _BLOCK_BITS)
-        sketch.steps[r.k][cell] = step + 1
-    return {r.k for r in rows}
+class _Counters:
+    """A task's counters: one array per length, given out block by block."""
 
+    def __init__(self, cells: int, dtype: np.dtype, most: int):
+        self.cells, self.dtype, self.most = cells, dtype, most
+        self.held: dict[int, np.ndarray] = {}
 
-# ---- counting a shard ---------------------------------------------------------------------
+    def count(self, k: int, cell: np.ndarray) -> None:
+        counts = self.held.setdefault(k, np.zeros(self.cells, self.dtype))
+        at, n = np.unique(cell, return_counts=True)
+        counts[at] = _added(counts[at], n, self.most)
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        for k, counts in self.held.items():
+            for block, part in enumerate(counts.reshape(-1, min(self.cells, _BLOCK))):
+                if part.any():
+                    yield _block_row(k, block, part)
 
 
-def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(the different codes, index of each code among them); all codes are below ``size``."""
-    if size > 4 * len(codes) + 1024:
-        return np.unique(codes, return_inverse=True)
-    used = np.zeros(size, bool)
-    used[codes] = True
-    return np.flatnonzero(used), (np.cumsum(used) - 1)[codes]
+def _merged(dtype: np.dtype, most: int):
+    """Sums of blocks, which arrive sorted; holds one block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, counts = None, None
+        for batch in batches:
+            for k, block, body in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(zlib.decompress(body), dtype)
+                if current == (k, block):
+                    counts = _added(counts, part, most)
+                else:
+                    if current:
+                        yield _block_row(*current, counts)
+                    current, counts = (k, block), part
+        if current:
+            yield _block_row(*current, counts)
+
+    return run
+
+
+# ---- counting a shard ---------------------------------------------------------------------
 
 
 class _Part:
-    """The words of some texts: numbers, hashes and pieces, and phrases counted over them."""
+    """The words of some texts: their hashes and pieces, and phrases counted over them."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, names: list[str]):
-        words = words_of(data, offsets, _WORD)
-        self.n, self.names = len(words.starts), names
-        lengths = words.ends - words.starts
-        bounds = np.r_[0, np.cumsum(lengths)].astype(np.int32)
-        body = np.ascontiguousarray(words.data[_WORD[words.data]])
-        column = pa.Array.from_buffers(
-            pa.binary(), self.n, [None, pa.py_buffer(bounds), pa.py_buffer(body)]
-        ).dictionary_encode()
-        part = np.repeat(np.arange(len(offsets) - 1), words.counts)
+        self.words, self.names = words_of(data, offsets, _WORD), names
+        self.n = len(self.words.starts)
+        part = np.repeat(np.arange(len(offsets) - 1), self.words.counts)
         #: Equal for words of one piece of one text.
-        self.piece = np.cumsum(_SPLIT[words.data])[words.starts] + part if self.n else part
-        spread = len(column.dictionary)
-        codes, self.number = _dense(
-            langs[part] * spread + column.indices.to_numpy(), len(names) * spread
-        )
-        self.lang, self.word = codes // max(spread, 1), column.dictionary.take(codes % max(spread, 1))
-        own = _word_hashes([names[i] for i in self.lang.tolist()], self.word.to_pylist())
-        self.hashes = {1: own[self.number]}
+        self.piece = np.cumsum(_SPLIT[data])[self.words.starts] + part if self.n else part
+        self.lang = langs[part]
+        salts = np.array([xxhash.xxh3_64_intdigest(n.encode()) for n in names], np.uint64)
+        self.hashes = {1: mixed(self.words.hashes() + salts[self.lang])}
 
     def _hashes(self, k: int) -> np.ndarray:
         if k not in self.hashes:
-            before = self._hashes(k - 1)
-            self.hashes[k] = _longer(before[:-1], self.hashes[1][k - 1 :])
+            self.hashes[k] = mixed(self._hashes(k - 1)[:-1] * _STEP + self.hashes[1][k - 1 :])
         return self.hashes[k]
 
-    def active(self, k: int, sketch: Sketch, step: int, cycle: int) -> np.ndarray:
+    def active(self, k: int, activity: Activity, step: int, cycle: int) -> np.ndarray:
         """Places where a phrase of ``k`` words begins that is to be counted at ``step``."""
         if self.n < k:
             return np.zeros(0, np.int64)
-        places = np.flatnonzero(self.piece[: self.n - k + 1] == self.piece[k - 1 :])
+        inside = self.piece[: self.n - k + 1] == self.piece[k - 1 :]
         if k == 1:
-            return places
-        steps = sketch.at(k - 1, self._hashes(k - 1))
-        first, second = steps[places], steps[places + 1]
+            return np.flatnonzero(inside)
+        steps = activity.at(k - 1, self._hashes(k - 1))
+        first, second = steps[:-1], steps[1:]
         recent = np.maximum(first, second) > step - cycle
-        return places[(first > 0) & (second > 0) & recent]
-
-    def counts(self, k: int, places: np.ndarray) -> pa.RecordBatch:
-        """(lang, k, phrase, n) of the phrases at ``places``."""
-        size = len(self.word)
-        # Phrases are numbered exactly, pair by pair: (first half, second half), each a number.
-        numbers = [(self.number[places + i], size) for i in range(k)]
-        members = [np.arange(size)[:, None]] * k
-        while len(numbers) > 1:
-            (a, _), (b, wide) = numbers[0], numbers[1]
-            codes, both = np.unique(a * wide + b, return_inverse=True)
-            joined = np.hstack([members[0][codes // wide], members[1][codes % wide]])
-            numbers = [(both, len(codes)), *numbers[2:]]
-            members = [joined, *members[2:]]
-        n = np.bincount(numbers[0][0], minlength=numbers[0][1])
-        used = np.flatnonzero(n)
-        words = members[0][used]
-        phrase = pc.binary_join_element_wise(
-            *(self.word.take(pa.array(words[:, i])) for i in range(k)), pa.scalar(b" ", pa.binary())
-        )
-        lang = pa.array(self.names, pa.string()).take(pa.array(self.lang[words[:, 0]]))
-        return pa.RecordBatch.from_arrays(
-            [lang, pa.array(np.full(len(used), k, np.int32)), phrase.cast(pa.string()), pa.array(n[used])],
-            names=["lang", "k", "phrase", "n"],
-        )
+        return np.flatnonzero(inside & (first > 0) & (second > 0) & recent)
 
+    def full(self, k: int, cells: int, bits: np.ndarray) -> np.ndarray:
+        """Places where a phrase of ``k`` words begins whose counter is full."""
+        if self.n < k:
+            return np.zeros(0, np.int64)
+        cell = (self._hashes(k) & np.uint64(cells - 1)).astype(np.int64)
+        set_ = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
+        return np.flatnonzero((self.piece[: self.n - k + 1] == self.piece[k - 1 :]) & (set_ == 1))
+
+    def sizes(self) -> pa.RecordBatch:
+        """The number of words of each language, as a phrase of no words."""
+        n = np.bincount(self.lang, minlength=len(self.names))
+        rows = (self.names, [0] * len(n), [""] * len(n), n)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _COUNTED)], schema=_COUNTED)
+
+    def counts(self, places: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """(lang, k, phrase, n) of the phrases of each length that begin at its places."""
+        used = np.zeros(self.n + 1, bool)
+        for k, own in places.items():
+            for i in range(k):
+                used[own + i] = True
+        chosen = np.flatnonzero(used)
+        lengths = (self.words.ends - self.words.starts)[chosen]
+        bounds = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+        body = self.words.data[np.repeat(self.words.starts[chosen] - bounds[:-1], lengths) + np.arange(bounds[-1])]
+        column = pa.Array.from_buffers(
+            pa.binary(), len(chosen), [None, pa.py_buffer(bounds), pa.py_buffer(body)]
+        ).dictionary_encode()
+        number = np.zeros(self.n + 1, np.int64)
+        number[chosen] = column.indices.to_numpy()
+        names, size = pa.array(self.names, pa.string()), len(column.dictionary)
+        for k, own in places.items():
+            # Phrases are numbered exactly, word by word, from the language on.
+            codes, wide = self.lang[own].astype(np.int64), len(self.names)
+            for i in range(k):
+                codes, back, n = np.unique(
+                    codes * size + number[own + i], return_inverse=True, return_counts=True
+                )
+                codes, wide = back, len(codes)
+            at = np.zeros(wide, np.int64)
+            at[codes] = own
+            words = [column.dictionary.take(pa.array(number[at + i])) for i in range(k)]
+            phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
+            columns = [
+                names.take(pa.array(self.lang[at])), pa.array(np.full(wide, k, np.int32)),
+                phrase.cast(pa.string()), pa.array(n),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=list(_COUNTED.names))
+
+
+_COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+_COUNTED_SQL = "lang string, k int, phrase string, n long"
+
+
+def _summed(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if len(parts) < 2:
+        return parts
+    table = pa.Table.from_batches(parts, _COUNTED)
+    sums = table.group_by(["lang", "k", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    sums = sums.rename_columns({"n_sum": "n"}).select(_COUNTED.names)
+    return sums.combine_chunks().to_batches(max_chunksize=100_000)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Part]:
+    """The texts of (lang, body) batches in parts of about ``most`` bytes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        langs = batch.column(0).dictionary_encode()
+        names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+        data, offsets = document_bytes(batch.column(1))
+        parts, owner = parted(data, offsets, lambda part: _SPLIT[part], most)
+        for a, b in slices(parts, most):
+            bounds = parts[a : b + 1]
+            lower = LOWER[data[bounds[0] : bounds[-1]]]
+            yield _Part(lower, bounds - bounds[0], codes[owner[a:b]], names)
 
-_COUNTS = "lang string, k int, phrase string, n long"
 
+def _scan(lengths: list[int], shared, step: int, cycle: int, most: int, dtype: np.dtype, threshold: int):
+    """Counters of the phrases of a shard that are active at ``step``."""
 
-def _scan(lengths: list[int], shared, step: int, cycle: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch.unpacked(shared.value)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            langs = batch.column(0).dictionary_encode()
-            names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-            data, offsets = document_bytes(batch.column(1))
-            parts, owner = parted(data, offsets, lambda part: _SPLIT[part], most)
-            for a, b in slices(parts, most):
-                bounds = parts[a : b + 1]
-                lower = LOWER[data[bounds[0] : bounds[-1]]]
-                part = _Part(lower, bounds - bounds[0], codes[owner[a:b]], names)
-                for k in lengths:
-                    places = part.active(k, sketch, step, cycle)
-                    if len(places):
-                        yield part.counts(k, places)
+        activity = Activity(shared.value)
+        counters = _Counters(activity.cells, dtype, threshold)
+        for part in _parts(batches, most):
+            for k in lengths:
+                places = part.active(k, activity, step, cycle)
+                if len(places):
+                    counters.count(k, activity.cell(part._hashes(k)[places]))
+        yield from counters.blocks()
+
+    return run
+
+
+def _count_full(shared, most: int):
+    """(lang, k, phrase, n) of the phrases whose counter is full, and the sizes of languages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, bodies = shared.value
+        bits = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in bodies.items()}
+        held, n = [], 0
+        for part in _parts(batches, most):
+            held.append(part.sizes())
+            places = {k: part.full(k, cells, own) for k, own in bits.items()}
+            for found in part.counts({k: v for k, v in places.items() if len(v)}):
+                held.append(found)
+                n += found.num_rows
+            if n > _HELD:
+                held = _summed(held)
+                n = sum(b.num_rows for b in held)
+                if n > _HELD // 2:
+                    yield from held
+                    held, n = [], 0
+        yield from _summed(held)
 
     return run
 
@@ -264,14 +320,12 @@ def _scan(lengths: list[int], shared, step: int, cycle: int, most: int):
 # ---- the cyclic scans ---------------------------------------------------------------------
 
 
-def _deal(docs: DataFrame, shards: int) -> tuple[str, int]:
-    """Folder of the texts dealt row by row into ``shards``, and about how many words they have."""
-    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "phrases")
+def _deal(docs: DataFrame, folder: str, shards: int) -> DataFrame:
+    """The texts written row by row into ``shards``: lang, body, shard."""
     bodies = text_bytes(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text"), "lang")
     dealt = bodies.withColumn("shard", F.monotonically_increasing_id() % shards)
     dealt.write.partitionBy("shard").parquet(folder)
-    size = spark.read.schema("lang string, body binary, shard long").parquet(folder)
-    return folder, (size.agg(F.sum(F.length("body"))).first()[0] or 0) // 6
+    return docs.sparkSession.read.schema("lang string, body binary, shard long").parquet(folder)
 
 
 def frequencies(
@@ -280,17 +334,14 @@ def frequencies(
     longest: int = LONGEST,
     shards: int = SHARDS,
     part_bytes: int = PART_BYTES,
-) -> DataFrame:
-    """(lang, k, phrase, n): all words, and all phrases up to ``longest`` of ``threshold`` places.
-
-    Rarer phrases may be listed too, with fewer places than they have, but below the threshold.
+) -> tuple[DataFrame, DataFrame]:
+    """(lang, k, phrase, n) of all phrases up to ``longest`` words with ``threshold`` places, and
+    (lang, n), all words of each language. At most 60 shards.
     """
-    spark = docs.sparkSession
-    folder, words = _deal(docs, shards)
-    texts = spark.read.schema("lang string, body binary, shard long").parquet(folder)
-    sketch = Sketch(cells_for(words, threshold), longest)
-    counted: dict[int, list[DataFrame]] = {s: [] for s in range(shards)}
-    totals: dict[int, DataFrame] = {}
+    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "phrases")
+    texts = _deal(docs, f"{folder}/texts", shards)
+    words = (texts.agg(F.sum(F.length("body"))).first()[0] or 0) // 6
+    sketch = Sketch(cells_for(words, threshold), threshold, longest)
     grown_at: dict[int, int] = {}
     step = 0
     while True:
@@ -298,29 +349,18 @@ def frequencies(
         lengths += [k for k in range(2, longest + 1) if grown_at.get(k - 1, -shards - 1) >= step - shards]
         if not lengths:
             break
-        shared = spark.sparkContext.broadcast(sketch.packed())
-        shard = step % shards
-        scan = texts.where(F.col("shard") == shard).select("lang", "body")
-        fresh = scan.mapInArrow(_scan(lengths, shared, step, shards, part_bytes), _COUNTS)
-        fresh = fresh.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-        for earlier in counted[shard]:
-            fresh = fresh.join(earlier, ["lang", "k", "phrase"], "left_anti")
-        fresh = checkpointed(fresh)
-        counted[shard].append(fresh.where("k > 1").select("lang", "k", "phrase"))
-        before = [totals[k] for k in lengths if k in totals]
-        new = fresh.withColumn("step", F.lit(None).cast("int"))
-        sums = reduce(DataFrame.unionByName, before, new).groupBy("lang", "k", "phrase").agg(
-            F.sum("n").alias("n"), F.min("step").alias("step")
-        )
-        reached = F.when(F.col("n") >= threshold, F.lit(step))
-        sums = checkpointed(sums.withColumn("step", F.coalesce("step", reached)))
-        totals |= {k: sums.where(F.col("k") == k) for k in lengths}
-        grown = sums.where((F.col("step") == step) & (F.col("k") < longest))
-        for k in _enter(sketch, grown, step):
+        shared = spark.sparkContext.broadcast(sketch.packed_steps())
+        scan = texts.where(F.col("shard") == step % shards).select("lang", "body")
+        counters = _scan(lengths, shared, step, shards, part_bytes, sketch.dtype, threshold)
+        for k in sketch.add(scan.mapInArrow(counters, "k int, block int, counts binary"), step):
             grown_at[k] = step
         shared.unpersist()
         step += 1
-    return reduce(DataFrame.unionByName, totals.values()).drop("step")
+    full = spark.sparkContext.broadcast((sketch.cells, sketch.full()))
+    counted = texts.select("lang", "body").mapInArrow(_count_full(full, part_bytes), _COUNTED_SQL)
+    sums = counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    sums = written(sums.where((F.col("k") == 0) | (F.col("n") >= threshold)), "phrases")
+    return sums.where("k > 0"), sums.where("k = 0").select("lang", "n")
 
 
 # ---- candidates ---------------------------------------------------------------------------
@@ -330,9 +370,8 @@ def _words(first: str, n: str) -> str:
     return f"array_join(slice(w, {first}, {n}), ' ')"
 
 
-def scored(counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def scored(frequent: DataFrame) -> DataFrame:
     """(lang, k, phrase, a, l, r, score) of the candidates, by their lowest-scoring cut."""
-    frequent = counts.where(F.col("n") >= threshold)
     split = frequent.where("k > 1").withColumn("w", F.split("phrase", " "))
     cuts = split.select(
         "lang", "k", "phrase", F.col("n").alias("a"),
@@ -373,11 +412,10 @@ def collocations(
     docs: DataFrame, top: int = TOP, threshold: int = THRESHOLD, shards: int = SHARDS, **options
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases."""
-    counts = frequencies(docs, threshold, shards=shards, **options)
-    found = without_contained(checkpointed(scored(counts, threshold)))
+    frequent, total = frequencies(docs, threshold, shards=shards, **options)
+    found = without_contained(checkpointed(scored(frequent)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    total = counts.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
