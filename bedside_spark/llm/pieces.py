@@ -106,6 +106,8 @@ class Pieces:
             if len(name) == 1:
                 self.char_id[ord(name)] = i
         self.whole = n
+        #: Characters of the symbols that only stand for themselves, once they are needed.
+        self.spelled: dict[int, int] | None = None
         bigrams = {name[i : i + 2] for name in ids for i in range(len(name) - 1)}
         marks_end_words = not any(b[1] == MARK and b[0] != MARK for b in bigrams)
         stops = "" if any("\n" in b for b in bigrams) else "\n"
@@ -220,8 +222,10 @@ class Pieces:
         symbol, word = self.merge(words)
         odd = np.flatnonzero((symbol < 0) | (symbol >= self.whole))
         if len(odd):
-            spelled = {v: c for c, v in enumerate(self.char_id) if v >= self.whole}
-            chars = [chr(spelled[s] if s >= 0 else -1 - s) for s in symbol[odd].tolist()]
+            if self.spelled is None:
+                unknown = np.flatnonzero(self.char_id >= self.whole)
+                self.spelled = dict(zip(self.char_id[unknown].tolist(), unknown.tolist()))
+            chars = [chr(self.spelled[s] if s >= 0 else -1 - s) for s in symbol[odd].tolist()]
             raw = [c.encode("utf-8", "surrogatepass") for c in chars]
             width = np.ones(len(symbol), np.int64)
             width[odd] = [len(r) for r in raw]
