@@ -180,3 +180,23 @@ def test_only_due_parts_are_read():
     run.watermark(start + 45 * SECOND)
     assert {k[0] for k in seen} == {start // keyed.BUCKET}
     assert len(run.processor.waiting.held) == 49
+
+
+def test_lone_readings_share_parts_and_results_share_frames():
+    start, hour = 1_700_000_040 * SECOND, 3600 * SECOND
+    sparse = [(start + i * hour, f"{i:04}", 80.0) for i in range(1000)]
+    calls = []
+    run = Run(keyed.Silence(600))
+    waiting = run.processor.waiting
+    for name in ("updateValue", "getValue", "removeKey"):
+        own = getattr(waiting, name)
+        setattr(waiting, name, lambda *a, own=own: calls.append(a[0]) or own(*a))
+    # Shared parts of two chunks reach into each other and over a crowded minute.
+    dense = [(start + 77 * hour + i * SECOND, f"d{i}", 80.0) for i in range(1, 40)]
+    run.batch([sparse[::2], sparse[1::2], dense])
+    assert len(waiting.held) <= 2 * (500 // keyed.LONE + 1) + 1
+    run.watermark(start + 100 * hour + 5 * SECOND)
+    run.watermark(start + 2000 * hour)
+    rows = sorted(sparse + dense)
+    assert [r for r in run.rows() if r[2] is not None] == silences(rows, 600 * SECOND)
+    assert len(calls) < 60 and len(run.out) < 6 and not waiting.held
