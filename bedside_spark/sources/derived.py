@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to three tasks a core.
+
+    A scan is split by bytes and row groups, so rows that cost much work and few bytes come in too
+    few tasks.
+    """
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def padded_id(prefix: str, number: str):
     """Six digits at least; longer numbers stay whole."""
     text = F.col(number).cast("string")
@@ -88,7 +97,8 @@ def raw_payloads(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """(recordId, data) archive records; 9 of every 20 are altered, 2 of those harmlessly."""
     kind = F.col("event_id") % 20
     iso = F.date_format("event_time", ISO_MICROS)
-    source = readings(spark, sf_dir, "event_id")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    source = readings_from(spread(events), "event_id")
     fields = {
         "patient_id": F.col("patient_id"),
         "device_id": F.col("device_id"),

@@ -4,10 +4,12 @@ import base64
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from bedside_spark.functions.rules import with_flags
 from bedside_spark.operators import ingest
-from tests.conftest import START, rows
+from bedside_spark.sources import derived
+from tests.conftest import SMALL, START, rows
 
 GOOD = {
     "patient_id": "P0001", "device_id": "bed-001", "event_time": "2026-09-15T12:00:00.000+00:00",
@@ -125,3 +127,19 @@ def test_of_a_repeated_key_the_last_value_counts(spark):
     row = out.first()
     body = json.loads(base64.b64decode(row.data))
     assert row.result == "Ok" and (body["heart_rate"], body["device_id"]) == (61.5, "bed-002")
+
+
+def test_plain_base64_is_read_as_spark_reads_it(spark):
+    texts = ["", "QQ==", "QUI=", "QUJD", "QR==", "Q===", "====", "QQ=Q", "QUJDQ", "QUJD\n", "QUJ*", "+/+/", "Zé=="]
+    given = spark.createDataFrame([(t,) for t in texts], "data string").select(
+        ingest._decoded(F.col("data")).alias("now"),
+        F.when(F.length("data") % 4 == 0, F.try_to_binary("data", F.lit("base64"))).alias("spark"),
+    )
+    assert given.where(~F.col("now").eqNullSafe(F.col("spark"))).count() == 0
+
+
+def test_archive_records_are_dealt_to_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    records = derived.raw_payloads(spark, SMALL)
+    tasks = records.select(F.spark_partition_id().alias("p"), "recordId").groupBy("p").count()
+    assert tasks.count() > cores and tasks.agg(F.sum("count")).first()[0] == records.count()
