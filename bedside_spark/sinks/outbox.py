@@ -43,9 +43,9 @@ class Claims(Protocol):
 class FolderClaims:
     """Claims as small files in a folder that all executors mount.
 
-    A claim is a file created exclusively, its outcome what is then written to it, through a
-    rename. Another run may be between the two: an open claim is looked at again for ``patience``
-    seconds before it counts as left open.
+    A claim is a file created exclusively, its outcome what is then written to it. A file that does
+    not hold the whole outcome is an open claim. Another run may be between the two: an open claim
+    is looked at again for ``patience`` seconds before it counts as left open.
     """
 
     def __init__(self, folder: str, patience: float = 5.0):
@@ -59,11 +59,20 @@ class FolderClaims:
         name = hashlib.sha256(key.encode()).hexdigest()
         return self.folder / name[:2] / name
 
+    @staticmethod
+    def _create(path: Path) -> None:
+        flags = os.O_CREAT | os.O_EXCL | os.O_WRONLY
+        try:
+            own = os.open(path, flags)
+        except FileNotFoundError:
+            path.parent.mkdir(parents=True, exist_ok=True)
+            own = os.open(path, flags)
+        os.close(own)
+
     def claim(self, key: str) -> str:
         path = self._path(key)
-        path.parent.mkdir(parents=True, exist_ok=True)
         try:
-            os.close(os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            self._create(path)
             return FREE
         except FileExistsError:
             pass
@@ -79,10 +88,12 @@ class FolderClaims:
             time.sleep(min(0.2, self.patience))
 
     def sent(self, key: str) -> None:
-        path = self._path(key)
-        noted = path.with_suffix(f".{os.getpid()}")
-        noted.write_text(SENT)
-        os.replace(noted, path)
+        # The file is there; a second one to rename would double the work on the folder.
+        own = os.open(self._path(key), os.O_WRONLY)
+        try:
+            os.write(own, SENT.encode())
+        finally:
+            os.close(own)
 
     def release(self, key: str) -> None:
         self._path(key).unlink(missing_ok=True)

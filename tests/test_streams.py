@@ -363,3 +363,16 @@ def test_claims(tmp_path):
     assert claims.claim("b") == outbox.FREE
     with pytest.raises(ValueError):
         outbox.FolderClaims("s3://bucket/c")
+
+
+def test_a_claim_is_one_file_and_its_folder_is_made_once(tmp_path, monkeypatch):
+    claims, made = outbox.FolderClaims(str(tmp_path / "c"), patience=0.0), []
+    claims.claim("a")
+    monkeypatch.setattr(os, "replace", lambda *_: pytest.fail("a second file"))
+    own = outbox.Path.mkdir
+    monkeypatch.setattr(outbox.Path, "mkdir", lambda self, *a, **k: made.append(self) or own(self, *a, **k))
+    claims.sent("a")
+    assert claims.claim("a") == outbox.SENT and not made
+    # A note that was cut short is an open claim.
+    claims._path("a").write_text("se")
+    assert claims.claim("a") == outbox.OPEN
