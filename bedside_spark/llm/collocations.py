@@ -15,7 +15,8 @@ counter reached the threshold. The sketch is bounded by ``MAX_CELLS`` bytes per
 stop at the threshold; beyond its capacity it lets more phrases through, with the same result.
 
 Exact counts number words by a dictionary and phrases by pairs of numbers. A task counts its texts
-before it sends anything, so a word of every line is a row per task.
+before it sends anything, so a word of every line is sent once per task. Phrases travel by the
+bucket of their hash, a row per task and bucket: sorted, as one packed text with packed counts.
 
 Defined results: a null or empty text has no words; a null language counts as ``und``; repeated rows
 count again; other columns are not read; an empty table gives an empty result.
@@ -23,7 +24,6 @@ count again; other columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,15 +48,27 @@ SHARDS = 4
 #: Bytes of the sketch of one length, and of text counted at once.
 MAX_CELLS = 1 << 24
 PART_BYTES = 2 << 20
-#: Counters that travel together, and rows that a task holds before it sums and writes them.
+#: Counters that travel together; phrases, and their bytes, that a task holds before it sums and sends them.
 _BLOCK = 1 << 20
-_HELD = 500_000
+_HELD, _HELD_BYTES = 1_000_000, 128 << 20
+#: Words of all texts for which there is a bucket of phrases, and the most buckets.
+_BUCKET_WORDS, _BUCKETS = 2_000_000, 4_096
 
 _SPLIT = byte_table(b".,;:!?\n\v\f\r")
 _WORD = ~(_SPLIT | byte_table(b" \t"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _packed(values: np.ndarray | bytes) -> bytes:
+    body = memoryview(values).cast("B")
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, dtype=np.uint8) -> np.ndarray:
+    size = int.from_bytes(body[:8], "little")
+    return np.frombuffer(pa.decompress(body[8:], size, codec="zstd"), dtype)
+
+
 # ---- the sketch ---------------------------------------------------------------------------
 
 
@@ -80,24 +92,26 @@ class Sketch:
         self.steps = {k: np.zeros(cells, np.uint8) for k in range(1, longest)}
 
     def packed_steps(self) -> tuple:
-        return self.cells, {k: zlib.compress(v.tobytes(), 1) for k, v in self.steps.items()}
+        return self.cells, {k: _packed(v) for k, v in self.steps.items()}
 
     def full(self) -> dict[int, bytes]:
-        return {k: zlib.compress(np.packbits(v >= self.threshold).tobytes(), 1) for k, v in self.counts.items()}
+        return {k: _packed(np.packbits(v >= self.threshold)) for k, v in self.counts.items()}
 
     def add(self, pieces: DataFrame, step: int) -> set[int]:
         """Add the counters of a step's tasks; the lengths of which some grew full."""
         grown = set()
         sums = (
             pieces.repartition("k", "block")
+            .coalesce(pieces.sparkSession.sparkContext.defaultParallelism)
             .sortWithinPartitions("k", "block")
             .mapInArrow(_merged(self.dtype, self.threshold), "k int, block int, counts binary")
         )
         width = min(self.cells, _BLOCK)
-        for r in sums.toLocalIterator():
+        # One job for all blocks: they are a sketch at most, whatever the number of partitions.
+        for r in sums.collect():
             own = slice(r.block * width, (r.block + 1) * width)
             counts = self.counts[r.k][own]
-            counts[:] = _added(counts, np.frombuffer(zlib.decompress(r.counts), self.dtype), self.threshold)
+            counts[:] = _added(counts, _unpacked(r.counts, self.dtype), self.threshold)
             if r.k in self.steps:
                 steps = self.steps[r.k][own]
                 new = (counts >= self.threshold) & (steps == 0)
@@ -111,7 +125,7 @@ class Activity:
 
     def __init__(self, packed: tuple):
         self.cells, bodies = packed
-        self.steps = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in bodies.items()}
+        self.steps = {k: _unpacked(v) for k, v in bodies.items()}
 
     def cell(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes & np.uint64(self.cells - 1)).astype(np.int32)
@@ -121,10 +135,9 @@ class Activity:
 
 
 def _block_row(k: int, block: int, counts: np.ndarray) -> pa.RecordBatch:
-    body = zlib.compress(counts.tobytes(), 1)
     types = (pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([v], t) for v, t in zip((k, block, body), types)], names=["k", "block", "counts"]
+        [pa.array([v], t) for v, t in zip((k, block, _packed(counts)), types)], names=["k", "block", "counts"]
     )
 
 
@@ -154,7 +167,7 @@ def _merged(dtype: np.dtype, most: int):
         current, counts = None, None
         for batch in batches:
             for k, block, body in zip(*(c.to_pylist() for c in batch.columns)):
-                part = np.frombuffer(zlib.decompress(body), dtype)
+                part = _unpacked(body, dtype)
                 if current == (k, block):
                     counts = _added(counts, part, most)
                 else:
@@ -200,22 +213,28 @@ class _Part:
         recent = np.maximum(first, second) > step - cycle
         return np.flatnonzero(inside & (first > 0) & (second > 0) & recent)
 
-    def full(self, k: int, cells: int, bits: np.ndarray) -> np.ndarray:
-        """Places where a phrase of ``k`` words begins whose counter is full."""
-        if self.n < k:
-            return np.zeros(0, np.int64)
-        cell = (self._hashes(k) & np.uint64(cells - 1)).astype(np.int64)
-        set_ = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
-        return np.flatnonzero((self.piece[: self.n - k + 1] == self.piece[k - 1 :]) & (set_ == 1))
+    def full(self, cells: int, bits: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        """Places, by length, where a phrase begins whose counter and those of all its parts are full."""
+        places, held = {}, np.ones(self.n + 1, bool)
+        for k, own in sorted(bits.items()):
+            if self.n < k:
+                break
+            inside = self.piece[: self.n - k + 1] == self.piece[k - 1 :]
+            at = np.flatnonzero(inside & held[:-1] & held[1:])
+            cell = (self._hashes(k)[at] & np.uint64(cells - 1)).astype(np.int64)
+            places[k] = at[(own[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1]
+            held = np.zeros(len(inside), bool)
+            held[places[k]] = True
+        return {k: v for k, v in places.items() if len(v)}
 
     def sizes(self) -> pa.RecordBatch:
         """The number of words of each language, as a phrase of no words."""
         n = np.bincount(self.lang, minlength=len(self.names))
-        rows = (self.names, [0] * len(n), [""] * len(n), n)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _COUNTED)], schema=_COUNTED)
+        rows = ([0] * len(n), self.names, [0] * len(n), [""] * len(n), n)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _HELD_ROWS)], schema=_HELD_ROWS)
 
-    def counts(self, places: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """(lang, k, phrase, n) of the phrases of each length that begin at its places."""
+    def counts(self, places: dict[int, np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+        """(bucket, lang, k, phrase, n) of the phrases of each length that begin at its places."""
         used = np.zeros(self.n + 1, bool)
         for k, own in places.items():
             for i in range(k):
@@ -242,26 +261,119 @@ class _Part:
             at[codes] = own
             words = [column.dictionary.take(pa.array(number[at + i])) for i in range(k)]
             phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
+            bucket = (self._hashes(k)[at] >> np.uint64(32)) % np.uint64(buckets)
             columns = [
+                pa.array(bucket.astype(np.int32)),
                 names.take(pa.array(self.lang[at])), pa.array(np.full(wide, k, np.int32)),
                 phrase.cast(pa.string()), pa.array(n),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=list(_COUNTED.names))
+            yield pa.RecordBatch.from_arrays(columns, names=_HELD_ROWS.names)
 
 
 _COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 _COUNTED_SQL = "lang string, k int, phrase string, n long"
+_HELD_ROWS = pa.schema([("bucket", pa.int32()), *_COUNTED])
 
 
-def _summed(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+def _summed(parts: list[pa.RecordBatch], schema: pa.Schema) -> list[pa.RecordBatch]:
     if len(parts) < 2:
         return parts
-    table = pa.Table.from_batches(parts, _COUNTED)
-    sums = table.group_by(["lang", "k", "phrase"], use_threads=False).aggregate([("n", "sum")])
-    sums = sums.rename_columns({"n_sum": "n"}).select(_COUNTED.names)
+    table = pa.Table.from_batches(parts, schema)
+    sums = table.group_by(schema.names[:-1], use_threads=False).aggregate([("n", "sum")])
+    sums = sums.rename_columns({"n_sum": "n"}).select(schema.names)
     return sums.combine_chunks().to_batches(max_chunksize=100_000)
 
 
+class _Held:
+    """Counted rows, summed whenever many have come."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema, self.parts, self.rows, self.bytes = schema, [], 0, 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append(part)
+        self.rows += part.num_rows
+        self.bytes += part.nbytes
+
+    def sum(self) -> list[pa.RecordBatch]:
+        self.parts = _summed(self.parts, self.schema)
+        self.rows, self.bytes = sum(b.num_rows for b in self.parts), sum(b.nbytes for b in self.parts)
+        return self.parts
+
+    def over(self, share: float = 1) -> bool:
+        return self.rows > share * _HELD or self.bytes > share * _HELD_BYTES
+
+
+# ---- phrases on their way -----------------------------------------------------------------
+
+#: The phrases of a bucket: languages, each phrase's language, length, count and bytes, the phrases.
+_SENT = pa.schema([
+    ("bucket", pa.int32()), ("langs", pa.list_(pa.string())),
+    *((c, pa.binary()) for c in ("lang", "k", "n", "size", "phrases")),
+])
+_SENT_SQL = "bucket int, langs array<string>, lang binary, k binary, n binary, size binary, phrases binary"
+
+
+def _sent(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed rows as a row for each bucket, alike phrases side by side."""
+    if not parts:
+        return
+    rows = pa.Table.from_batches(parts, _HELD_ROWS).combine_chunks()
+    langs = rows["lang"].combine_chunks().dictionary_encode()
+    rows = rows.set_column(1, "lang", langs.indices)
+    rows = rows.take(pc.sort_indices(rows["phrase"]))
+    bucket, lang, k = (rows[c].to_numpy().astype(np.int64) for c in ("bucket", "lang", "k"))
+    order = np.argsort((bucket * len(langs.dictionary) + lang) * (k.max() + 1) + k, kind="stable")
+    rows = rows.take(pa.array(order))
+    bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        own = rows.slice(a, b - a)
+        codes, lang = np.unique(own["lang"].to_numpy(), return_inverse=True)
+        data, offsets = document_bytes(own["phrase"].combine_chunks().cast(pa.binary()))
+        packed = (
+            lang.astype(np.int32), own["k"].to_numpy().astype(np.uint8), own["n"].to_numpy(),
+            np.diff(offsets).astype(np.int32), data[offsets[0] : offsets[-1]],
+        )
+        columns = [own["bucket"][0].as_py(), langs.dictionary.take(pa.array(codes)).to_pylist()]
+        columns += [_packed(np.ascontiguousarray(v)) for v in packed]
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(columns, _SENT)], schema=_SENT)
+
+
+def _received(row: dict) -> pa.RecordBatch:
+    size = _unpacked(row["size"], np.int32)
+    offsets = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=offsets[1:])
+    body = [None, pa.py_buffer(offsets), pa.py_buffer(_unpacked(row["phrases"]))]
+    columns = [
+        pa.array(row["langs"], pa.string()).take(pa.array(_unpacked(row["lang"], np.int32))),
+        pa.array(_unpacked(row["k"]).astype(np.int32)),
+        pa.Array.from_buffers(pa.string(), len(size), body),
+        pa.array(_unpacked(row["n"], np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
+
+
+def _sum_sent(threshold: int):
+    """(lang, k, phrase, n) of whole buckets: phrases with ``threshold`` places, and sizes of languages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, after = _Held(_COUNTED), 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held.add(_received(batch.slice(i, 1).to_pylist()[0]))
+                if held.over() and held.rows > 2 * after:
+                    held.sum()
+                    after = held.rows
+        for part in held.sum():
+            often = pc.or_(pc.equal(part["k"], 0), pc.greater_equal(part["n"], threshold))
+            yield part.filter(often)
+
+    return run
+
+
+# ---- the scans of a task ------------------------------------------------------------------
+
+
 def _parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Part]:
     """The texts of (lang, body) batches in parts of about ``most`` bytes."""
     for batch in batches:
@@ -293,26 +405,23 @@ def _scan(lengths: list[int], shared, step: int, cycle: int, most: int, dtype: n
     return run
 
 
-def _count_full(shared, most: int):
-    """(lang, k, phrase, n) of the phrases whose counter is full, and the sizes of languages."""
+def _count_full(shared, most: int, buckets: int):
+    """By bucket, the phrases whose counter is full with their counts, and the sizes of languages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, bodies = shared.value
-        bits = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in bodies.items()}
-        held, n = [], 0
+        bits = {k: _unpacked(v) for k, v in bodies.items()}
+        held = _Held(_HELD_ROWS)
         for part in _parts(batches, most):
-            held.append(part.sizes())
-            places = {k: part.full(k, cells, own) for k, own in bits.items()}
-            for found in part.counts({k: v for k, v in places.items() if len(v)}):
-                held.append(found)
-                n += found.num_rows
-            if n > _HELD:
-                held = _summed(held)
-                n = sum(b.num_rows for b in held)
-                if n > _HELD // 2:
-                    yield from held
-                    held, n = [], 0
-        yield from _summed(held)
+            held.add(part.sizes())
+            for found in part.counts(part.full(cells, bits), buckets):
+                held.add(found)
+            if held.over():
+                held.sum()
+                if held.over(0.5):
+                    yield from _sent(held.parts)
+                    held = _Held(_HELD_ROWS)
+        yield from _sent(held.sum())
 
     return run
 
@@ -324,10 +433,23 @@ def _deal(docs: DataFrame, folder: str, shards: int) -> DataFrame:
     """The texts written row by row into ``shards``: lang, body, shard."""
     bodies = text_bytes(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text"), "lang")
     dealt = bodies.withColumn("shard", F.monotonically_increasing_id() % shards)
-    dealt.write.partitionBy("shard").parquet(folder)
+    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema("lang string, body binary, shard long").parquet(folder)
 
 
+def counted(texts: DataFrame, sketch: Sketch, words: int, part_bytes: int) -> DataFrame:
+    """The last scan: (lang, k, phrase, n) of phrases with enough places, and of languages (k 0).
+
+    A bucket is a partition, and holds the phrases of ``_BUCKET_WORDS`` words or so.
+    """
+    spark = texts.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, min(_BUCKETS, words // _BUCKET_WORDS))
+    full = spark.sparkContext.broadcast((sketch.cells, sketch.full()))
+    sent = texts.select("lang", "body").mapInArrow(_count_full(full, part_bytes, buckets), _SENT_SQL)
+    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_sum_sent(sketch.threshold), _COUNTED_SQL)
+
+
 def frequencies(
     docs: DataFrame,
     threshold: int = THRESHOLD,
@@ -351,15 +473,14 @@ def frequencies(
             break
         shared = spark.sparkContext.broadcast(sketch.packed_steps())
         scan = texts.where(F.col("shard") == step % shards).select("lang", "body")
+        # A task for each core: what a step sends are so many sketches at most, however large the shard.
+        scan = scan.coalesce(spark.sparkContext.defaultParallelism)
         counters = _scan(lengths, shared, step, shards, part_bytes, sketch.dtype, threshold)
         for k in sketch.add(scan.mapInArrow(counters, "k int, block int, counts binary"), step):
             grown_at[k] = step
         shared.unpersist()
         step += 1
-    full = spark.sparkContext.broadcast((sketch.cells, sketch.full()))
-    counted = texts.select("lang", "body").mapInArrow(_count_full(full, part_bytes), _COUNTED_SQL)
-    sums = counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-    sums = written(sums.where((F.col("k") == 0) | (F.col("n") >= threshold)), "phrases")
+    sums = written(counted(texts, sketch, words, part_bytes), "phrases")
     return sums.where("k > 0"), sums.where("k = 0").select("lang", "n")
 
 

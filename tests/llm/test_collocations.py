@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from bedside_spark.llm import collocations
@@ -125,3 +127,70 @@ def test_awkward_rows(spark):
     expected = brute([(r.lang, r.text) for r in docs.collect()])
     assert listed(collocations.collocations(docs)) == expected and expected
     assert collocations.collocations(cases.empty(spark)).collect() == []
+
+
+def test_a_step_is_one_job_however_many_partitions_a_shuffle_has(spark):
+    rows = noise(4, 120)
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    settings = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    jobs = spark.sparkContext._jsc.sc().dagScheduler()
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        before = jobs.numTotalJobs()
+        frequent, total = collocations.frequencies(docs, 4, shards=2)
+        # Two shards: eight steps at most, each with a broadcast or a stage of its own.
+        assert jobs.numTotalJobs() - before < 48
+        assert frequent.count() and {r.lang for r in total.collect()} == {"en", "und", "de", ""}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def last_scan(rows, buckets, threshold, most=1 << 12):
+    """What tasks of a batch each send of phrases of all counters, and the sums of it."""
+    sketch = collocations.Sketch(1 << 8, threshold, 4)
+    for counts in sketch.counts.values():
+        counts[:] = threshold
+    count = collocations._count_full(SimpleNamespace(value=(sketch.cells, sketch.full())), most, buckets)
+    sent = []
+    for i in range(3):
+        own = rows[i::3]
+        columns = [pa.array([lang for lang, _ in own]), pa.array([text.encode() for _, text in own], pa.binary())]
+        batch = pa.RecordBatch.from_arrays(columns, names=["lang", "body"])
+        sent.append([*count(iter([batch]))])
+    flat = [b for own in sent for b in own]
+    sums = [r for b in collocations._sum_sent(threshold)(iter(flat)) for r in b.to_pylist()]
+    return sent, sorted((r["lang"], r["k"], r["phrase"], r["n"]) for r in sums)
+
+
+def exact(rows, threshold):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        words = text.split(" ")
+        n[lang, 0, ""] += len(words)
+        f.update((lang, k, " ".join(words[i : i + k])) for k in range(1, 5) for i in range(len(words) - k + 1))
+    return sorted([(*p, c) for p, c in f.items() if c >= threshold] + [(*p, c) for p, c in n.items()]), f
+
+
+def test_the_last_scan_sends_a_row_for_each_task_and_bucket():
+    rng = random.Random(2)
+    words = [rng.choice(("tion", "er", "the", "\x00", "ß")) * rng.randint(1, 3) + str(i) for i in range(30)]
+    rows = [(rng.choice("ab"), " ".join(rng.choices(words, k=200))) for _ in range(150)]
+    expected, phrases = exact(rows, 9)
+    sent, got = last_scan(rows, 5, 9)
+    assert got == expected and len(expected) > 1000
+    assert all(len(own) <= 5 and sum(b.num_rows for b in own) <= 5 for own in sent)
+    packed = sum(len(v) for own in sent for b in own for c in b.columns[2:] for v in c.to_pylist())
+    assert packed < 0.5 * sum(len(p.encode()) for _, _, p in phrases)
+
+
+def test_sums_of_parts_change_nothing(monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), " ".join(rng.choices("vwxyz", k=rng.randint(1, 90)))) for _ in range(60)]
+    monkeypatch.setattr(collocations, "_HELD", 40)
+    sent, got = last_scan(rows, 3, 4, most=64)
+    assert got == exact(rows, 4)[0] and max(len(own) for own in sent) > 3
+    monkeypatch.setattr(collocations, "_HELD_BYTES", 100)
+    assert last_scan(rows, 3, 4, most=64)[1] == got
