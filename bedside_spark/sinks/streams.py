@@ -267,7 +267,8 @@ def deliver_alerts(
     """Send pending alerts of a change feed and record each outcome.
 
     Every message is claimed before it is sent (``sinks.outbox``), in a folder beside the ledger
-    unless other ``claims`` are given, so tasks and batches that run again send nothing twice.
+    unless other ``claims`` are given, so tasks and batches that run again send nothing twice. That
+    folder needs file locks that hold between the executors.
 
     The ledger has a folder per day of the alerts' events and per batch. Keys delivered in
     earlier batches are left out before sending, for which only the ledger's days between the
@@ -299,7 +300,7 @@ def deliver_alerts(
             .parquet(ledger)
         )
 
-    own_claims = claims or outbox.FolderClaims(f"{ledger.rstrip('/')}.claims")
+    own_claims = claims or outbox.PackedClaims(f"{ledger.rstrip('/')}.claims")
     files.create(changes.sparkSession, ledger)
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()

@@ -4,6 +4,7 @@ import json
 import os
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -376,3 +377,89 @@ def test_a_claim_is_one_file_and_its_folder_is_made_once(tmp_path, monkeypatch):
     # A note that was cut short is an open claim.
     claims._path("a").write_text("se")
     assert claims.claim("a") == outbox.OPEN
+
+
+def test_packed_claims(tmp_path, monkeypatch):
+    monkeypatch.setattr(outbox.PackedClaims, "MOST", 2)
+    folder = str(tmp_path / "c")
+    mine, other = (outbox.PackedClaims(f, patience=0.0) for f in (folder, f"file://{folder}"))
+    keys = [f"P{n}\nA-{n}" for n in range(3000)]
+    assert {mine.claim(k) for k in keys} == {outbox.FREE}
+    assert {other.claim(k) for k in keys} == {mine.claim(keys[0])} == {outbox.OPEN}
+    for n, key in enumerate(keys):
+        (mine.sent if n % 3 else mine.release)(key)
+    # What was given back can be had once more, in its old place.
+    size = sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file())
+    assert size == 17 * len(keys)
+    assert [other.claim(k) for k in keys] == [outbox.SENT if n % 3 else outbox.FREE for n in range(len(keys))]
+    assert [mine.claim(k) for k in keys] == [outbox.SENT if n % 3 else outbox.OPEN for n in range(len(keys))]
+    assert size == sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file())
+    with pytest.raises(ValueError):
+        outbox.PackedClaims("s3://bucket/c")
+
+
+def test_packed_claims_after_a_run_that_broke_off(tmp_path):
+    folder = tmp_path / "c"
+    claims = outbox.PackedClaims(str(folder), patience=0.0)
+    claims.claim("a")
+    (file,) = (p for p in folder.rglob("*") if p.is_file())
+    whole = file.read_bytes()
+    for short in range(len(whole)):
+        file.write_bytes(whole[:short])
+        assert claims.claim("a") == outbox.FREE and file.read_bytes() == whole
+    # Claims of the form before hold.
+    before = outbox.FolderClaims(str(folder), patience=0.0)
+    before.claim("b")
+    before.claim("c")
+    before.sent("c")
+    assert [claims.claim(k) for k in "bc"] == [outbox.OPEN, outbox.SENT]
+    before.release("b")
+    assert [claims.claim(k) for k in "bb"] == [outbox.FREE, outbox.OPEN]
+
+    sent, dead = [], []
+
+    def send(message):
+        sent.append(message["alert_id"])
+        if message["alert_id"] == "A-2" and not dead:
+            dead.append(1)
+            raise KeyboardInterrupt
+
+    chunk = pd.DataFrame([("P1", f"A-{n}", "s", "b") for n in range(5)], columns=["patient_id", "alert_id", "subject", "body"])
+    with pytest.raises(KeyboardInterrupt):
+        next(outbox.sender(send, claims)(iter([chunk])))
+    got = next(outbox.sender(send, outbox.PackedClaims(str(folder), patience=0.0))(iter([chunk])))
+    assert sent == [f"A-{n}" for n in range(5)]
+    assert list(got["delivered"]) == [True, True, False, True, True] and got["error"][2] == outbox.UNCONFIRMED
+
+
+def test_a_packed_claim_is_won_once(spark, tmp_path):
+    class Small(outbox.PackedClaims):
+        MOST = 3
+
+    claims = Small(str(tmp_path / "c"), patience=0.0)
+
+    def race(task):
+        for n in range(2000):
+            if claims.claim(f"k{n}") == outbox.FREE:
+                claims.sent(f"k{n}")
+                yield n
+
+    won = spark.sparkContext.parallelize(range(8), 8).flatMap(race).collect()
+    assert sorted(won) == list(range(2000))
+
+
+def test_claims_of_many_deliveries_take_few_files(spark, tmp_path):
+    from tests.test_alerts import change
+
+    feed, ledger = str(tmp_path / "feed"), str(tmp_path / "ledger")
+    given = [change("INSERT", alert=f"A-{n}") for n in range(3000)]
+    spark.createDataFrame(given, "op string, image string").write.parquet(f"{feed}/n=0")
+    stream = spark.readStream.schema("op string, image string").parquet(f"{feed}/n=*")
+    streams.deliver_alerts(
+        stream.withColumn("image", F.parse_json("image")), lambda message: None, ledger,
+        str(tmp_path / "c"), None,
+    ).awaitTermination()
+    assert spark.read.parquet(ledger).where("delivered").count() == 3000
+    files = [p for p in (tmp_path / "ledger.claims").rglob("*") if p.is_file()]
+    assert len(files) <= 256
+    assert sum(p.stat().st_blocks for p in files) * 512 <= 256 * 4096
